@@ -75,7 +75,9 @@ STOCKS_VIEW = _struct(
 )
 LABEL_VIEW = _struct(
     ("key", StringType()),
+    ("window_id", LongType()),
     ("label", IntegerType()),
+    ("prob", ArrayType(DoubleType())),
     ("stock", StringType()),
     ("posts", StringType()),
     ("batch_id", LongType()),
@@ -84,7 +86,6 @@ WINDOW_MESSAGE = _struct(("window_id", LongType()), ("payload", StringType()))
 SCORED_POST = _struct(
     ("id", StringType()), ("created_at", TimestampType()), ("hits", LongType()), ("sum10", LongType())
 )
-PRICES = ArrayType(DoubleType())
 
 # The raw tables the sample fixtures are made of. `ts` is declared as an instant so that filters on it reach
 # the Parquet scan; the files hold UTC wall time.

@@ -25,14 +25,19 @@ def upsert_latest(batch: DataFrame, batch_id: int, path: str) -> None:
     batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
-def latest_rows(spark: SparkSession, path: str, schema: StructType, key: str = "key") -> DataFrame:
-    """The newest row of every key among all landed batches."""
-    landed = spark.read.schema(schema).parquet(path)
-    values = [c for c in landed.columns if c not in (key, "batch_id")]
-    newest = F.max_by(F.struct(*values), F.col("batch_id"))
+def landed_rows(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """All landed batches. ``schema`` names ``batch_id`` too."""
+    return spark.read.schema(schema).parquet(path)
+
+
+def latest_rows(landed: DataFrame, key: str = "key", order: tuple[str, ...] = ("batch_id",)) -> DataFrame:
+    """The newest row of every key. With an event-time ``order`` the batches may land in any order."""
+    values = [c for c in landed.columns if c != key]
+    newest = F.max_by(F.struct(*values), F.struct(*order))
     return landed.groupBy(key).agg(newest.alias("row")).select(key, "row.*")
 
 
-def export_windows(df: DataFrame, path: str, by: str = "window_id") -> None:
-    """Replay files: header CSV, one folder per window."""
-    write_csv(df, path, by)
+def export_windows(df: DataFrame, path: str, windows_per_folder: int = 1) -> None:
+    """Replay files: header CSV, one folder per window or per run of windows."""
+    folder = F.expr(f"window_id DIV {windows_per_folder}")
+    write_csv(df.withColumn("folder", folder), path, by="folder")

@@ -71,15 +71,18 @@ def write_partitioned(df: DataFrame, path: str, by: str = "ingestion_date") -> N
     )
 
 
+# Fixed value: how times are written in CSV files, down to the microsecond.
+CSV_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Header CSV. A line that does not fit the schema fails the read instead of turning into NULLs."""
-    return (
-        spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").option("enforceSchema", False).csv(path)
-    )
+    options = {"header": True, "mode": "FAILFAST", "enforceSchema": False, "timestampFormat": CSV_TIME}
+    return spark.read.schema(schema).options(**options).csv(path)
 
 
 def write_csv(df: DataFrame, path: str, by: str | None = None) -> None:
     """Header CSV written by the executors. With ``by``, one folder per value of that column."""
-    writer = (df.hint("rebalance", by) if by else df).write.mode("overwrite").option("header", True)
-    writer = writer.option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    writer = (df.hint("rebalance", by) if by else df).write.mode("overwrite")
+    writer = writer.options(header=True, timestampFormat=CSV_TIME)
     (writer.partitionBy(by) if by else writer).csv(path)
