@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 # Means assumed for a bucket without posts, so that a model always gets six numbers.
 EMPTY_MEANS = {"neg": -0.4, "neutral": 0.0, "pos": 0.4}
 BUCKETS = ("neg", "pos", "neutral")
+# Scores are added up as whole billionths: a mean is then the same in whatever order its rows arrive.
+SCORE_UNIT = 1_000_000_000
 FEATURES = ["nr_neg", "nr_pos", "nr_neutral", "mean_neg", "mean_pos", "mean_neutral"]
 
 
@@ -41,6 +43,22 @@ def bucket_of_score(score: str = "sentiment", closed_neutral: bool = True) -> Co
     return bucket.when((s > -0.2) & (s < 0.2), "neutral")
 
 
+def score_total(score: str | Column, keep: Column | None = None) -> Column:
+    """Sum of a score in SCORE_UNITs, as a decimal that cannot overflow."""
+    units = F.round((F.col(score) if isinstance(score, str) else score) * SCORE_UNIT).cast("bigint").cast("decimal(18,0)")
+    return F.sum(units if keep is None else F.when(keep, units))
+
+
+def mean_of_total(total: Column, n: Column) -> Column:
+    """The mean behind a :func:`score_total`; NULL for no rows."""
+    return F.try_divide(total.cast("double"), n.cast("double") * F.lit(float(SCORE_UNIT)))
+
+
+def mean_score(score: str, keep: Column | None = None) -> Column:
+    present = F.col(score).isNotNull() if keep is None else keep & F.col(score).isNotNull()
+    return mean_of_total(score_total(score, keep), F.count_if(present))
+
+
 def feature_columns(
     bucket: str = "sentiment_bucket", score: str = "sentiment", defaults: dict[str, float] | None = None
 ) -> list[Column]:
@@ -49,7 +67,7 @@ def feature_columns(
     for name in BUCKETS:
         inside = F.col(bucket) == name
         counts.append(F.count_if(inside).alias(f"nr_{name}"))
-        mean = F.avg(F.when(inside, F.col(score)))
+        mean = mean_score(score, inside)
         if defaults is not None:
             mean = F.coalesce(mean, F.lit(float(defaults[name])))
         means.append(mean.alias(f"mean_{name}"))
@@ -77,7 +95,7 @@ def partial_features(scored: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     for name in BUCKETS:
         inside = F.col("sentiment_bucket") == name
         sums.append(F.count_if(inside).alias(f"nr_{name}"))
-        sums.append(F.sum(F.when(inside, F.col("sentiment")).otherwise(0.0)).alias(f"total_{name}"))
+        sums.append(score_total("sentiment", inside).alias(f"total_{name}"))
     return ready.groupBy(*keys).agg(*sums)
 
 
@@ -87,7 +105,7 @@ def combine_features(partial: DataFrame, keys: tuple[str, ...]) -> DataFrame:
         *[F.sum(f"nr_{b}").alias(f"nr_{b}") for b in BUCKETS],
         *[F.sum(f"total_{b}").alias(f"total_{b}") for b in BUCKETS],
     )
-    means = [F.try_divide(F.col(f"total_{b}"), F.col(f"nr_{b}").cast("double")).alias(f"mean_{b}") for b in BUCKETS]
+    means = [mean_of_total(F.col(f"total_{b}"), F.col(f"nr_{b}")).alias(f"mean_{b}") for b in BUCKETS]
     return added.select(*keys, *[f"nr_{b}" for b in BUCKETS], *means)
 
 

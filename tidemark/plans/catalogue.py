@@ -17,7 +17,7 @@ from tidemark.operators import evaluation, fusion, ml, ranking, sampling, text,
 from tidemark.operators.interval_join import interval_join
 from tidemark.operators.series import dense_bins, price_series
 from tidemark.plans import training, views
-from tidemark.session import materialise, scratch_path
+from tidemark.session import materialise, scratch_path, spread
 from tidemark.sources import payloads, sample, sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,7 +47,7 @@ def rounded(df: DataFrame, *names: str) -> DataFrame:
 
 def scored_posts(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     columns = keep or ("doc_id", "created_at")
-    return text.polarity(sample.posts(spark, sf_dir), sample.lexicon(spark), keep=columns).withColumns(
+    return text.polarity(sample.posts(spark, sf_dir, tokenise=True), sample.lexicon(spark), keep=columns).withColumns(
         {"sentiment": sent.polarity_value(), "score2": text.polarity_share()}
     )
 
@@ -260,12 +260,12 @@ def posts_per_hour_selected_days(spark, sf_dir):
 
 @query
 def mean_sentiment_by_hour(spark, sf_dir):
-    return _timed_posts(spark, sf_dir).dropna("any", subset=["hour"]).groupBy("hour").agg(r6(F.avg("sentiment")).alias("mean"))
+    return _timed_posts(spark, sf_dir).dropna("any", subset=["hour"]).groupBy("hour").agg(r6(sent.mean_score("sentiment")).alias("mean"))
 
 
 @query
 def mean_score2_by_hour(spark, sf_dir):
-    return _timed_posts(spark, sf_dir).dropna("any", subset=["hour"]).groupBy("hour").agg(r6(F.avg("score2")).alias("mean"))
+    return _timed_posts(spark, sf_dir).dropna("any", subset=["hour"]).groupBy("hour").agg(r6(sent.mean_score("score2")).alias("mean"))
 
 
 # Text
@@ -287,7 +287,7 @@ def _bucket_counts(spark, sf_dir, closed: bool) -> DataFrame:
     bucket = F.coalesce(sent.sentiment_bucket(closed_neutral=closed), F.lit("none"))
     on_border = (F.col("hits") > 0) & (F.abs("sum10") == F.col("hits") * 2)
     return scored.groupBy(bucket.alias("bucket")).agg(
-        F.count("*").alias("n"), F.count_if(on_border).alias("n_border"), r6(F.avg("sentiment")).alias("mean")
+        F.count("*").alias("n"), F.count_if(on_border).alias("n_border"), r6(sent.mean_score("sentiment")).alias("mean")
     )
 
 
@@ -311,7 +311,7 @@ def sentiment_features_default(spark, sf_dir):
 @query
 def tokenize_counts(spark, sf_dir):
     """Tokens and distinct tokens per language; counted per token first, so that no task holds a token set."""
-    tokens = text.tokens(sample.documents(spark, sf_dir), keep=("lang",))
+    tokens = text.tokens(spread(sample.documents(spark, sf_dir).select("lang", "text")), keep=("lang",))
     per_token = tokens.groupBy("lang", "token").agg(F.count("*").alias("n"))
     return per_token.groupBy("lang").agg(F.sum("n").alias("n_tokens"), F.count("*").alias("n_distinct"))
 
@@ -320,7 +320,8 @@ def _positive_sample(spark, sf_dir) -> DataFrame:
     """Texts of up to 100,000 posts with a positive score."""
     positive = scored_posts(spark, sf_dir, "doc_id").where(F.col("sentiment") > 0)
     chosen = sampling.sample_fixed(positive, 100_000, key="doc_id")
-    return sample.documents(spark, sf_dir).join(chosen.select("doc_id"), "doc_id", "left_semi")
+    texts = spread(sample.documents(spark, sf_dir).select("doc_id", "text"))
+    return texts.join(chosen.select("doc_id"), "doc_id", "left_semi")
 
 
 @query
@@ -362,7 +363,7 @@ def bottom_k_score2(spark, sf_dir):
 @query
 def contains_slice(spark, sf_dir):
     """Posts with a term: places 61 to 100 from the top of the second score."""
-    posts = sample.posts(spark, sf_dir).where(F.col("text").contains("tion"))
+    posts = sample.posts(spark, sf_dir, tokenise=True).where(F.col("text").contains("tion"))
     scored = text.polarity(posts, sample.lexicon(spark), keep=("doc_id",)).withColumn("score2", text.polarity_share())
     places = ranking.rank_slice(scored, [F.desc("score2"), F.col("doc_id")], 61, 100)
     return places.select("doc_id", r6("score2").alias("score2"))
@@ -447,7 +448,7 @@ def interval_join_counts(spark, sf_dir):
 
 
 def post_windows(spark, sf_dir) -> DataFrame:
-    return training.post_windows(sample.ticks(spark, sf_dir), sample.posts(spark, sf_dir), sample.lexicon(spark))
+    return training.post_windows(sample.ticks(spark, sf_dir), sample.posts(spark, sf_dir, tokenise=True), sample.lexicon(spark))
 
 
 def _shown_features(df: DataFrame) -> DataFrame:

@@ -15,10 +15,15 @@ def _st(column: str) -> str:
     return f"strftime({column}, {_STAMP})"
 
 
+def _mean(score: str, keep: str = "") -> str:
+    """Mean over exact whole billionths, so that both engines see the same number before rounding."""
+    return f"CAST(sum(CAST(round({score} * 1e9) AS BIGINT)){keep} AS DOUBLE) / (count({score}){keep} * 1e9)"
+
+
 def _features(bucket: str = "bucket", defaults: bool = False) -> str:
     parts = [f"count(*) FILTER ({bucket} = '{b}') AS nr_{b}" for b in ("neg", "pos", "neutral")]
     for b, default in (("neg", -0.4), ("pos", 0.4), ("neutral", 0.0)):
-        mean = f"avg(sentiment) FILTER ({bucket} = '{b}')"
+        mean = _mean("sentiment", f" FILTER ({bucket} = '{b}')")
         if defaults:
             mean = f"coalesce({mean}, CAST({default} AS DOUBLE))"
         parts.append(f"round({mean}, 6) AS mean_{b}")
@@ -140,10 +145,14 @@ _WINDOW_PRICES = f"""SELECT window_id, {_st('min(t)')} AS start, {_st('max(t)')}
     arg_max(p, pos) AS last_p, round(sum(p), 6) AS sum_p"""
 _FEATURE_ROWS = f"SELECT window_id, {_st('start_t')} AS start, {_st('stop_t')} AS stop, label, nr_neg, nr_pos, nr_neutral"
 _ALL_BUCKETS = "nr_neg > 0 AND nr_pos > 0 AND nr_neutral > 0 AND label IS NOT NULL"
-_BUCKET_COUNTS = """SELECT {bucket} AS bucket, count(*) AS n, count(*) FILTER (on_border) AS n_border,
-    round(avg(sentiment), 6) AS mean FROM scored GROUP BY 1"""
+_BUCKET_COUNTS = f"""SELECT {{bucket}} AS bucket, count(*) AS n, count(*) FILTER (on_border) AS n_border,
+    round({_mean("sentiment")}, 6) AS mean FROM scored GROUP BY 1"""
 _F_COLUMNS = """CAST(nr_neg AS DOUBLE) AS f_0, CAST(nr_pos AS DOUBLE) AS f_1, CAST(nr_neutral AS DOUBLE) AS f_2,
     mean_neg AS f_3, mean_pos AS f_4, mean_neutral AS f_5"""
+_INDEXED = ", ".join(
+    f"CASE WHEN (SELECT count(DISTINCT {x}) FROM window_features WHERE {_ALL_BUCKETS}) <= 20 THEN CAST(dense_rank() OVER (ORDER BY f_{i}) - 1 AS DOUBLE) ELSE f_{i} END AS f_{i}"
+    for i, x in enumerate(["nr_neg", "nr_pos", "nr_neutral", "mean_neg", "mean_pos", "mean_neutral"])
+)
 
 ORACLE: dict[str, str] = {
     "scan_ticks": _with("ticks", f"SELECT event_id, s, p, {_st('t')} AS t, v, CAST(ingestion_date AS VARCHAR) AS ingestion_date FROM ticks"),
@@ -171,8 +180,8 @@ ORACLE: dict[str, str] = {
     "hour_day_parts": _with("posts", """SELECT doc_id, CASE WHEN doc_id % 50 <> 0 THEN strftime(created_at, '%H') END AS hour,
         CASE WHEN doc_id % 50 <> 0 THEN strftime(created_at, '%d') END AS day FROM posts"""),
     "posts_per_hour_selected_days": _with("timed", "SELECT hour, count(*) AS n FROM timed WHERE day IN ('05', '06') GROUP BY hour"),
-    "mean_sentiment_by_hour": _with("timed", "SELECT hour, round(avg(sentiment), 6) AS mean FROM timed WHERE hour IS NOT NULL GROUP BY hour"),
-    "mean_score2_by_hour": _with("timed", "SELECT hour, round(avg(score2), 6) AS mean FROM timed WHERE hour IS NOT NULL GROUP BY hour"),
+    "mean_sentiment_by_hour": _with("timed", f"SELECT hour, round({_mean('sentiment')}, 6) AS mean FROM timed WHERE hour IS NOT NULL GROUP BY hour"),
+    "mean_score2_by_hour": _with("timed", f"SELECT hour, round({_mean('score2')}, 6) AS mean FROM timed WHERE hour IS NOT NULL GROUP BY hour"),
     "polarity_lexicon": _with("scored", "SELECT doc_id, n_tokens, hits, sum10, round(sentiment, 6) AS polarity FROM scored"),
     "polarity_share": _with("scored", "SELECT doc_id, pos_hits, neg_hits, round(score2, 6) AS share FROM scored"),
     "sentiment_bucket": _with("scored", _BUCKET_COUNTS.format(bucket="bucket")),
@@ -226,6 +235,8 @@ ORACLE: dict[str, str] = {
     "eval_metrics": _with("confused", _metrics("confused")),
     "eval_previous_label": _with("guesses", _metrics("guesses")),
     "assemble_sentiment": _with("window_features", f"SELECT window_id, {_F_COLUMNS} FROM window_features WHERE {_ALL_BUCKETS}"),
+    # Features with at most 20 distinct values become category numbers in value order.
+    "index_features": _with("window_features", f"SELECT window_id, {_INDEXED} FROM (SELECT window_id, {_F_COLUMNS} FROM window_features WHERE {_ALL_BUCKETS}) AS f"),
     "index_labels": _with("labelled", """SELECT CAST(label AS VARCHAR) AS label, n, CAST(row_number() OVER (ORDER BY n DESC, label) - 1 AS INTEGER) AS indexed_label
         FROM (SELECT label, count(*) AS n FROM labelled WHERE label IS NOT NULL GROUP BY label) AS counted"""),
     # Invariants of models: which rows must come out, and what must hold for each.

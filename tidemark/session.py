@@ -74,3 +74,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Hand a plain table scan that has fewer than two pieces per core to all cores.
+
+    For work that costs far more than moving its input, such as tokenising: a table stored as one block would
+    keep one core busy. Only small tables are ever moved, large ones come in enough pieces.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < 2 * cores else scan
