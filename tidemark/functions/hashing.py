@@ -11,8 +11,8 @@ def seeded_digest(key: Column, seed: int) -> Column:
 
 
 def digest_number(digest: Column, hex_digits: int) -> Column:
-    """The leading hex digits as an integer."""
-    return F.conv(F.substring(digest, 1, hex_digits), 16, 10).cast("bigint")
+    """The leading hex digits as an integer; 0 where there is no digest."""
+    return F.coalesce(F.conv(F.substring(digest, 1, hex_digits), 16, 10).cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def view_key(view: str, day: Column) -> Column:

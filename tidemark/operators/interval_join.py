@@ -39,11 +39,19 @@ def locate(points: DataFrame, spans: DataFrame, ts: str, lo: str = "start", hi:
     )
 
 
-def interval_join(points: DataFrame, spans: DataFrame, ts: str, lo: str = "start", hi: str = "stop") -> DataFrame:
+def interval_join(
+    points: DataFrame,
+    spans: DataFrame,
+    ts: str,
+    lo: str = "start",
+    hi: str = "stop",
+    times: DataFrame | None = None,
+) -> DataFrame:
     """Every point row with the ``window_id`` of its span, times shared by many rows allowed.
 
     Distinct times are located first; the rows then pick up their window by an equi-join on the time, which
-    adaptive execution splits where one time is heavy.
+    adaptive execution splits where one time is heavy. Where ``points`` is costly to compute, name a cheaper
+    table with the same times.
     """
-    located = locate(points.select(ts).distinct(), spans, ts, lo, hi)
-    return points.join(located, ts)
+    stamps = (points if times is None else times).select(ts).distinct()
+    return points.join(locate(stamps, spans, ts, lo, hi), ts)

@@ -9,12 +9,18 @@ from pyspark.ml.classification import (
     GBTClassifier,
     LinearSVC,
     OneVsRest,
-    OneVsRestModel,
     RandomForestClassificationModel,
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler, VectorIndexer, VectorIndexerModel
+from pyspark.ml.feature import (
+    IndexToString,
+    StringIndexer,
+    StringIndexerModel,
+    VectorAssembler,
+    VectorIndexer,
+    VectorIndexerModel,
+)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,9 +36,9 @@ SEED = 42
 
 LOADERS = {
     "rf": RandomForestClassificationModel,
-    "ovr_rf": OneVsRestModel,
-    "ovr_svc": OneVsRestModel,
-    "ovr_gbt": OneVsRestModel,
+    "ovr_rf": PipelineModel,
+    "ovr_svc": PipelineModel,
+    "ovr_gbt": PipelineModel,
     "pipeline": PipelineModel,
 }
 
@@ -73,14 +79,21 @@ def classifier(kind: str, label: str = "label", features: str = "features", seed
 
 
 def train(df: DataFrame, kind: str, **params) -> Model:
-    """Fit on ``features`` and ``label``. Fitting reads its input many times, so pass a written table.
-
-    The label column names its three classes, so a model has three probabilities also when a class is missing
-    from the sample.
-    """
-    classes = {"ml_attr": {"type": "nominal", "vals": ["0", "1", "2"]}}
-    label = F.col("label").cast("double").alias("label", metadata=classes)
-    return classifier(kind, **params).fit(df.select(label, "features"))
+    """Fit on ``features`` and ``label``. Fitting reads its input many times, so pass a written table."""
+    if kind == "rf":
+        # The label column names its three classes, so a forest has three probabilities also when a class is
+        # missing from the sample.
+        classes = {"ml_attr": {"type": "nominal", "vals": ["0", "1", "2"]}}
+        label = F.col("label").cast("double").alias("label", metadata=classes)
+        return classifier(kind, **params).fit(df.select(label, "features"))
+    # One-vs-rest needs rows of every class it counts: number the classes that occur, and turn back after.
+    rows = df.select(F.col("label").cast("double").alias("label"), "features")
+    numbers = StringIndexer(inputCol="label", outputCol="class_number", stringOrderType="alphabetAsc").fit(rows)
+    model = classifier(kind, label="class_number", **params).setPredictionCol("class_predicted").fit(
+        numbers.transform(rows)
+    )
+    names = IndexToString(inputCol="class_predicted", outputCol="prediction", labels=numbers.labels)
+    return PipelineModel(stages=[model, names])
 
 
 def score(model: Model, df: DataFrame) -> DataFrame:
@@ -88,8 +101,9 @@ def score(model: Model, df: DataFrame) -> DataFrame:
     scored = model.transform(df)
     if "probability" in scored.columns:
         scored = scored.withColumn("prob", vector_to_array("probability"))
-    kept = [c for c in scored.columns if c not in ("features", "rawPrediction", "probability")]
-    return scored.select(*kept).withColumn("prediction", F.col("prediction").cast("int"))
+    internal = ("features", "rawPrediction", "probability", "class_predicted")
+    kept = [c for c in scored.columns if c not in internal]
+    return scored.select(*kept).withColumn("prediction", F.col("prediction").cast("double").cast("int"))
 
 
 def save_model(model: Model, path: str) -> None:

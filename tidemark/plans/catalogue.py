@@ -160,7 +160,8 @@ def replay_first_points(spark, sf_dir):
 def replay_windows_posts(spark, sf_dir):
     """The posts inside each window's span, written beside the tick files."""
     path = scratch_path(spark, "replay-posts")
-    inside = interval_join(scored_posts(spark, sf_dir), labelled(spark, sf_dir), "created_at")
+    times = sample.posts(spark, sf_dir).select("created_at")
+    inside = interval_join(scored_posts(spark, sf_dir), labelled(spark, sf_dir), "created_at", times=times)
     sinks.export_windows(inside.select("created_at", "sentiment", "window_id"), path, windows_per_folder=1000)
     back = tables.read_csv(spark, f"{path}/folder=*", schemas.POST_FILE)
     return back.select("window_id", stamp("created_at").alias("created_at"), r6("sentiment").alias("sentiment"))
@@ -321,7 +322,8 @@ def _positive_sample(spark, sf_dir) -> DataFrame:
     positive = scored_posts(spark, sf_dir, "doc_id").where(F.col("sentiment") > 0)
     chosen = sampling.sample_fixed(positive, 100_000, key="doc_id")
     texts = spread(sample.documents(spark, sf_dir).select("doc_id", "text"))
-    return texts.join(chosen.select("doc_id"), "doc_id", "left_semi")
+    # At most 100,000 numbers by construction, so they can go to every task and the texts stay where they are.
+    return texts.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi")
 
 
 @query
