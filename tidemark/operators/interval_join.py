@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordered import BUCKET, bucket_tail, carry_in, with_bucket
+from tidemark.operators.ordered import BUCKET, bucket_of, bucket_tail, carry_in
 
 
 def locate(points: DataFrame, spans: DataFrame, ts: str, lo: str = "start", hi: str = "stop") -> DataFrame:
@@ -26,7 +26,7 @@ def locate(points: DataFrame, spans: DataFrame, ts: str, lo: str = "start", hi:
         F.struct(F.col(lo).alias("lo"), F.col(hi).alias("hi"), "window_id").alias("span"),
     )
     stamped = points.where(F.col(ts).isNotNull()).withColumn("kind", F.lit(1))
-    merged = with_bucket(stamped.unionByName(starts, allowMissingColumns=True), ts)
+    merged = stamped.unionByName(starts, allowMissingColumns=True).withColumn(BUCKET, bucket_of(ts))
     so_far = Window.partitionBy(BUCKET).orderBy(ts, "kind").rowsBetween(Window.unboundedPreceding, 0)
     placed = merged.withColumn("own", F.max("span").over(so_far)).drop("span")
     earlier = carry_in(bucket_tail(placed, [ts, "kind"], "own"), "own", "latest", "earlier")

@@ -8,6 +8,8 @@ bucket, taken inside blocks of 65,536 buckets (18 hours) and then over blocks (a
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,21 +17,21 @@ BUCKET = "bucket"
 BLOCK_BITS = 16
 
 
-def with_bucket(df: DataFrame, t: str) -> DataFrame:
+def bucket_of(t: str) -> Column:
     # coalesce only says "never NULL", which keeps the optimiser from adding different null checks to the
     # branches below and so lets them share one scan and one shuffle. Callers have dropped NULL times.
-    return df.withColumn(BUCKET, F.coalesce(F.unix_seconds(F.col(t)), F.lit(0).cast("bigint")))
+    return F.coalesce(F.unix_seconds(F.col(t)), F.lit(0).cast("bigint"))
 
 
 def bucket_tail(placed: DataFrame, order: list[str], value: str) -> DataFrame:
-    """``value`` of the last row of every bucket.
+    """``value`` of the last row of every bucket: the one that none follows.
 
-    The maximum is taken over the whole row: it keeps the same columns alive as the detail branch, so both
-    branches read one shuffle instead of computing the input twice.
+    The look-ahead takes the whole row. It so keeps the same columns alive as the detail branch, and both read
+    one shuffle instead of computing the input twice.
     """
-    rest = [c for c in placed.columns if c != BUCKET and c not in order]
-    last = F.max(F.struct(*order, *rest))
-    return placed.groupBy(BUCKET).agg(last.alias("tail")).select(BUCKET, F.col(f"tail.{value}").alias(value))
+    row = F.struct(*[c for c in placed.columns if c != BUCKET])
+    following = F.lead(row).over(Window.partitionBy(BUCKET).orderBy(*order))
+    return placed.withColumn("following", following).where("following IS NULL").select(BUCKET, value)
 
 
 def _sum_of(a: Column, b: Column) -> Column:
@@ -64,7 +66,14 @@ def carry_in(per_bucket: DataFrame, value: str, combine: str, out: str, block_bi
 
 
 def numbered(df: DataFrame, t: str, out: str = "rn") -> DataFrame:
-    """Zero-based position of every row in ascending ``t``; ``t`` must be distinct."""
-    placed = with_bucket(df, t).withColumn("k", F.row_number().over(Window.partitionBy(BUCKET).orderBy(t)))
-    before = carry_in(bucket_tail(placed, ["k"], "k"), "k", "sum", "before")
-    return placed.join(before, BUCKET).withColumn(out, F.col("before") + F.col("k") - 1).select(*df.columns, out)
+    """Zero-based position of every row in ascending ``t``; ``t`` must be distinct.
+
+    Both branches read one shuffle. For that they must need the same columns, so bucket sizes are counted in two
+    parts, rows with and rows without a missing value.
+    """
+    bucketed = df.repartition(bucket_of(t)).withColumn(BUCKET, bucket_of(t))
+    lacking = functools.reduce(Column.__or__, [F.col(c).isNull() for c in df.columns])
+    sizes = bucketed.groupBy(BUCKET).agg((F.count_if(lacking) + F.count_if(~lacking)).alias("size"))
+    before = carry_in(sizes, "size", "sum", "before")
+    place = F.row_number().over(Window.partitionBy(BUCKET).orderBy(t))
+    return bucketed.withColumn("k", place).join(before, BUCKET).select(*df.columns, (F.col("before") + F.col("k") - 1).alias(out))

@@ -84,7 +84,11 @@ LABEL_VIEW = _struct(
 )
 WINDOW_MESSAGE = _struct(("window_id", LongType()), ("payload", StringType()))
 SCORED_POST = _struct(
-    ("id", StringType()), ("created_at", TimestampType()), ("hits", LongType()), ("sum10", LongType())
+    ("id", StringType()),
+    ("created_at", TimestampType()),
+    ("hits", LongType()),
+    ("sum10", LongType()),
+    ("day", DateType()),
 )
 
 # The raw tables the sample fixtures are made of. `ts` is declared as an instant so that filters on it reach

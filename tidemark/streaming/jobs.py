@@ -133,7 +133,8 @@ def window_scorer(
     """A batch handler for streams of window messages ``window_id, payload``.
 
     Models are loaded once, by the caller. The posts of a batch are those of its time span, found by event time
-    in the landed post table. Every window's label lands under the batch number, with the serving key.
+    in the landed post table, which is partitioned by the ``day`` of the post so that only those days are read.
+    Every window's label lands under the batch number, with the serving key.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -143,7 +144,8 @@ def window_scorer(
         if span["lo"] is None:
             return
         landed = spark.read.schema(schemas.SCORED_POST).parquet(posts_path)
-        nearby = landed.where(F.col("created_at").between(F.lit(span["lo"]), F.lit(span["hi"])))
+        days = F.col("day").between(F.to_date(F.lit(span["lo"])), F.to_date(F.lit(span["hi"])))
+        nearby = landed.where(days & F.col("created_at").between(F.lit(span["lo"]), F.lit(span["hi"])))
         labelled = label_windows_of_batch(windows, nearby, stock_model, posts_model)
         upsert_latest(labelled.withColumn("key", F.lit(key)), batch_id, out)
 
