@@ -101,14 +101,20 @@ def label_windows(summary: DataFrame, size: int = SIZE, eps: float = EPSILON) ->
     )
 
 
+def _prices_in_order(points: DataFrame, p: str) -> DataFrame:
+    in_order = F.array_sort(F.collect_list(F.struct("pos", p)))
+    return points.groupBy("window_id").agg(in_order.alias("pts")).select("window_id", F.col(f"pts.{p}").alias("prices"))
+
+
 def pivot_windows(points: DataFrame, size: int = SIZE, p: str = "p") -> DataFrame:
-    """One row per window with columns ``c_0`` … in window order."""
-    wide = points.groupBy("window_id").pivot("pos", list(range(size))).agg(F.first(p))
-    return wide.select("window_id", *[F.col(str(i)).alias(f"c_{i}") for i in range(size)])
+    """One row per window with columns ``c_0`` … in window order, NULL beyond the end of a partial window.
+
+    The positions of a count window have no gaps, so the ordered prices are spread out by place: one shuffle,
+    where a pivot takes two.
+    """
+    return _prices_in_order(points, p).select("window_id", *[F.get("prices", F.lit(i)).alias(f"c_{i}") for i in range(size)])
 
 
 def window_arrays(points: DataFrame, size: int = SIZE, p: str = "p") -> DataFrame:
     """Full windows as one ordered price array each; the narrow form that models read."""
-    in_order = F.array_sort(F.collect_list(F.struct("pos", p)))
-    rows = points.groupBy("window_id").agg(in_order.alias("pts"))
-    return rows.where(F.size("pts") == size).select("window_id", F.col(f"pts.{p}").alias("prices"))
+    return _prices_in_order(points, p).where(F.size("prices") == size)

@@ -635,6 +635,21 @@ def ovr_gbt(spark, sf_dir):
     return _fit_and_score(stock_training(spark, sf_dir), "ovr_gbt").select("window_id", "label", "prediction")
 
 
+@query
+def ovr_rf_posts(spark, sf_dir):
+    return _fit_and_score(post_training(spark, sf_dir), "ovr_rf").select("window_id", "label", "prediction")
+
+
+@query
+def ovr_svc_posts(spark, sf_dir):
+    return _fit_and_score(post_training(spark, sf_dir), "ovr_svc").select("window_id", "label", "prediction")
+
+
+@query
+def ovr_gbt_posts(spark, sf_dir):
+    return _fit_and_score(post_training(spark, sf_dir), "ovr_gbt").select("window_id", "label", "prediction")
+
+
 @query
 def score_windows(spark, sf_dir):
     """What must hold for every scored window: three probabilities that sum to 1, the largest one predicted."""
