@@ -44,6 +44,19 @@ def test_partition_filter_prunes(spark, tmp_path):
     assert "ingestion_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
+def test_bounded_lag_prunes_post_partitions(spark, tmp_path):
+    from tidemark.functions.timeparts import on_day
+
+    path = str(tmp_path / "posts")
+    days = [(str(d), datetime(2024, 1, d, 12), date(2024, 1, d)) for d in range(1, 6)]
+    rows = spark.createDataFrame(days + [("late", datetime(2024, 1, 2, 23), date(2024, 1, 3))], "id string, created_at timestamp, ingestion_date date")
+    tables.write_partitioned(rows, path)
+    df = on_day(spark.read.schema(rows.schema).parquet(path), datetime(2024, 1, 2), max_lag_days=1)
+    assert sorted(r.id for r in df.collect()) == ["2", "late"]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ingestion_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
 def test_csv_keeps_microseconds_and_nulls(spark, tmp_path):
     path = str(tmp_path / "w.csv")
     rows = [(1, T, T, 2), (2, T, None, None)]

@@ -111,6 +111,18 @@ def test_repeated_ids_within_lateness(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
 
 
+def test_very_many_copies_of_one_id(spark, tmp_path):
+    path, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    schema = "id string, created_at timestamp"
+    for i in range(3):
+        rows = [("hot", START)] * 500 + [(f"x{i}", START), ("y", START + timedelta(seconds=i))]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+    stream = feeds.file_stream(spark, path, spark.read.parquet(path).schema, max_files=2)
+    marked = stream.select("*", F.col("_metadata.file_name").alias("file"))
+    feeds.drain(jobs.distinct_posts(marked, copies_by="file"), out, checkpoint)
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["hot", "x0", "x1", "x2", "y"]
+
+
 def test_stream_join_holds_bounds(spark, tmp_path):
     at = lambda s: START + timedelta(seconds=s)
     windows = spark.createDataFrame([(0, at(0), at(10)), (1, at(20), at(30))], "window_id long, start timestamp, stop timestamp")

@@ -43,10 +43,19 @@ def last_day(ticks: DataFrame, as_of: datetime, column: str = "ingestion_date")
     return ticks.where((F.col(column) > F.lit(since)) & (F.col(column) <= F.lit(as_of.date())))
 
 
-def on_day(posts: DataFrame, as_of: datetime, column: str = "created_at") -> DataFrame:
-    """Rows of the calendar day of ``as_of``, as a range on the bare time column."""
+def on_day(
+    posts: DataFrame, as_of: datetime, column: str = "created_at", max_lag_days: int | None = None
+) -> DataFrame:
+    """Rows of the calendar day of ``as_of``, as a range on the bare time column.
+
+    Where rows are known to be ingested within ``max_lag_days`` after the day, only those partitions are read.
+    """
     first = datetime(as_of.year, as_of.month, as_of.day)
-    return posts.where(
+    rows = posts.where(
         (F.col(column) >= F.lit(str(first)).cast("timestamp"))
         & (F.col(column) < F.lit(str(first + timedelta(days=1))).cast("timestamp"))
     )
+    if max_lag_days is None:
+        return rows
+    last = (first + timedelta(days=max_lag_days)).date()
+    return rows.where(F.col("ingestion_date").between(F.lit(first.date()), F.lit(last)))

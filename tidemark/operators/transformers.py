@@ -30,10 +30,9 @@ class SentimentFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritabl
 
 
 class WindowPivot(Transformer, DefaultParamsReadable, DefaultParamsWritable):
-    """Numbered ticks → one feature vector per complete window.
+    """Numbered ticks → one feature vector per complete window, also on a stream, which has no pivot call.
 
-    Conditional sums keyed by the window: the pivot call is not available on a stream, and without the key the
-    sums would run over all windows seen so far.
+    Keyed by the window: without the key, points of all windows seen so far would run together.
     """
 
     size = Param(Params._dummy(), "size", "points per window", TypeConverters.toInt)
@@ -46,7 +45,6 @@ class WindowPivot(Transformer, DefaultParamsReadable, DefaultParamsWritable):
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         size = self.getOrDefault(self.size)
-        cells = [F.sum(F.when(F.col("num") == i + 1, F.col("p"))).alias(f"c_{i}") for i in range(size)]
-        wide = dataset.groupBy("window_id").agg(F.count("p").alias("n"), *cells)
-        prices = F.array(*[f"c_{i}" for i in range(size)])
-        return wide.where(F.col("n") == size).select("window_id", array_to_vector(prices).alias("features"))
+        points = F.array_sort(F.collect_list(F.struct("num", "p")))
+        rows = dataset.where(F.col("p").isNotNull()).groupBy("window_id").agg(points.alias("pts"))
+        return rows.where(F.size("pts") == size).select("window_id", array_to_vector(F.col("pts.p")).alias("features"))

@@ -67,7 +67,8 @@ def stream_dedup(spark, sf_dir):
     """Every post is delivered twice and kept once."""
     posts = sample.posts(spark, sf_dir).select("id", "created_at", "source")
     path, schema = _landed(posts.unionByName(posts), "posts-twice")
-    stream = jobs.distinct_posts(feeds.file_stream(spark, path, schema, max_files=4), lateness=WHOLE_SAMPLE)
+    delivered = feeds.file_stream(spark, path, schema, max_files=4).select("*", F.col("_metadata.file_name").alias("file"))
+    stream = jobs.distinct_posts(delivered, lateness=WHOLE_SAMPLE, copies_by="file").drop("file")
     back = _drained(stream, "dedup", schema)
     return back.select("id", stamp("created_at").alias("created_at"), "source")
 

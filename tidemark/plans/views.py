@@ -26,13 +26,15 @@ def stocks_daily_view(ticks: DataFrame, as_of: datetime) -> DataFrame:
     )
 
 
-def posts_daily_view(posts: DataFrame, lexicon: DataFrame, as_of: datetime) -> DataFrame:
+def posts_daily_view(
+    posts: DataFrame, lexicon: DataFrame, as_of: datetime, max_lag_days: int | None = None
+) -> DataFrame:
     """Sentiment features of the day's distinct posts, with the count before duplicates were removed.
 
     One shuffle scores the posts, merges equal ones and counts the copies. Without posts the single row has
     zero counts and NULL means.
     """
-    today = on_day(posts, as_of).withColumn("digest", content_digest("text"))
+    today = on_day(posts, as_of, max_lag_days=max_lag_days).withColumn("digest", content_digest("text"))
     scored = polarity(today, lexicon, keep=("id", "created_at", "source", "ingestion_date", "digest"))
     total = F.coalesce(F.sum("copies"), F.lit(0)).cast("bigint").alias("count")
     day = F.lit(as_of.date())

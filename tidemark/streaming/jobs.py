@@ -26,9 +26,17 @@ def running_sentiment(posts: DataFrame, closed_neutral: bool = False) -> DataFra
     return SentimentFeatures(closedNeutral=closed_neutral).transform(posts)
 
 
-def distinct_posts(posts: DataFrame, lateness: str = "1 day") -> DataFrame:
-    """Drop repeated ids; an id is remembered for ``lateness`` of event time."""
-    return posts.withWatermark("created_at", lateness).dropDuplicatesWithinWatermark(["id"])
+def distinct_posts(posts: DataFrame, lateness: str = "1 day", copies_by: str | None = None) -> DataFrame:
+    """Drop repeated ids; an id is remembered for ``lateness`` of event time.
+
+    Where one id may come very many times, ``copies_by`` names a column that its copies differ in, such as the
+    file or the partition they came from. Copies are then dropped per value of that column first, spread over all
+    tasks, and only what is left meets under the id.
+    """
+    marked = posts.withWatermark("created_at", lateness)
+    if copies_by is not None:
+        marked = marked.dropDuplicatesWithinWatermark(["id", copies_by])
+    return marked.dropDuplicatesWithinWatermark(["id"])
 
 
 def daily_ticks(ticks: DataFrame, lateness: str = "1 hour") -> DataFrame:
@@ -47,7 +55,9 @@ def daily_ticks(ticks: DataFrame, lateness: str = "1 hour") -> DataFrame:
 
 
 COUNT_WINDOW = "window_id long, start timestamp, stop timestamp, prices array<double>"
-_PENDING = "nums array<int>, prices array<double>, times array<timestamp>"
+# Times travel through Python as microseconds, so that no time zone of a worker can touch them.
+_EMITTED = "window_id long, start_us long, stop_us long, prices array<double>"
+_PENDING = "nums array<int>, prices array<double>, times array<long>"
 
 
 def count_windows(ticks: DataFrame, size: int = 100, lateness: str = "1 day") -> DataFrame:
@@ -64,26 +74,32 @@ def count_windows(ticks: DataFrame, size: int = 100, lateness: str = "1 day") ->
             return
         points: dict[int, tuple] = {}
         if state.exists:
-            points = {n: (p, t) for n, p, t in zip(*state.get, strict=True)}
+            points = {n: (p, us) for n, p, us in zip(*state.get, strict=True)}
         for part in parts:
-            points |= {int(n): (float(p), t) for n, p, t in zip(part["num"], part["p"], part["t"], strict=True)}
+            points |= {int(n): (float(p), int(us)) for n, p, us in zip(part["num"], part["p"], part["us"], strict=True)}
         nums = sorted(points)
         prices = [points[n][0] for n in nums]
-        times = [pd.Timestamp(points[n][1]).to_pydatetime() for n in nums]
+        times = [points[n][1] for n in nums]
         if len(nums) < size:
             state.update((nums, prices, times))
             # The watermark may already be beyond this window's points, and a timeout must lie after it.
-            latest = int(max(times).timestamp() * 1000)
-            state.setTimeoutTimestamp(max(latest, state.getCurrentWatermarkMs()) + 1)
+            state.setTimeoutTimestamp(max(max(times) // 1000, state.getCurrentWatermarkMs()) + 1)
             return
         if state.exists:
             state.remove()
-        yield pd.DataFrame({"window_id": [key[0]], "start": [min(times)], "stop": [max(times)], "prices": [prices]})
+        yield pd.DataFrame({"window_id": [key[0]], "start_us": [min(times)], "stop_us": [max(times)], "prices": [prices]})
 
     return (
         ticks.withWatermark("t", lateness)
+        .select("window_id", "num", "t", "p", F.unix_micros("t").alias("us"))
         .groupBy("window_id")
-        .applyInPandasWithState(collect, COUNT_WINDOW, _PENDING, "append", GroupStateTimeout.EventTimeTimeout)
+        .applyInPandasWithState(collect, _EMITTED, _PENDING, "append", GroupStateTimeout.EventTimeTimeout)
+        .select(
+            "window_id",
+            F.timestamp_micros("start_us").alias("start"),
+            F.timestamp_micros("stop_us").alias("stop"),
+            "prices",
+        )
     )
 
 
