@@ -71,6 +71,11 @@ def test_bucket_borders(spark, sum10, hits, closed, opened):
     assert tuple(got.first()) == (closed, opened, closed, opened)
 
 
+def test_no_number_is_in_no_bucket(spark):
+    df = spark.createDataFrame([(float("nan"),), (None,)], "sentiment double")
+    assert [r[0] for r in df.select(sent.bucket_of_score()).collect()] == [None, None]
+
+
 def test_features_of_nothing(spark):
     empty = spark.createDataFrame([], "sum10 long, hits long")
     assert tuple(sent.sentiment_features(empty).first()) == (0, 0, 0, None, None, None)

@@ -70,7 +70,7 @@ def test_flat_band(spark, shift, label):
 
 
 def test_series_merges_equal_times_and_drops_missing_ones(spark):
-    rows = [(START, 1.0), (START, 3.0), (None, 9.0), (START + timedelta(seconds=1), None)]
+    rows = [(START, 1.0), (START, 3.0), (START, float("nan")), (None, 9.0), (START + timedelta(seconds=1), None)]
     got = {r.t: r.p for r in price_series(spark.createDataFrame(rows, TICKS)).collect()}
     assert got == {START: 2.0, START + timedelta(seconds=1): None}
 

@@ -35,8 +35,8 @@ def sentiment_bucket(sum10: str = "sum10", hits: str = "hits", closed_neutral: b
 
 
 def bucket_of_score(score: str = "sentiment", closed_neutral: bool = True) -> Column:
-    """The same buckets for a ready-made score."""
-    s = F.col(score)
+    """The same buckets for a ready-made score; what is not a number is in none."""
+    s = F.nanvl(F.col(score).cast("double"), F.lit(None).cast("double"))
     bucket = F.when(s < -0.2, "neg").when(s > 0.2, "pos")
     if closed_neutral:
         return bucket.when(s.between(-0.2, 0.2), "neutral")

@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 
 def price_series(ticks: DataFrame, t: str = "t", p: str = "p") -> DataFrame:
-    """One point per distinct time, priced at the mean of its ticks. Ticks without a time have no place in it."""
-    return ticks.where(F.col(t).isNotNull()).groupBy(t).agg(F.avg(p).alias(p))
+    """One point per distinct time, priced at the mean of its ticks.
+
+    Ticks without a time have no place in it; a price that is not a number counts as missing.
+    """
+    price = F.nanvl(F.col(p).cast("double"), F.lit(None).cast("double"))
+    return ticks.where(F.col(t).isNotNull()).groupBy(t).agg(F.avg(price).alias(p))
 
 
 def dense_bins(df: DataFrame, t: str, unit: str, aggs: list[Column]) -> DataFrame:

@@ -13,9 +13,8 @@ from tidemark import schemas
 from tidemark.functions import sentiment as sent
 from tidemark.functions.timeparts import day_of, hour_of, last_day, lenient_time, on_day
 from tidemark.functions.vectors import rendered, signed_label
-from tidemark.operators import evaluation, fusion, ml, ranking, sampling, text, windows
+from tidemark.operators import evaluation, fusion, ml, ranking, sampling, series, text, windows
 from tidemark.operators.interval_join import interval_join
-from tidemark.operators.series import dense_bins, price_series
 from tidemark.plans import training, views
 from tidemark.session import materialise, scratch_path, spread
 from tidemark.sources import payloads, sample, sinks, tables
@@ -235,24 +234,25 @@ def quarantine_posts(spark, sf_dir):
     return good.where(F.col("created_at").isNotNull()).select("doc_id", stamp("created_at").alias("created_at"))
 
 
-def _timed_posts(spark, sf_dir) -> DataFrame:
-    """Scored posts whose time is text, with the day and hour read back from it; some times are unreadable."""
-    written = F.when(F.col("doc_id") % 50 == 0, F.date_format("created_at", "dd/MM/yyyy")).otherwise(
+def _written_time() -> Column:
+    """Post times as text, some of them unreadable."""
+    return F.when(F.col("doc_id") % 50 == 0, F.date_format("created_at", "dd/MM/yyyy")).otherwise(
         F.date_format("created_at", "yyyy-MM-dd HH:mm:ss")
     )
-    return scored_posts(spark, sf_dir).withColumn("created_text", written).withColumns(
-        {"hour": hour_of(F.col("created_text")), "day": day_of(F.col("created_text"))}
-    )
 
 
 @query
 def hour_day_parts(spark, sf_dir):
-    written = F.when(F.col("doc_id") % 50 == 0, F.date_format("created_at", "dd/MM/yyyy")).otherwise(
-        F.date_format("created_at", "yyyy-MM-dd HH:mm:ss")
-    )
+    written = _written_time()
     return sample.posts(spark, sf_dir).select("doc_id", hour_of(written).alias("hour"), day_of(written).alias("day"))
 
 
+def _hourly_mean(spark, sf_dir, score: str) -> DataFrame:
+    """Mean score per hour of the written time; unreadable times belong to no hour."""
+    timed = scored_posts(spark, sf_dir).withColumn("hour", hour_of(_written_time())).dropna("any", subset=["hour"])
+    return timed.groupBy("hour").agg(r6(sent.mean_score(score)).alias("mean"))
+
+
 @query
 def posts_per_hour_selected_days(spark, sf_dir):
     posts = hour_day_parts(spark, sf_dir).where(F.col("day").isin(*SELECTED_DAYS))
@@ -261,12 +261,12 @@ def posts_per_hour_selected_days(spark, sf_dir):
 
 @query
 def mean_sentiment_by_hour(spark, sf_dir):
-    return _timed_posts(spark, sf_dir).dropna("any", subset=["hour"]).groupBy("hour").agg(r6(sent.mean_score("sentiment")).alias("mean"))
+    return _hourly_mean(spark, sf_dir, "sentiment")
 
 
 @query
 def mean_score2_by_hour(spark, sf_dir):
-    return _timed_posts(spark, sf_dir).dropna("any", subset=["hour"]).groupBy("hour").agg(r6(sent.mean_score("score2")).alias("mean"))
+    return _hourly_mean(spark, sf_dir, "score2")
 
 
 # Text
@@ -375,18 +375,16 @@ def contains_slice(spark, sf_dir):
 
 
 @query
-def price_series_by_minute(spark, sf_dir):
+def price_series(spark, sf_dir):
+    """The series of ticks stamped to the minute, so that many ticks share a time."""
     ticks = sample.ticks(spark, sf_dir).withColumn("t", F.date_trunc("minute", "t"))
-    return price_series(ticks).select(stamp("t").alias("t"), r6("p").alias("p")).orderBy("t")
-
-
-QUERIES["price_series"] = QUERIES.pop("price_series_by_minute")
+    return series.price_series(ticks).select(stamp("t").alias("t"), r6("p").alias("p")).orderBy("t")
 
 
 @query
 def daily_counts_dense(spark, sf_dir):
-    series = price_series(sample.ticks(spark, sf_dir))
-    bins = dense_bins(series, "t", "day", [F.count("t").alias("n_t"), F.count("p").alias("n_p")])
+    points_of_time = series.price_series(sample.ticks(spark, sf_dir))
+    bins = series.dense_bins(points_of_time, "t", "day", [F.count("t").alias("n_t"), F.count("p").alias("n_p")])
     return bins.select(F.date_format("bin", "yyyy-MM-dd").alias("day"), *[_or_zero(c) for c in ("n_t", "n_p")])
 
 
@@ -396,8 +394,8 @@ def _or_zero(column: str) -> Column:
 
 @query
 def minute_mean_price(spark, sf_dir):
-    series = price_series(sample.ticks(spark, sf_dir)).where(F.dayofmonth("t") == 16)
-    bins = dense_bins(series, "t", "minute", [F.avg("p").alias("p")])
+    chosen = series.price_series(sample.ticks(spark, sf_dir)).where(F.dayofmonth("t") == 16)
+    bins = series.dense_bins(chosen, "t", "minute", [F.avg("p").alias("p")])
     return bins.select(stamp("bin").alias("minute"), r6("p").alias("p"))
 
 
@@ -405,7 +403,7 @@ def minute_mean_price(spark, sf_dir):
 def minute_counts_posts(spark, sf_dir):
     columns = ["id", "text", "created_at", "source"]
     counted = [F.count(c).alias(f"n_{c}") for c in columns]
-    bins = dense_bins(sample.posts(spark, sf_dir), "created_at", "minute", counted)
+    bins = series.dense_bins(sample.posts(spark, sf_dir), "created_at", "minute", counted)
     return bins.select(stamp("bin").alias("minute"), *[_or_zero(f"n_{c}") for c in columns])
 
 

@@ -15,7 +15,7 @@ from tidemark.operators.interval_join import interval_join
 from tidemark.operators.transformers import WindowPivot
 from tidemark.plans import catalogue as cat
 from tidemark.plans.catalogue import points, query, r6, scored_posts, stamp
-from tidemark.session import configure, scratch_path
+from tidemark.session import configure, materialise, scratch_path
 from tidemark.sources import payloads, sample, sinks, tables
 from tidemark.streaming import feeds, jobs
 
@@ -182,7 +182,7 @@ def stream_pipeline_scores(spark, sf_dir):
     pivot = WindowPivot()
     rows = pivot.transform(ticks).join(labels.select("window_id", F.col("label").cast("double")), "window_id")
     forest = RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=ml.N_TREES, seed=ml.SEED)
-    fitted = forest.fit(cat.materialise(rows, "pipeline-training"))
+    fitted = forest.fit(materialise(rows, "pipeline-training"))
     # Neither stage needs fitting again, so fitting the pipeline only strings them together.
     model = Pipeline(stages=[pivot, fitted]).fit(ticks)
     out = scratch_path(spark, "pipeline-scores")
