@@ -45,6 +45,17 @@ def test_labels_scan_and_shuffle_ticks_once(spark, sf_dir, no_broadcast):
     assert "PushedFilters: [IsNotNull(ts)]" in plan
 
 
+def test_training_windows_shuffle_points_once(spark, sf_dir, no_broadcast):
+    from tidemark.plans.training import stock_windows
+    from tidemark.sources import sample
+
+    plan = executed(stock_windows(sample.ticks(spark, sf_dir)))
+    assert scans(plan, "ts") == 1
+    made = re.findall(r"(?<!Reused)Exchange hashpartitioning\(window_id#", plan)
+    collected = [line for line in plan.splitlines() if "partial_collect_list" in line]
+    assert len(collected) == 1 and len(made) <= 3
+
+
 def test_window_features_tokenise_once(spark, sf_dir, no_broadcast):
     plan = executed(QUERIES["window_post_features"](spark, sf_dir))
     assert plan.count("posexplode") == 1

@@ -9,8 +9,10 @@ from tidemark.operators.windows import (
     count_window_index,
     label_windows,
     pivot_windows,
+    table_summary,
     window_arrays,
     window_summary,
+    window_table,
     with_next,
 )
 
@@ -91,6 +93,12 @@ def test_wide_and_array_forms_agree(spark):
     assert arrays[1] == [p for _, p in rows[100:200]]
 
 
+@pytest.mark.parametrize("prices", [[1.0] * 50 + [None] * 160, [float(i % 17) / 4 for i in range(230)]])
+def test_both_summaries_agree(spark, prices):
+    points = count_window_index(spark.createDataFrame(flat_rows(prices), TICKS))
+    assert table_summary(window_table(points)).orderBy("window_id").collect() == window_summary(points).orderBy("window_id").collect()
+
+
 def test_other_sizes(spark):
     rows = series_rows(35, seed=2)
     points = count_window_index(spark.createDataFrame(rows, TICKS), size=10)

@@ -20,8 +20,9 @@ PRICE_UNIT = 1_000_000
 
 def count_window_index(series: DataFrame, size: int = SIZE, t: str = "t") -> DataFrame:
     """Add ``rn`` (place in the series), ``window_id`` and ``pos`` (place in the window)."""
+    # coalesce says that the id is never NULL: no null checks are added, and branches stay alike (see ordered.py).
     return numbered(series, t).select(
-        "*", F.expr(f"rn DIV {size}").alias("window_id"), F.expr(f"CAST(rn % {size} AS INT)").alias("pos")
+        "*", F.expr(f"coalesce(rn DIV {size}, 0L)").alias("window_id"), F.expr(f"CAST(rn % {size} AS INT)").alias("pos")
     )
 
 
@@ -101,9 +102,10 @@ def label_windows(summary: DataFrame, size: int = SIZE, eps: float = EPSILON) ->
     )
 
 
-def _prices_in_order(points: DataFrame, p: str) -> DataFrame:
-    in_order = F.array_sort(F.collect_list(F.struct("pos", p)))
-    return points.groupBy("window_id").agg(in_order.alias("pts")).select("window_id", F.col(f"pts.{p}").alias("prices"))
+def window_table(points: DataFrame, t: str = "t", p: str = "p") -> DataFrame:
+    """Every window as one row with its points in order: ``pts``, an array of (pos, t, p)."""
+    row = F.struct("pos", F.col(t).alias("t"), F.col(p).alias("p"))
+    return points.groupBy("window_id").agg(F.array_sort(F.collect_list(row)).alias("pts"))
 
 
 def pivot_windows(points: DataFrame, size: int = SIZE, p: str = "p") -> DataFrame:
@@ -112,9 +114,44 @@ def pivot_windows(points: DataFrame, size: int = SIZE, p: str = "p") -> DataFram
     The positions of a count window have no gaps, so the ordered prices are spread out by place: one shuffle,
     where a pivot takes two.
     """
-    return _prices_in_order(points, p).select("window_id", *[F.get("prices", F.lit(i)).alias(f"c_{i}") for i in range(size)])
+    cells = [F.get("pts.p", F.lit(i)).alias(f"c_{i}") for i in range(size)]
+    return window_table(points, p=p).select("window_id", *cells)
 
 
 def window_arrays(points: DataFrame, size: int = SIZE, p: str = "p") -> DataFrame:
     """Full windows as one ordered price array each; the narrow form that models read."""
-    return _prices_in_order(points, p).where(F.size("prices") == size)
+    return full_windows(window_table(points, p=p), size).select("window_id", "prices")
+
+
+def full_windows(table: DataFrame, size: int = SIZE) -> DataFrame:
+    """The full windows of a :func:`window_table` with their span and prices."""
+    return table.where(F.size("pts") == size).select(
+        "window_id",
+        F.element_at("pts", 1)["t"].alias("start"),
+        F.element_at("pts", -1)["t"].alias("stop"),
+        F.col("pts.p").alias("prices"),
+    )
+
+
+def _mean_of_array(units: Column) -> Column:
+    known = F.filter(units, lambda x: x.isNotNull())
+    total = F.aggregate(known, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
+    return F.try_divide(total.cast("double"), (F.size(known).cast("bigint") * PRICE_UNIT).cast("double"))
+
+
+def table_summary(table: DataFrame, present_len: int = PRESENT_LEN, future_len: int = FUTURE_LEN) -> DataFrame:
+    """:func:`window_summary` from a :func:`window_table`.
+
+    For jobs that need the prices as well: both sides then come from one shuffle of the points.
+    """
+    units = F.transform("pts", lambda point: F.round(point["p"] * PRICE_UNIT).cast("bigint"))
+    rows = table.withColumn("units", units)
+    return rows.select(
+        "window_id",
+        F.size("pts").cast("bigint").alias("n"),
+        F.element_at("pts", 1)["t"].alias("start"),
+        F.element_at("pts", -1)["t"].alias("stop"),
+        _mean_of_array(F.slice("units", 1, present_len)).alias("present_mean"),
+        _mean_of_array(F.slice("units", 1, future_len)).alias("head_mean"),
+        _mean_of_array(F.col("units")).alias("full_mean"),
+    )

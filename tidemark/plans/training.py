@@ -8,7 +8,15 @@ from tidemark.functions.sentiment import FEATURES, combine_features, fill_empty_
 from tidemark.operators.interval_join import locate
 from tidemark.operators.series import price_series
 from tidemark.operators.text import polarity
-from tidemark.operators.windows import SIZE, count_window_index, label_windows, window_arrays, window_summary
+from tidemark.operators.windows import (
+    SIZE,
+    count_window_index,
+    full_windows,
+    label_windows,
+    table_summary,
+    window_summary,
+    window_table,
+)
 
 
 def indexed_points(ticks: DataFrame, size: int = SIZE) -> DataFrame:
@@ -47,6 +55,6 @@ def scorable_post_windows(features: DataFrame) -> DataFrame:
 
 def stock_windows(ticks: DataFrame, size: int = SIZE) -> DataFrame:
     """Labelled windows with their price arrays."""
-    points = indexed_points(ticks, size)
-    labels = label_windows(window_summary(points, size), size).select("window_id", "start", "stop", "label")
-    return labels.join(window_arrays(points, size), "window_id")
+    table = window_table(indexed_points(ticks, size))
+    labels = label_windows(table_summary(table), size).select("window_id", "label")
+    return full_windows(table, size).join(labels, "window_id")
