@@ -41,6 +41,12 @@ def test_equal_posts_merge_and_are_counted(spark, lexicon):
     assert [(r.copies, r.n_tokens, r.hits, r.sum10) for r in merged] == [(3, 3, 3, 3)]
 
 
+def test_one_id_with_two_texts_stays_two_posts(spark, lexicon):
+    df = posts(spark, ["good"]).union(posts(spark, ["bad bad"])).union(posts(spark, ["good"]))
+    got = sorted((r.id, r.copies, r.hits, r.sum10) for r in text.polarity(df, lexicon).collect())
+    assert got == [("0", 1, 2, -14), ("0", 2, 1, 8)]
+
+
 def test_tokens_keep_other_scripts_and_positions(spark):
     df = spark.createDataFrame([(1, "Élan naïve-Wort ß_1 数据 9")], "id int, text string")
     rows = text.tokens(df).orderBy("position").collect()

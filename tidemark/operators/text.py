@@ -24,17 +24,20 @@ def tokens(df: DataFrame, text: str = "text", keep: Iterable[str] = ("id",), low
 def polarity(posts: DataFrame, lexicon: DataFrame, text: str = "text", keep: Iterable[str] = ("id",)) -> DataFrame:
     """Lexicon totals per post, equal posts merged.
 
-    ``lexicon`` has one row per word: ``w`` and its weight in tenths ``pol10``. Rows that agree in all ``keep``
-    columns become one, ``copies`` counts them, and the totals are those of one copy. Each post is tokenised
-    where it lies; only its totals are shuffled, never its text. Catalyst broadcasts the lexicon while its size
-    allows and joins by shuffle beyond.
+    ``lexicon`` has one row per word: ``w`` and its weight in tenths ``pol10``. Rows that agree in the ``keep``
+    columns and in their text become one, ``copies`` counts them, and the totals are those of one copy. Each post
+    is tokenised where it lies; only its totals are shuffled, with 128 bits of hash for the text. Catalyst
+    broadcasts the lexicon while its size allows and joins by shuffle beyond.
     """
     keep = list(keep)
-    words = posts.select(*keep, F.posexplode_outer(token_array(F.lower(text))).alias("position", "w"))
+    same_text = ["text_hash", "text_hash_2"]
+    # Hashed before the tokens are laid out: in the same select it would be done for every token.
+    hashed = posts.withColumns({"text_hash": F.xxhash64(text), "text_hash_2": F.xxhash64(F.lit(1), text)})
+    words = hashed.select(*keep, *same_text, F.posexplode_outer(token_array(F.lower(text))).alias("position", "w"))
     first = F.col("position").isNull() | (F.col("position") == 0)
     totals = (
         words.join(lexicon.select("w", "pol10"), "w", "left")
-        .groupBy(*keep)
+        .groupBy(*keep, *same_text)
         .agg(
             F.count_if(first).alias("copies"),
             F.count("w").alias("n_tokens"),

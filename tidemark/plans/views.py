@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.hashing import view_key
 from tidemark.functions.sentiment import FEATURES, sentiment_features
 from tidemark.functions.timeparts import last_day, on_day
-from tidemark.operators.text import content_digest, polarity
+from tidemark.operators.text import polarity
 
 
 def stocks_daily_view(ticks: DataFrame, as_of: datetime) -> DataFrame:
@@ -34,8 +34,8 @@ def posts_daily_view(
     One shuffle scores the posts, merges equal ones and counts the copies. Without posts the single row has
     zero counts and NULL means.
     """
-    today = on_day(posts, as_of, max_lag_days=max_lag_days).withColumn("digest", content_digest("text"))
-    scored = polarity(today, lexicon, keep=("id", "created_at", "source", "ingestion_date", "digest"))
+    today = on_day(posts, as_of, max_lag_days=max_lag_days)
+    scored = polarity(today, lexicon, keep=("id", "created_at", "source", "ingestion_date"))
     total = F.coalesce(F.sum("copies"), F.lit(0)).cast("bigint").alias("count")
     day = F.lit(as_of.date())
     features = sentiment_features(scored, extra=(total,))
