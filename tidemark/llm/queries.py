@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, token_counts, token_files
+from tidemark.llm import packing, simhash, token_counts, token_files
 from tidemark.llm.shared import table
 from tidemark.session import scratch_path
 
 ORACLE: dict[str, str] = {}
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.groups(table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     counted = token_counts.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -30,4 +34,4 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.checked(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op3_token_counts, op4_packing, op8_token_files)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op3_token_counts, op4_packing, op8_token_files)}
