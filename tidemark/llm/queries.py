@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, simhash, token_counts, token_files
+from tidemark.llm import packing, simhash, token_counts, token_files, winnowing
 from tidemark.llm.shared import table
 from tidemark.session import scratch_path
 
@@ -34,4 +34,30 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.checked(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op3_token_counts, op4_packing, op8_token_files)}
+def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnowing.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_items = F.coalesce(F.size("items"), F.lit(0)).cast("long")
+    listed = F.coalesce(F.array_join("items", ","), F.lit(""))
+    return found.select("doc_id", "n_words", "n_hit", n_items.alias("n_items"), F.sha2(listed, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+ORACLE["op9_winnowing"] = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+     i AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+     iw AS MATERIALIZED (
+       SELECT DISTINCT item_id, array_to_string(w[s : s + least(10, len(w)) - 1], ' ') AS x, least(10, len(w)) AS n
+       FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM i WHERE len(w) > 0)),
+     lengths AS (SELECT DISTINCT n FROM iw),
+     dw AS (SELECT r, n, s, array_to_string(w[s : s + n - 1], ' ') AS x
+            FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d JOIN lengths ON len(w) >= n)),
+     hit AS MATERIALIZED (SELECT r, s, dw.n, item_id FROM dw JOIN iw ON dw.x = iw.x AND dw.n = iw.n),
+     covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT r, unnest(range(s, s + n)) AS p FROM hit) GROUP BY r),
+     items AS (SELECT r, count(*) AS n_items, string_agg(t, ',' ORDER BY t) AS ids
+               FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS t FROM hit) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
+"""
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op3_token_counts, op4_packing, op8_token_files, op9_winnowing)}
