@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, simhash, token_counts, token_files, winnowing
+from tidemark.llm import fuzzy_lines, packing, simhash, token_counts, token_files, winnowing
 from tidemark.llm.shared import table
 from tidemark.session import scratch_path
 
@@ -28,6 +28,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.cut_documents(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op7_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = fuzzy_lines.remove_repeated(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "text", "n_lines", "n_removed")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
@@ -60,4 +65,4 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
 """
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op3_token_counts, op4_packing, op8_token_files, op9_winnowing)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op3_token_counts, op4_packing, op7_fuzzy_lines, op8_token_files, op9_winnowing)}
