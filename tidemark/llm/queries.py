@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import fuzzy_lines, packing, simhash, token_counts, token_files, winnowing
+from tidemark.llm import fuzzy_lines, outliers, packing, simhash, token_counts, token_files, winnowing
 from tidemark.llm.shared import table
 from tidemark.session import scratch_path
 
@@ -17,6 +17,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"))
 
 
+def op2_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = outliers.judge(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     counted = token_counts.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -65,4 +70,4 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
 """
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op3_token_counts, op4_packing, op7_fuzzy_lines, op8_token_files, op9_winnowing)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_outliers, op3_token_counts, op4_packing, op7_fuzzy_lines, op8_token_files, op9_winnowing)}
