@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import fuzzy_lines, outliers, packing, simhash, token_counts, token_files, winnowing
-from tidemark.llm.shared import table
+from tidemark.llm import fuzzy_lines, language, outliers, packing, simhash, token_counts, token_files, toxicity, winnowing
+from tidemark.llm.shared import held_out, table
 from tidemark.session import scratch_path
 
 ORACLE: dict[str, str] = {}
@@ -33,6 +33,19 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.cut_documents(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs.where(~held_out(F.col("doc_id"))))
+    return language.identify(docs, model, "doc_id", held_out(F.col("doc_id")).alias("held_out"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    weights = toxicity.train(docs.where(~held_out(F.col("doc_id"))), labels.where(~held_out(F.col("doc_id"))))
+    scored = toxicity.score(docs, weights, "doc_id", held_out(F.col("doc_id")).alias("held_out"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op7_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = fuzzy_lines.remove_repeated(table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "text", "n_lines", "n_removed")
@@ -70,4 +83,4 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
 """
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_outliers, op3_token_counts, op4_packing, op7_fuzzy_lines, op8_token_files, op9_winnowing)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_outliers, op3_token_counts, op4_packing, op5_language, op6_toxicity, op7_fuzzy_lines, op8_token_files, op9_winnowing)}
