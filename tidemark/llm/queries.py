@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import fuzzy_lines, language, outliers, packing, simhash, token_counts, token_files, toxicity, winnowing
+from tidemark.llm import fuzzy_lines, language, outliers, packing, page_text, simhash, token_counts, token_files, toxicity, winnowing
 from tidemark.llm.shared import held_out, table
 from tidemark.session import scratch_path
 
@@ -64,6 +64,12 @@ def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", n_items.alias("n_items"), F.sha2(listed, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = page_text.main_texts(pages, page_text.train_on(pages), "page_id", "url")
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 _WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 ORACLE["op9_winnowing"] = f"""
 WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
@@ -83,4 +89,4 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
 """
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_outliers, op3_token_counts, op4_packing, op5_language, op6_toxicity, op7_fuzzy_lines, op8_token_files, op9_winnowing)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_outliers, op3_token_counts, op4_packing, op5_language, op6_toxicity, op7_fuzzy_lines, op8_token_files, op9_winnowing, op10_page_text)}

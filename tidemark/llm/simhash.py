@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import golay
 from tidemark.llm.components import components
-from tidemark.llm.shared import parallelism, texts_of
+from tidemark.llm.shared import texts_of
 from tidemark.session import materialise
 
 SEGMENTS = (13, 13, 13, 13, 12)
@@ -116,19 +116,17 @@ def _midpoint_links(prints: DataFrame) -> DataFrame:
                 docs = part.column("doc").take(pa.array(np.repeat(np.arange(part.num_rows), middles.shape[1])))
                 yield pa.RecordBatch.from_arrays([pa.array(middles.ravel()), docs], ["middle", "a"])
 
-    spread = prints.repartition(4 * parallelism(prints.sparkSession), "fingerprint")  # few rows, much work for each
+    spread = prints.repartition(-(-prints.count() // 100) or 1)  # few rows, much work for each
     met = spread.select("fingerprint", "doc").mapInArrow(make, "middle long, a long")
     before = F.lag("a").over(Window.partitionBy("middle").orderBy("a"))
     return met.select("a", before.alias("b")).where("b is not null").distinct()
 
 
-def links(prints: DataFrame, most: int = 256) -> DataFrame:
+def links(prints: DataFrame, most: int = 16) -> DataFrame:
     """a, b: links that connect all of ``prints`` (fingerprint, doc, both unique) at four or fewer differing bits."""
     keyed = materialise(_keyed(prints), "fuzzy-keys")
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("n"))
-    some = sizes.where(f"n between 2 and {most}").select("key")
-    hot = sizes.where(f"n > {most}").select("key")
-    left = keyed.join(some, "key")
+    hot = materialise(keyed.groupBy("key").agg(F.count("*").alias("n")).where(f"n > {most}").select("key"), "crowded-keys")
+    left = keyed.join(hot, "key", "left_anti")
     right = left.select("key", F.col("fingerprint").alias("other"), F.col("doc").alias("b"))
     same = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("other"))) <= 4
     found = left.join(right, "key").where((F.col("doc") > F.col("b")) & same).select(F.col("doc").alias("a"), "b")
@@ -136,7 +134,7 @@ def links(prints: DataFrame, most: int = 256) -> DataFrame:
     return found.union(_midpoint_links(crowded)).distinct()
 
 
-def groups(docs: DataFrame, words_in_shingle: int = 4, most: int = 256) -> DataFrame:
+def groups(docs: DataFrame, words_in_shingle: int = 4, most: int = 16) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits), component_id (least id reachable) of every row."""
     made = materialise(fingerprints(docs, words_in_shingle), "fingerprints")
     firsts = made.groupBy("fingerprint").agg(F.min("doc_id").alias("doc"))
@@ -155,7 +153,7 @@ def _shared_ids(made: DataFrame, distinct: DataFrame) -> DataFrame:
     return rows
 
 
-def deduplicate(docs: DataFrame, words_in_shingle: int = 4, most: int = 256) -> DataFrame:
+def deduplicate(docs: DataFrame, words_in_shingle: int = 4, most: int = 16) -> DataFrame:
     """``docs`` with one row of each group: the least id, and the least text if rows share it."""
     kept = groups(docs, words_in_shingle, most).where("doc_id = component_id or component_id is null").select("doc_id").distinct()
     place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last()))

@@ -26,14 +26,15 @@ from tidemark.llm.shared import texts_of
 from tidemark.session import materialise
 
 HEAD = 100_000  # pre-tokens looked up in memory, at most
-_FLUSH = 400_000  # distinct pre-tokens a task keeps before it hands on their counts
+_FLUSH = 600_000  # distinct pre-tokens a task keeps before it hands on their counts
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # no apostrophe: it may belong to what follows
 _SPECIAL = "\0"  # marks a special string; no pre-token begins with it, as byte-level texts hold no NUL
 
 _readers: dict[int, PreTokens] = {}
 
 
 class PreTokens:
-    """Pre-tokens of texts, asked of the library once per distinct run without white space."""
+    """Pre-tokens of texts, found once per distinct run without white space."""
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
@@ -42,33 +43,49 @@ class PreTokens:
         self.model, self.normalizer, self.pre_tokenizer = tokenizer.model, tokenizer.normalizer, tokenizer.pre_tokenizer
         special = [re.escape(x.content) for x in tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("(" + "|".join(sorted(special, key=len, reverse=True)) + ")") if special else None
-        self.known: dict[str, tuple[str, ...]] = {}
-
-    def of_run(self, run: str) -> tuple[str, ...]:
-        if run.isascii() and run.isalpha():
-            return (run.lower(),)  # one run of letters, whatever the library is asked
-        if (got := self.known.get(run)) is not None:
-            return got
+        self.sums: dict[str, int] = {}
+
+    def of_run(self, run: str) -> list[str]:
+        """Pre-tokens of a run; only what isn't plain letters and marks needs the library."""
+        if run.isascii():
+            if run.isalpha():
+                return [run.lower()]
+            letters = run.rstrip(_MARKS)
+            if letters.isalpha():
+                return [letters.lower(), run[len(letters) :]]
         out: list[str] = []
         for i, part in enumerate(self.special.split(run) if self.special else [run]):
             if i % 2:
                 out.append(_SPECIAL + part)
             elif part:
                 normal = self.normalizer.normalize_str(part) if self.normalizer else part
-                out.extend(x for x, _ in self.pre_tokenizer.pre_tokenize_str(normal))
-        if len(self.known) > _FLUSH:
-            self.known.clear()
-        if len(run) <= 64:
-            self.known[run] = tuple(out)
-        return tuple(out)
-
-    def counts(self, text: str) -> Counter[str]:
-        out: Counter[str] = Counter()
-        for run, n in Counter(tokens.at_white_space(text)).items():
+                out.extend([x for x, _ in self.pre_tokenizer.pre_tokenize_str(normal)])
+        return out
+
+    def of_runs(self, runs: dict[str, int]) -> dict[str, int]:
+        out: dict[str, int] = {}
+        for run, n in runs.items():
             for piece in self.of_run(run) if run else ():
-                out[piece] += n
+                out[piece] = out.get(piece, 0) + n
         return out
 
+    def known_sum(self, runs: list[str], look_up: dict[str, int]) -> tuple[int, dict[str, int]]:
+        """Pieces of the runs whose pre-tokens are all in ``look_up``, and the pre-tokens of the others."""
+        found = list(map(self.sums.get, runs))
+        if None not in found:
+            return sum(found), {}
+        other: list[str] = []
+        for run in [r for r, n in zip(runs, found, strict=True) if n is None]:
+            pieces = [look_up.get(x) for x in (self.of_run(run) if run else [])]
+            if None in pieces:
+                other.append(run)
+            else:
+                if len(self.sums) > _FLUSH:
+                    self.sums.clear()
+                self.sums[run] = sum(pieces)
+                found.append(sum(pieces))
+        return sum(filter(None, found)), self.of_runs(Counter(other))
+
     def pieces(self, pre_token: str) -> int:
         return 1 if pre_token.startswith(_SPECIAL) else len(self.model.tokenize(pre_token))
 
@@ -89,7 +106,7 @@ def vocabulary(docs: DataFrame, tokenizer_path: str) -> DataFrame:
 
         reader, seen = _reader(definition), Counter()
 
-        def rows(found: Counter):
+        def rows(found: dict[str, int]):
             words = list(found)
             for i in range(0, len(words), 50_000):
                 part = words[i : i + 50_000]
@@ -97,11 +114,11 @@ def vocabulary(docs: DataFrame, tokenizer_path: str) -> DataFrame:
 
         for batch in batches:
             for text in texts_of(batch):
-                seen.update(reader.counts(text))
+                seen.update(tokens.at_white_space(tokens.lowered(text)))
                 if len(seen) > _FLUSH:
-                    yield from rows(seen)
+                    yield from rows(reader.of_runs(seen))
                     seen = Counter()
-        yield from rows(seen)
+        yield from rows(reader.of_runs(seen))
 
     def pieces(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -135,12 +152,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, head: int = HEAD) -> Data
                 lengths, sums, rest, counts = [], [], [], []
                 for text in texts_of(part):
                     lengths.append(len(text.encode()))
-                    total, other = 0, {}
-                    for piece, n in reader.counts(text).items():
-                        if (pieces := look_up.get(piece)) is None:
-                            other[piece] = n
-                        else:
-                            total += n * pieces
+                    total, other = reader.known_sum(tokens.at_white_space(tokens.lowered(text)), look_up)
                     sums.append(total)
                     rest.append(list(other))
                     counts.append(list(other.values()))
