@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.timeparts import day_of, hour_of, lenient_time
-from tidemark.session import materialise, scratch_path, shared_dir, spread
+from tidemark.session import materialise, scratch_path, shared_dir
 from tidemark.sources import payloads, sinks, tables
 
 T = datetime(2024, 1, 2, 3, 4, 5, 678901)
@@ -151,8 +151,11 @@ def test_materialised_tables_stand_alone(spark):
     assert df.count() == 10 and "Range" not in df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_small_scans_are_spread(spark, tmp_path):
-    path = str(tmp_path / "one")
-    spark.range(10).coalesce(1).write.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.read.parquet(path)).rdd.getNumPartitions() == cores
+
+def test_bad_messages_are_told_apart(spark):
+    good = "2024-03-01 00:00:01,2.5,2\n2024-03-01 00:00:00,1.5,1"
+    rows = [(0, good), (1, good + "\nshort"), (2, good + "\n2024-03-01 00:00:02,dear,3"), (3, good + "\nnever,1,3"), (4, None), (5, good + "\n2024-03-01 00:00:02,3.5,3")]
+    messages = spark.createDataFrame(rows, "window_id long, payload string")
+    got = {r.window_id: r.reason for r in payloads.checked_windows(messages, size=2).collect()}
+    assert got == {0: None, 1: "bad point", 2: "bad point", 3: "bad point", 4: "no payload", 5: "other length"}
+    assert [(r.window_id, r.prices) for r in payloads.parse_window_payload(messages, size=2).collect()] == [(0, [1.5, 2.5])]

@@ -107,7 +107,7 @@ def test_repeated_ids_within_lateness(spark, tmp_path):
     for ids in (["a", "b", "a"], ["b", "c"]):
         rows = [(i, START) for i in ids]
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
-    feeds.drain(jobs.distinct_posts(feeds.file_stream(spark, path, spark.read.parquet(path).schema)), out, checkpoint)
+    feeds.drain(jobs.distinct_posts(feeds.file_stream(spark, path, spark.read.parquet(path).schema), "1 day"), out, checkpoint)
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
 
 
@@ -119,7 +119,7 @@ def test_very_many_copies_of_one_id(spark, tmp_path):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
     stream = feeds.file_stream(spark, path, spark.read.parquet(path).schema, max_files=2)
     marked = stream.select("*", F.col("_metadata.file_name").alias("file"))
-    feeds.drain(jobs.distinct_posts(marked, copies_by="file"), out, checkpoint)
+    feeds.drain(jobs.distinct_posts(marked, "1 day", copies_by="file"), out, checkpoint)
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["hot", "x0", "x1", "x2", "y"]
 
 
@@ -134,6 +134,8 @@ def test_stream_join_holds_bounds(spark, tmp_path):
     joined = jobs.pair_windows_with_posts(
         feeds.file_stream(spark, str(tmp_path / "w"), windows.schema, max_files=None),
         feeds.file_stream(spark, str(tmp_path / "p"), rows.schema, max_files=None),
+        "1 day",
+        "7 days",
     )
     feeds.drain(joined, str(tmp_path / "out"), str(tmp_path / "cp"))
     got = sorted((r.window_id, r.id) for r in spark.read.parquet(str(tmp_path / "out")).collect())
@@ -144,7 +146,7 @@ def test_open_day_stays_open(spark, tmp_path):
     path, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
     rows = spark.createDataFrame([(START + timedelta(hours=h), float(h)) for h in range(30)], TICKS)
     rows.write.parquet(path)
-    feeds.drain(jobs.daily_ticks(feeds.file_stream(spark, path, rows.schema, max_files=None)), out, checkpoint)
+    feeds.drain(jobs.daily_ticks(feeds.file_stream(spark, path, rows.schema, max_files=None), "1 hour"), out, checkpoint)
     assert [(r["count"], r.max_price) for r in spark.read.parquet(out).collect()] == [(24, 23.0)]
 
 
@@ -154,3 +156,19 @@ def test_run_for_stops_a_running_query(spark, tmp_path):
     stream = feeds.file_stream(spark, path, spark.read.parquet(path).schema)
     query = stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "cp")).start()
     assert feeds.run_for(query, 3) is False and not query.isActive
+
+
+def test_ten_day_window_keeps_both_posts(spark, tmp_path):
+    day = lambda d: START + timedelta(days=d)
+    windows = spark.createDataFrame([(0, day(0), day(10))], "window_id long, start timestamp, stop timestamp")
+    rows = spark.createDataFrame([(0, "a", day(1)), (0, "b", day(9))], "window_id long, id string, created_at timestamp")
+    windows.write.parquet(str(tmp_path / "w"))
+    rows.write.parquet(str(tmp_path / "p"))
+    joined = jobs.pair_windows_with_posts(
+        feeds.file_stream(spark, str(tmp_path / "w"), windows.schema, max_files=None),
+        feeds.file_stream(spark, str(tmp_path / "p"), rows.schema, max_files=None),
+        "1 day",
+        "30 days",
+    )
+    feeds.drain(joined, str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b"]

@@ -122,3 +122,10 @@ def test_dense_bins_fill_gaps(spark):
     assert dense_bins(df.where("false"), "t", "minute", [F.avg("p").alias("p")]).count() == 0
     with pytest.raises(ValueError):
         dense_bins(df, "t", "hour", [])
+
+
+def test_small_and_endless_prices(spark):
+    rows = flat_rows([1e-7, 4e-7, float("inf"), float("nan")])
+    summary = window_summary(count_window_index(price_series(spark.createDataFrame(rows, TICKS)), 4), 4, 4, 2)
+    got = summary.first()
+    assert abs(got.head_mean - 2.5e-7) < 1e-12 and abs(got.full_mean - 2.5e-7) < 1e-12

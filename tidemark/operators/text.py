@@ -62,21 +62,25 @@ def content_digest(text: str = "text") -> Column:
     return F.sha2(F.col(text), 256)
 
 
-def term_counts(df: DataFrame, stopwords: DataFrame, text: str = "text") -> DataFrame:
-    """Lower-cased tokens with their counts.
+def term_counts(df: DataFrame, stopwords: DataFrame, text: str = "text", keep: Iterable[str] = ()) -> DataFrame:
+    """Lower-cased tokens with their counts, per ``keep``.
 
     Stop words are matched before lower-casing: a capitalised one stays in. ``stopwords`` has the column ``w``.
     """
     return (
-        df.select(F.explode(token_array(F.col(text))).alias("w"))
+        df.select(*keep, F.explode(token_array(F.col(text))).alias("w"))
         .join(stopwords.select("w"), "w", "left_anti")
-        .groupBy(F.lower("w").alias("term"))
+        .groupBy(*keep, F.lower("w").alias("term"))
         .agg(F.count("*").alias("n"))
     )
 
 
+def top(counts: DataFrame, k: int = 100) -> DataFrame:
+    return counts.orderBy(F.desc("n"), "term").limit(k)
+
+
 def top_terms(df: DataFrame, stopwords: DataFrame, text: str = "text", k: int = 100) -> DataFrame:
-    return term_counts(df, stopwords, text).orderBy(F.desc("n"), "term").limit(k)
+    return top(term_counts(df, stopwords, text), k)
 
 
 def allowed_terms(top: DataFrame, allowed: Iterable[str]) -> DataFrame:

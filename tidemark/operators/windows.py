@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordered import numbered
+from tidemark.operators.series import MILLION, exact, exact_mean
 
 # Window length, points compared on either side, and the width of "no change".
 SIZE = 100
@@ -13,10 +14,6 @@ PRESENT_LEN = 99
 FUTURE_LEN = 19
 EPSILON = 0.02
 
-# Prices are summed as whole millionths, so a mean does not depend on the order of its rows and comparisons
-# with EPSILON come out the same on every run.
-PRICE_UNIT = 1_000_000
-
 
 def count_window_index(series: DataFrame, size: int = SIZE, t: str = "t") -> DataFrame:
     """Add ``rn`` (place in the series), ``window_id`` and ``pos`` (place in the window)."""
@@ -26,14 +23,9 @@ def count_window_index(series: DataFrame, size: int = SIZE, t: str = "t") -> Dat
     )
 
 
-def _units(p: str) -> Column:
-    return F.round(F.col(p) * PRICE_UNIT).cast("bigint")
-
-
-def _mean_units(p: str, keep: Column | None = None) -> Column:
-    units = _units(p) if keep is None else F.when(keep, _units(p))
-    # try_divide: a window whose prices are all missing has no mean.
-    return F.try_divide(F.sum(units).cast("double"), (F.count(units) * PRICE_UNIT).cast("double"))
+def _mean(p: str, keep: Column | None = None) -> Column:
+    price = exact(F.col(p))
+    return exact_mean(price if keep is None else F.when(keep, price))
 
 
 def window_summary(
@@ -50,9 +42,9 @@ def window_summary(
         F.count("*").alias("n"),
         F.min(t).alias("start"),
         F.max(t).alias("stop"),
-        _mean_units(p, pos < present_len).alias("present_mean"),
-        _mean_units(p, pos < future_len).alias("head_mean"),
-        _mean_units(p).alias("full_mean"),
+        _mean(p, pos < present_len).alias("present_mean"),
+        _mean(p, pos < future_len).alias("head_mean"),
+        _mean(p).alias("full_mean"),
     )
 
 
@@ -133,10 +125,10 @@ def full_windows(table: DataFrame, size: int = SIZE) -> DataFrame:
     )
 
 
-def _mean_of_array(units: Column) -> Column:
-    known = F.filter(units, lambda x: x.isNotNull())
-    total = F.aggregate(known, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
-    return F.try_divide(total.cast("double"), (F.size(known).cast("bigint") * PRICE_UNIT).cast("double"))
+def _mean_of_array(prices: Column) -> Column:
+    known = F.filter(prices, lambda x: x.isNotNull())
+    total = F.aggregate(known, F.lit(0).cast("decimal(38,12)"), lambda acc, x: (acc + x).cast("decimal(38,12)"))
+    return F.try_divide((total * MILLION).cast("double"), (F.size(known).cast("bigint") * MILLION).cast("double"))
 
 
 def table_summary(table: DataFrame, present_len: int = PRESENT_LEN, future_len: int = FUTURE_LEN) -> DataFrame:
@@ -144,14 +136,13 @@ def table_summary(table: DataFrame, present_len: int = PRESENT_LEN, future_len:
 
     For jobs that need the prices as well: both sides then come from one shuffle of the points.
     """
-    units = F.transform("pts", lambda point: F.round(point["p"] * PRICE_UNIT).cast("bigint"))
-    rows = table.withColumn("units", units)
+    rows = table.withColumn("exact", F.transform("pts", lambda point: exact(point["p"])))
     return rows.select(
         "window_id",
         F.size("pts").cast("bigint").alias("n"),
         F.element_at("pts", 1)["t"].alias("start"),
         F.element_at("pts", -1)["t"].alias("stop"),
-        _mean_of_array(F.slice("units", 1, present_len)).alias("present_mean"),
-        _mean_of_array(F.slice("units", 1, future_len)).alias("head_mean"),
-        _mean_of_array(F.col("units")).alias("full_mean"),
+        _mean_of_array(F.slice("exact", 1, present_len)).alias("present_mean"),
+        _mean_of_array(F.slice("exact", 1, future_len)).alias("head_mean"),
+        _mean_of_array(F.col("exact")).alias("full_mean"),
     )

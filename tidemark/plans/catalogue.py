@@ -14,9 +14,9 @@ from tidemark.functions import sentiment as sent
 from tidemark.functions.timeparts import day_of, hour_of, last_day, lenient_time, on_day
 from tidemark.functions.vectors import rendered, signed_label
 from tidemark.operators import evaluation, fusion, ml, ranking, sampling, series, text, windows
-from tidemark.operators.interval_join import interval_join
+from tidemark.operators.interval_join import interval_join, locate
 from tidemark.plans import training, views
-from tidemark.session import materialise, scratch_path, spread
+from tidemark.session import materialise, scratch_path
 from tidemark.sources import payloads, sample, sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,11 +44,15 @@ def rounded(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: r6(n) for n in names})
 
 
-def scored_posts(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
+def scored_posts(spark: SparkSession, sf_dir: str, *keep: str, docs: DataFrame | None = None) -> DataFrame:
+    """Totals of the documents' texts, then the times: only numbers are joined, texts stay where they are."""
     columns = keep or ("doc_id", "created_at")
-    return text.polarity(sample.posts(spark, sf_dir, tokenise=True), sample.lexicon(spark), keep=columns).withColumns(
-        {"sentiment": sent.polarity_value(), "score2": text.polarity_share()}
-    )
+    own = [c for c in columns if c != "created_at"]
+    docs = sample.documents(spark, sf_dir) if docs is None else docs
+    totals = text.polarity(docs, sample.lexicon(spark), keep=own)
+    dated = sample.dated(totals, spark, sf_dir)
+    dated = dated if "created_at" in columns else dated.drop("created_at")
+    return dated.withColumns({"sentiment": sent.polarity_value(), "score2": text.polarity_share()})
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,6 +134,20 @@ def parse_window_payload(spark, sf_dir):
     )
 
 
+def _messages(spark, sf_dir) -> DataFrame:
+    """Every window as a message; of every seventh one point is damaged, in one of three ways."""
+    sent = payloads.window_payload(points(spark, sf_dir))
+    damage = F.when(F.col("window_id") % 3 == 0, "no number").when(F.col("window_id") % 3 == 1, "2024-01-01 00:00:00,cheap,5").otherwise("someday,1.5,7")
+    return sent.withColumn("payload", F.when(F.col("window_id") % 7 == 0, F.concat_ws("\n", "payload", damage)).otherwise(F.col("payload")))
+
+
+@query
+def quarantine_messages(spark, sf_dir):
+    """Messages with a bad point, or of another length, with the reason; the others go on."""
+    checked = payloads.checked_windows(_messages(spark, sf_dir), size=windows.SIZE)
+    return checked.select("window_id", F.coalesce("reason", F.lit("ok")).alias("reason"))
+
+
 @query
 def replay_windows_ticks(spark, sf_dir):
     """All windows as numbered tick files."""
@@ -144,7 +162,8 @@ def replay_windows_ticks(spark, sf_dir):
 def replay_first_points(spark, sf_dir):
     """The first 1,500 points, one file set per window."""
     path = scratch_path(spark, "replay-first")
-    first = points(spark, sf_dir).where(F.col("rn") < 1500)
+    earliest = series.price_series(sample.ticks(spark, sf_dir)).orderBy("t").limit(1500)
+    first = windows.count_window_index(earliest)
     sinks.export_windows(first.select("t", "p", (F.col("pos") + 1).alias("num"), "window_id"), path)
     back = tables.read_csv(spark, f"{path}/folder=*", schemas.TICK_FILE)
     return back.groupBy("window_id").agg(
@@ -204,7 +223,7 @@ def stocks_daily_view(spark, sf_dir):
 
 
 def _posts_view(spark, sf_dir, as_of):
-    view = views.posts_daily_view(sample.posts(spark, sf_dir), sample.lexicon(spark), as_of)
+    view = views.posts_day_summary(scored_posts(spark, sf_dir, "doc_id", "source", "created_at"), as_of)
     return rounded(view, "mean_neg", "mean_pos", "mean_neutral").withColumn("day", F.col("day").cast("string"))
 
 
@@ -248,14 +267,17 @@ def hour_day_parts(spark, sf_dir):
 
 
 def _hourly_mean(spark, sf_dir, score: str) -> DataFrame:
-    """Mean score per hour of the written time; unreadable times belong to no hour."""
-    timed = scored_posts(spark, sf_dir).withColumn("hour", hour_of(_written_time())).dropna("any", subset=["hour"])
+    """Mean score per hour of the time written in the post."""
+    written = F.date_format("created_at", "yyyy-MM-dd HH:mm:ss")
+    timed = scored_posts(spark, sf_dir).withColumn("hour", hour_of(written)).dropna("any", subset=["hour"])
     return timed.groupBy("hour").agg(r6(sent.mean_score(score)).alias("mean"))
 
 
 @query
 def posts_per_hour_selected_days(spark, sf_dir):
-    posts = hour_day_parts(spark, sf_dir).where(F.col("day").isin(*SELECTED_DAYS))
+    written = F.date_format("created_at", "yyyy-MM-dd HH:mm:ss")
+    timed = sample.dated(sample.documents(spark, sf_dir).select("doc_id"), spark, sf_dir)
+    posts = timed.select(hour_of(written).alias("hour"), day_of(written).alias("day")).where(F.col("day").isin(*SELECTED_DAYS))
     return posts.groupBy("hour").agg(F.count("*").alias("n")).orderBy("hour")
 
 
@@ -312,23 +334,17 @@ def sentiment_features_default(spark, sf_dir):
 @query
 def tokenize_counts(spark, sf_dir):
     """Tokens and distinct tokens per language; counted per token first, so that no task holds a token set."""
-    tokens = text.tokens(spread(sample.documents(spark, sf_dir).select("lang", "text")), keep=("lang",))
+    tokens = text.tokens(sample.documents(spark, sf_dir).select("lang", "text"), keep=("lang",))
     per_token = tokens.groupBy("lang", "token").agg(F.count("*").alias("n"))
     return per_token.groupBy("lang").agg(F.sum("n").alias("n_tokens"), F.count("*").alias("n_distinct"))
 
 
-def _positive_sample(spark, sf_dir) -> DataFrame:
-    """Texts of up to 100,000 posts with a positive score."""
-    positive = scored_posts(spark, sf_dir, "doc_id").where(F.col("sentiment") > 0)
-    chosen = sampling.sample_fixed(positive, 100_000, key="doc_id")
-    texts = spread(sample.documents(spark, sf_dir).select("doc_id", "text"))
-    # At most 100,000 numbers by construction, so they can go to every task and the texts stay where they are.
-    return texts.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi")
-
-
 @query
 def top_terms_positive(spark, sf_dir):
-    return text.top_terms(_positive_sample(spark, sf_dir), sample.stopwords(spark))
+    """Terms of all posts with a positive score. Counted per document first, so that texts are never joined."""
+    positive = scored_posts(spark, sf_dir, "doc_id").where(F.col("sentiment") > 0).select("doc_id")
+    per_post = text.term_counts(sample.documents(spark, sf_dir), sample.stopwords(spark), keep=("doc_id",))
+    return text.top(per_post.join(positive, "doc_id", "left_semi").groupBy("term").agg(F.sum("n").alias("n")))
 
 
 @query
@@ -365,8 +381,8 @@ def bottom_k_score2(spark, sf_dir):
 @query
 def contains_slice(spark, sf_dir):
     """Posts with a term: places 61 to 100 from the top of the second score."""
-    posts = sample.posts(spark, sf_dir, tokenise=True).where(F.col("text").contains("tion"))
-    scored = text.polarity(posts, sample.lexicon(spark), keep=("doc_id",)).withColumn("score2", text.polarity_share())
+    docs = sample.documents(spark, sf_dir).where(F.col("text").contains("tion"))
+    scored = scored_posts(spark, sf_dir, "doc_id", docs=docs)
     places = ranking.rank_slice(scored, [F.desc("score2"), F.col("doc_id")], 61, 100)
     return places.select("doc_id", r6("score2").alias("score2"))
 
@@ -403,7 +419,9 @@ def minute_mean_price(spark, sf_dir):
 def minute_counts_posts(spark, sf_dir):
     columns = ["id", "text", "created_at", "source"]
     counted = [F.count(c).alias(f"n_{c}") for c in columns]
-    bins = series.dense_bins(sample.posts(spark, sf_dir), "created_at", "minute", counted)
+    docs = sample.documents(spark, sf_dir).select("doc_id", *[F.when(F.col(c).isNotNull(), 1).alias(c) for c in ("text", "source")])
+    posts = sample.dated(docs, spark, sf_dir).withColumn("id", F.col("doc_id"))
+    bins = series.dense_bins(posts, "created_at", "minute", counted)
     return bins.select(stamp("bin").alias("minute"), *[_or_zero(f"n_{c}") for c in columns])
 
 
@@ -440,15 +458,17 @@ def present_future_means(spark, sf_dir):
 
 @query
 def interval_join_counts(spark, sf_dir):
-    """Posts per window, row by row and zeros included."""
-    spans = labelled(spark, sf_dir).select("window_id", "start", "stop")
-    posts = sample.posts(spark, sf_dir).select("id", "created_at")
-    found = interval_join(posts, spans, "created_at").groupBy("window_id").agg(F.count("*").alias("n"))
+    """Posts per window, zeros included: counted per instant, then per window."""
+    summary = windows.window_summary(points(spark, sf_dir))
+    spans = summary.where(F.col("n") == windows.SIZE).select("window_id", "start", "stop")
+    times = sample.dated(sample.documents(spark, sf_dir).select("doc_id"), spark, sf_dir)
+    per_instant = times.groupBy("created_at").agg(F.count("*").alias("n"))
+    found = locate(per_instant, spans, "created_at").groupBy("window_id").agg(F.sum("n").alias("n"))
     return spans.join(found, "window_id", "left").select("window_id", _or_zero("n"))
 
 
 def post_windows(spark, sf_dir) -> DataFrame:
-    return training.post_windows(sample.ticks(spark, sf_dir), sample.posts(spark, sf_dir, tokenise=True), sample.lexicon(spark))
+    return training.scored_post_windows(sample.ticks(spark, sf_dir), scored_posts(spark, sf_dir))
 
 
 def _shown_features(df: DataFrame) -> DataFrame:

@@ -76,11 +76,10 @@ _CTES = {
         SELECT -1 - window_id, [ps[1], ps[2], 0.0::DOUBLE], [ps[2], ps[1], 0.0::DOUBLE] FROM models""",
     "fused": """SELECT window_id, ps, pp, ps[1] + pp[1] AS c0, ps[2] + pp[2] AS c1, ps[3] + pp[3] AS c2 FROM paired""",
     "fused_label": """SELECT *, CASE WHEN c0 >= c1 AND c0 >= c2 THEN 0 WHEN c1 >= c2 THEN 1 ELSE 2 END AS label FROM fused""",
-    "timed": """SELECT *, CASE WHEN doc_id % 50 = 0 THEN NULL ELSE strftime(created_at, '%H') END AS hour,
-        CASE WHEN doc_id % 50 = 0 THEN NULL ELSE strftime(created_at, '%d') END AS day FROM scored""",
-    "sampled": """SELECT doc_id FROM scored WHERE sentiment > 0 ORDER BY md5(concat(doc_id, ':42')), doc_id LIMIT 100000""",
+    "timed": "SELECT *, strftime(created_at, '%H') AS hour, strftime(created_at, '%d') AS day FROM scored",
+    "positive": "SELECT doc_id FROM scored WHERE sentiment > 0",
     "terms": r"""SELECT lower(w) AS term, count(*) AS n FROM
-        (SELECT unnest(regexp_extract_all(text, '[\p{L}\p{N}_]+')) AS w FROM documents WHERE doc_id IN (SELECT doc_id FROM sampled)) AS raw
+        (SELECT unnest(regexp_extract_all(text, '[\p{L}\p{N}_]+')) AS w FROM documents WHERE doc_id IN (SELECT doc_id FROM positive)) AS raw
         WHERE w NOT IN (SELECT w FROM stopwords) GROUP BY 1""",
     "top_terms": "SELECT term, n FROM terms ORDER BY n DESC, term LIMIT 100",
     "confused": "SELECT quality AS label, toxic AS prediction, count(*) AS n FROM labels GROUP BY ALL",
@@ -103,8 +102,8 @@ _NEEDS = {
     "fused": ["paired"],
     "fused_label": ["fused"],
     "timed": ["scored"],
-    "sampled": ["scored"],
-    "terms": ["sampled", "stopwords"],
+    "positive": ["scored"],
+    "terms": ["positive", "stopwords"],
     "top_terms": ["terms"],
     "guesses": ["labelled"],
 }
@@ -216,6 +215,8 @@ ORACLE: dict[str, str] = {
         round(present_mean, 6) AS present_mean, round(future_mean, 6) AS future_mean, label FROM labelled"""),
     "present_future_means": _with("summary", """SELECT window_id, round(present_mean, 6) AS present_mean,
         round(lead(head20_mean) OVER (ORDER BY window_id), 6) AS future_mean FROM summary"""),
+    "quarantine_messages": _with("summary", """SELECT window_id, CASE WHEN window_id % 7 = 0 THEN 'bad point'
+        WHEN n <> 100 THEN 'other length' ELSE 'ok' END AS reason FROM summary"""),
     "interval_join_counts": _with("labelled posts", """SELECT l.window_id, count(p.id) AS n FROM labelled l
         LEFT JOIN posts p ON p.created_at >= l.start_t AND p.created_at <= l.stop_t GROUP BY l.window_id"""),
     "window_post_features": _with("window_features", f"{_FEATURE_ROWS}, mean_neg, mean_pos, mean_neutral FROM window_features WHERE {_ALL_BUCKETS}"),

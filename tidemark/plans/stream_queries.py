@@ -112,7 +112,7 @@ def stream_daily_ticks(spark, sf_dir):
     events = feeds.file_stream(configure(spark), f"{sf_dir}/events.parquet*", schemas.EVENTS, max_files=None)
     ticks = events.select(F.col("ts").alias("t"), F.col("value").alias("p"))
     schema = "day date, count long, min_price double, max_price double, avg_price double"
-    back = _drained(jobs.daily_ticks(ticks), "daily-ticks", schema)
+    back = _drained(jobs.daily_ticks(ticks, lateness="1 hour"), "daily-ticks", schema)
     return back.select(F.col("day").cast("string").alias("day"), "count", "min_price", "max_price", r6("avg_price").alias("avg_price"))
 
 
@@ -127,6 +127,7 @@ def stream_interval_join(spark, sf_dir):
         feeds.file_stream(spark, window_path, window_schema, max_files=4),
         feeds.file_stream(spark, post_path, post_schema, max_files=4),
         lateness=WHOLE_SAMPLE,
+        longest_window=WHOLE_SAMPLE,
     )
     back = _drained(joined, "interval-join", "window_id long, id string, created_at timestamp")
     return back.groupBy("window_id").agg(F.count("*").alias("n"))

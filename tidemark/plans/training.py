@@ -39,7 +39,11 @@ def window_sentiment(windows: DataFrame, scored: DataFrame) -> DataFrame:
 
 def post_windows(ticks: DataFrame, posts: DataFrame, lexicon: DataFrame, size: int = SIZE) -> DataFrame:
     """Labelled windows with raw sentiment features (NULL mean = no post of that kind)."""
-    scored = polarity(posts, lexicon, keep=("id", "created_at"))
+    return scored_post_windows(ticks, polarity(posts, lexicon, keep=("id", "created_at")), size)
+
+
+def scored_post_windows(ticks: DataFrame, scored: DataFrame, size: int = SIZE) -> DataFrame:
+    """:func:`post_windows` for posts whose totals are there already (created_at, sum10, hits)."""
     return window_sentiment(labelled_windows(ticks, size), scored)
 
 

@@ -35,7 +35,15 @@ def posts_daily_view(
     zero counts and NULL means.
     """
     today = on_day(posts, as_of, max_lag_days=max_lag_days)
-    scored = polarity(today, lexicon, keep=("id", "created_at", "source", "ingestion_date"))
+    return _day_features(polarity(today, lexicon, keep=("id", "created_at", "source", "ingestion_date")), as_of)
+
+
+def posts_day_summary(scored: DataFrame, as_of: datetime) -> DataFrame:
+    """:func:`posts_daily_view` for posts whose totals are there already (created_at, copies, sum10, hits)."""
+    return _day_features(on_day(scored, as_of), as_of)
+
+
+def _day_features(scored: DataFrame, as_of: datetime) -> DataFrame:
     total = F.coalesce(F.sum("copies"), F.lit(0)).cast("bigint").alias("count")
     day = F.lit(as_of.date())
     features = sentiment_features(scored, extra=(total,))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,29 +39,30 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return configure(spark)
 
 
-_local_root: str | None = None
+_prepared: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach.
-
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session without that setting gets a
-    temporary folder, since there driver and executors share one disk.
-    """
-    global _local_root
+    """The folder every executor can reach: what the cluster names in ``spark.checkpoint.dir``, else one in the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="tidemark-")
-    return _local_root
+    return named.rstrip("/") if named else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tidemark"
+
+
+def _own_dir(spark: SparkSession) -> str:
+    """The application's folder in the shared one; it goes when the application ends in order."""
+    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+    if path not in _prepared:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+        _prepared.add(path)
+    return path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder, below one folder per application."""
-    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -74,13 +74,3 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Hand a plain table scan that has fewer than two pieces per core to all cores.
-
-    For work that costs far more than moving its input, such as tokenising: a table stored as one block would
-    keep one core busy. Only small tables are ever moved, large ones come in enough pieces.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < 2 * cores else scan

@@ -33,7 +33,10 @@ def post_line(id_: Column, text: Column, timestamp: Column, source: Column) -> C
 
 
 def window_points(value: Column) -> Column:
-    """Payload ``t,p,num`` lines → array of ``(num, p, t)`` in ``num`` order. Blank lines are skipped."""
+    """Payload ``t,p,num`` lines → array of ``(num, p, t)`` in ``num`` order. Blank lines are skipped.
+
+    A field that is missing or can't be read is NULL; :func:`checked_windows` tells such messages apart.
+    """
     lines = F.filter(F.split(value, "\n"), lambda line: F.trim(line) != "")
     points = F.transform(lines, _point)
     return F.array_sort(points)
@@ -42,20 +45,31 @@ def window_points(value: Column) -> Column:
 def _point(line: Column) -> Column:
     fields = F.split(line, ",")
     return F.struct(
-        F.trim(fields[2]).cast("int").alias("num"),
-        F.trim(fields[1]).cast("double").alias("p"),
-        F.to_timestamp(F.trim(fields[0])).alias("t"),
+        F.trim(F.get(fields, 2)).try_cast("int").alias("num"),
+        F.trim(F.get(fields, 1)).try_cast("double").alias("p"),
+        F.try_to_timestamp(F.trim(F.get(fields, 0))).alias("t"),
     )
 
 
+def checked_windows(messages: DataFrame, value: str = "payload", size: int | None = None) -> DataFrame:
+    """Messages with their points (``pts``) and the ``reason`` they can't be used, NULL if they can.
+
+    A bad message never stops a job: route it by its reason, and go on with the others.
+    """
+    bad = F.exists("pts", lambda x: x["num"].isNull() | x["p"].isNull() | x["t"].isNull())
+    reason = F.when(F.col(value).isNull(), "no payload").when(bad, "bad point")
+    if size is not None:
+        reason = reason.when(F.size("pts") != size, "other length")
+    return messages.withColumn("pts", window_points(F.col(value))).withColumn("reason", reason)
+
+
 def parse_window_payload(messages: DataFrame, value: str = "payload", size: int | None = None) -> DataFrame:
     """Window messages → prices in order, with the span of the window.
 
-    With ``size``, messages of another length are left out: a model cannot read them.
+    Messages with a bad point are left out, and with ``size`` those of another length: a model cannot read them.
+    :func:`checked_windows` lists them.
     """
-    parsed = messages.withColumn("pts", window_points(F.col(value))).drop(value)
-    if size is not None:
-        parsed = parsed.where(F.size("pts") == size)
+    parsed = checked_windows(messages, value, size).where("reason IS NULL").drop(value, "reason")
     return parsed.select(
         *[c for c in parsed.columns if c != "pts"],
         F.col("pts.p").alias("prices"),

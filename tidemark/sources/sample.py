@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.vectors import normalised
-from tidemark.session import configure, spread
+from tidemark.session import configure
 
 # Sample lexicon, word and weight in tenths.
 LEXICON = """
@@ -58,12 +58,15 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def posts(spark: SparkSession, sf_dir: str, tokenise: bool = False) -> DataFrame:
-    """Every document, dated by the event it is tied to. With ``tokenise`` the texts use all cores."""
+def dated(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with a ``doc_id`` and ``created_at``: the time of the event that the document is tied to."""
     when = events(spark, sf_dir).select("event_id", F.col("ts").alias("created_at"))
-    docs = documents(spark, sf_dir).select("doc_id", "text", "source")
-    docs = spread(docs) if tokenise else docs
-    return docs.join(when, F.col("doc_id") * 5 == F.col("event_id")).select(
+    return rows.join(when, F.col("doc_id") * 5 == F.col("event_id")).drop("event_id")
+
+
+def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, dated."""
+    return dated(documents(spark, sf_dir).select("doc_id", "text", "source"), spark, sf_dir).select(
         F.col("doc_id").cast("string").alias("id"),
         "text",
         "created_at",

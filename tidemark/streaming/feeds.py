@@ -37,12 +37,14 @@ def post_stream(spark: SparkSession, path: str, max_files: int | None = 1) -> Da
     return file_stream(spark, path, schemas.POST_FILE, "csv", max_files, header=True, timestampFormat=CSV_TIME)
 
 
-def message_stream(spark: SparkSession, options: dict[str, str], max_messages: int = 1277) -> DataFrame:
-    """Messages of a Kafka topic as text, at most ``max_messages`` per trigger.
+def message_stream(spark: SparkSession, options: dict[str, str], max_messages: int | None = None) -> DataFrame:
+    """Messages of a Kafka topic as text, at most ``max_messages`` per trigger (``None``: no cap).
 
     Offsets live in the checkpoint of the query, which takes the place of acknowledging messages.
     """
-    reader = spark.readStream.format("kafka").options(**options).option("maxOffsetsPerTrigger", max_messages)
+    reader = spark.readStream.format("kafka").options(**options)
+    if max_messages is not None:
+        reader = reader.option("maxOffsetsPerTrigger", max_messages)
     return reader.load().selectExpr("CAST(value AS STRING) AS value", "timestamp")
 
 

@@ -26,7 +26,7 @@ def running_sentiment(posts: DataFrame, closed_neutral: bool = False) -> DataFra
     return SentimentFeatures(closedNeutral=closed_neutral).transform(posts)
 
 
-def distinct_posts(posts: DataFrame, lateness: str = "1 day", copies_by: str | None = None) -> DataFrame:
+def distinct_posts(posts: DataFrame, lateness: str, copies_by: str | None = None) -> DataFrame:
     """Drop repeated ids; an id is remembered for ``lateness`` of event time.
 
     Where one id may come very many times, ``copies_by`` names a column that its copies differ in, such as the
@@ -39,7 +39,7 @@ def distinct_posts(posts: DataFrame, lateness: str = "1 day", copies_by: str | N
     return marked.dropDuplicatesWithinWatermark(["id"])
 
 
-def daily_ticks(ticks: DataFrame, lateness: str = "1 hour") -> DataFrame:
+def daily_ticks(ticks: DataFrame, lateness: str) -> DataFrame:
     """The day view as a stream: a day comes out once the watermark has passed its end."""
     return (
         ticks.withWatermark("t", lateness)
@@ -60,10 +60,10 @@ _EMITTED = "window_id long, start_us long, stop_us long, prices array<double>"
 _PENDING = "nums array<int>, prices array<double>, times array<long>"
 
 
-def count_windows(ticks: DataFrame, size: int = 100, lateness: str = "1 day") -> DataFrame:
+def count_windows(ticks: DataFrame, lateness: str, size: int = 100) -> DataFrame:
     """Collect numbered ticks until a window has all its points, then emit it and forget it.
 
-    ``ticks`` holds ``window_id, num, t, p``. A key never holds more than ``size`` points. A point that is
+    ``ticks`` holds ``window_id, num, t, p``; points without one of the first three are left out. A key never holds more than ``size`` points. A point that is
     delivered twice counts once; a window that is still incomplete when the watermark has passed it by
     ``lateness`` is dropped.
     """
@@ -90,7 +90,8 @@ def count_windows(ticks: DataFrame, size: int = 100, lateness: str = "1 day") ->
         yield pd.DataFrame({"window_id": [key[0]], "start_us": [min(times)], "stop_us": [max(times)], "prices": [prices]})
 
     return (
-        ticks.withWatermark("t", lateness)
+        ticks.where("window_id IS NOT NULL AND num IS NOT NULL AND t IS NOT NULL")
+        .withWatermark("t", lateness)
         .select("window_id", "num", "t", "p", F.unix_micros("t").alias("us"))
         .groupBy("window_id")
         .applyInPandasWithState(collect, _EMITTED, _PENDING, "append", GroupStateTimeout.EventTimeTimeout)
@@ -104,12 +105,13 @@ def count_windows(ticks: DataFrame, size: int = 100, lateness: str = "1 day") ->
 
 
 def pair_windows_with_posts(
-    windows: DataFrame, posts: DataFrame, lateness: str = "1 day", longest_window: str = "7 days", salts: int = 8
+    windows: DataFrame, posts: DataFrame, lateness: str, longest_window: str, salts: int = 8
 ) -> DataFrame:
     """Join two streams: windows ``window_id, start, stop`` and posts ``window_id, id, created_at``.
 
     A post meets its window if it lies between its bounds, both closed. Both watermarks and ``longest_window``,
-    the most time a window may cover, bound what either side must remember. Windows are few and posts many, so
+    the most time a window may cover, bound what either side must remember; in a window that covers more, posts
+    before its last ``longest_window`` are not met, so choose it from the data (it has no default). Windows are few and posts many, so
     each window is repeated per salt and a window with very many posts is spread over ``salts`` tasks.
     """
     left = windows.select(
