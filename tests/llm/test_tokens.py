@@ -1,0 +1,124 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm_helpers import ODD, docs, prose
+from tokenizers import Tokenizer
+
+from tidemark.llm import cutting_stock, packing, token_counts, token_files, tokens
+from tidemark.session import scratch_path
+
+FILES = {"spaces": public_tokenizers.path("byte_bpe_50k.json"), "white space": public_tokenizers.path("word_bpe_49k.json")}
+WORDS = FILES["white space"]
+
+
+def whole(path, text):
+    return Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids
+
+
+@pytest.fixture(scope="module")
+def both():
+    return {cut: (tokens.Encoder(tokens.definition_of(p), cut), Tokenizer.from_file(p)) for cut, p in FILES.items()}
+
+
+PIECES = ["a", "B", "é", "É", " ", "  ", "\n", ",", ".", "!!", "'s", "don't", "<|endoftext|>", "<|", "1", "日", "\t", "\r\n", "́", "ß", "Σ", "İ", "😀", "\xa0", "\0", "\x1c", "᠎", "Word", "ſ", "|"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=25).map("".join))
+def test_ids_are_the_librarys(both, text):
+    for encoder, library in both.values():
+        for _ in range(2):  # the second time from the dictionary
+            assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(max_size=40))
+def test_ids_of_any_text(both, text):
+    for encoder, library in both.values():
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_counts_with_a_head_of_one_word(spark):
+    rng = random.Random(1)
+    texts = [*ODD, *[prose(rng, rng.randint(1, 80)) for _ in range(30)], "It's, don't... <|startoftext|>", ODD[5]]
+    for head in (1, 10_000):
+        got = {r.doc_id: (r.n_bytes, r.n_tokens) for r in token_counts.count_tokens(docs(spark, texts, extra=True), WORDS, head).collect()}
+        assert got == {i: (len((t or "").encode()), len(whole(WORDS, t))) for i, t in enumerate(texts)}
+    assert token_counts.count_tokens(docs(spark, []), WORDS).count() == 0
+
+
+def test_repeated_ids_are_counted_each(spark):
+    df = docs(spark, ["one two"]).union(docs(spark, ["three"])).union(docs(spark, ["one two"]))
+    assert token_counts.count_tokens(df, WORDS).count() == 3
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_plan_uses_every_piece_once(seed):
+    rng = random.Random(seed)
+    histogram = {rng.randint(1, 64): rng.randint(1, 200) for _ in range(20)}
+    plan = cutting_stock.plan(histogram, 64)
+    used: dict = {}
+    for times, pattern in plan:
+        assert times > 0 and sum(a * b for a, b in pattern) <= 64
+        for length, copies in pattern:
+            used[length] = used.get(length, 0) + times * copies
+    assert used == histogram
+    small = {k: n for k, n in histogram.items() if k <= 32}
+    filled = sum(k * n for k, n in small.items())
+    assert sum(n for n, _ in cutting_stock.plan(small, 64)) <= -(-filled // 64) * 1.05 + 1
+
+
+def test_knapsack_against_trying_all():
+    lengths, prices = np.array([3, 5, 7]), np.array([0.25, 0.45, 0.66])
+    value, counts = cutting_stock.best_pattern(lengths, prices, 17)
+    best = max(a * 0.25 + b * 0.45 + c * 0.66 for a in range(6) for b in range(4) for c in range(3) if 3 * a + 5 * b + 7 * c <= 17)
+    assert abs(value - best) < 1e-9 and counts @ lengths <= 17 and abs(counts @ prices - best) < 1e-9
+
+
+def test_packing_is_a_partition_of_the_ids(spark):
+    rng = random.Random(2)
+    texts = [*ODD, *[prose(rng, rng.randint(1, 700)) for _ in range(60)], *["same text here"] * 20]
+    rows = packing.pack(packing.cut_documents(docs(spark, texts, extra=True), FILES["spaces"], size=64), size=64).collect()
+    ids = {i: np.array([*whole(FILES["spaces"], t), 0], dtype="<u4") for i, t in enumerate(texts)}
+    seen: dict = {}
+    for r in sorted(rows, key=lambda r: (r.doc_id, r.start)):
+        assert r.start == seen.get(r.doc_id, 0) and r.doc_tokens == len(ids[r.doc_id])
+        seen[r.doc_id] = r.start + r.length
+        assert zlib.crc32(ids[r.doc_id][r.start : r.start + r.length].tobytes()) == r.ids_crc32
+    assert seen == {i: len(x) for i, x in ids.items()}
+    sequences: dict = {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == sequences.get(r.sequence_id, 0)
+        sequences[r.sequence_id] = r.offset + r.length
+    assert max(sequences.values()) <= 64
+    assert sum(64 - n for n in sequences.values()) <= 0.03 * sum(sequences.values())
+    assert packing.pack(packing.cut_documents(docs(spark, []), FILES["spaces"])).count() == 0
+
+
+def test_token_files_come_back(spark):
+    rng = random.Random(3)
+    texts = [*ODD, *[prose(rng, rng.randint(1, 300)) for _ in range(40)]]
+    path = scratch_path(spark, "token-files")
+    token_files.write(docs(spark, texts, extra=True).repartition(3), path, WORDS, row_group=1 << 16, page=1 << 12)
+    ids = [np.array([*whole(WORDS, t), 1], dtype="<u4") for t in texts]
+    starts = np.cumsum([0, *[len(x) for x in ids]])
+    got = sorted(token_files.checked(spark, path).collect(), key=lambda r: r.doc_id)
+    assert [(r.start, r.n_tokens, r.ids_crc32) for r in got] == [(starts[i], len(x), zlib.crc32(x.tobytes())) for i, x in enumerate(ids)]
+    places = {r.doc_id: (r.start, r.n_tokens) for r in token_files.read_positions(spark, path).collect()}
+    assert places == {i: (starts[i], len(x)) for i, x in enumerate(ids)}
+    one = token_files.read_tokens(spark, path).where("doc_id = 12").select("ids")
+    assert one.first().ids == ids[12].tolist()
+    assert "PushedFilters: [IsNotNull(doc_id), EqualTo(doc_id,12)]" in one._jdf.queryExecution().toString()
+    files = token_files.read_tokens(spark, path).inputFiles()
+    import pyarrow.parquet as pq
+
+    column = pq.ParquetFile(files[0].removeprefix("file:")).metadata.row_group(0).column(4)
+    assert column.has_dictionary_page and column.has_offset_index
+    empty = scratch_path(spark, "token-files")
+    token_files.write(docs(spark, []), empty, WORDS)
+    assert token_files.checked(spark, empty).count() == 0
