@@ -88,7 +88,7 @@ class Model:
             for a, b in combinations(members, 2):
                 pair = (languages == a) | (languages == b)
                 self._add((a, b), rows[pair], np.where(languages[pair] == a, 1.0, -1.0))
-        self.matrix = np.array(self.weights, dtype=np.float32).reshape(len(self.weights), -1)
+        self.matrix = np.array(self.weights, dtype=np.float32).reshape(-1, _DIMENSIONS + 1)
 
     def _add(self, key: tuple, rows: np.ndarray, signs: np.ndarray) -> None:
         self.at[key] = len(self.weights)

@@ -3,7 +3,7 @@
 Four statistics of a text are put on scales of their own: the logarithm of the mean word length, and the shares of
 symbols, of repeated lines and of words in repeated windows, each divided by the least spread that counts (``SPREAD``).
 For each language and source, minimum-covariance-determinant estimates give a centre and a covariance that outliers
-can't move: concentration steps keep the nearest three quarters and estimate again, from two starts (all rows; medians
+can't move: concentration steps keep the nearest six tenths and estimate again, from two starts (all rows; medians
 and median deviations), the one with the smaller determinant going on. A reweighting step follows. Texts whose squared
 Mahalanobis distance is beyond the chi-squared quantile are rejected.
 
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tidemark.session import materialise
 
 SPREAD = {"length": 0.05, "symbols": 0.01, "lines": 0.15, "repeats": 0.1}
-SHARE = 0.75  # of a group, kept in a concentration step
+SHARE = 0.6  # of a group, kept in a concentration step
 TAIL = 1e-5  # of clean texts, beyond the limit if they were normal
 LEAST_GROUP = 50
 _P = len(SPREAD)

@@ -27,4 +27,8 @@ SEEDS = [
     f'<html><body><header class="site-header"><p>The site of the town</p><form class="search"><input><button>Search</button></form></header><div class="content" data-main><p>{_LONG}</p><dl><dt>Bell</dt><dd>{_LONG}</dd></dl></div><div class="login">{_FORM}</div></body></html>',
     f'<html><body data-main><h1>A letter</h1>{_P}{_LIST}</body></html>',
     f'<html><body data-main><h1>Diary</h1>{_P}<div class="nav" data-apart>{_MENU}</div></body></html>',
+    f'<html><body><nav>{_MENU}</nav><div class="ad">Buy now</div><article data-main><h1>Yes</h1><p>Yes.</p></article><footer>End of page</footer></body></html>',
+    '<article data-main><p>Two words</p><p>One</p></article>',
+    '<article data-main><h1>Note</h1><p>cut</p><ul><li>x</li><li>y</li></ul></article><div class="ad">x</div>',
+    f'<html><body><div class="menu">{_MENU}</div><main data-main><p>It rained.</p></main><div class="cookie">OK?</div></body></html>',
 ]

@@ -214,7 +214,7 @@ def seed_pages() -> list[tuple[Page, list[bool]]]:
     return out
 
 
-def train(labelled: list[tuple[Page, list[bool]]], rounds: int = 60, rate: float = 0.2, ridge: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
+def train(labelled: list[tuple[Page, list[bool]]], rounds: int = 150, rate: float = 0.2, ridge: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
     """Unary weights and pairwise potentials of the greatest likelihood, less a ridge; each page weighs the same."""
     weights, pair = np.zeros(_FEATURES), np.zeros((2, 2))
     speed, fast = np.zeros(_FEATURES), np.zeros((2, 2))
@@ -253,7 +253,7 @@ def train_on(pages: DataFrame, n_pages: int = TRAINING_PAGES) -> tuple[np.ndarra
     chosen = F.pmod(F.xxhash64("page_id", F.octet_length("html")), F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, n_pages / max(total, 1))))
     found = [r["html"] for r in pages.where("html is not null").where(chosen).select("page_id", "html").sort("page_id", "html").collect()]
     own = [(p, y) for p in map(Page, found) if (y := truth(p)) is not None]
-    return train(seed_pages() * max(1, len(own) // (2 * len(SEEDS))) + own)
+    return train(seed_pages() * max(1, len(own) // len(SEEDS)) + own)
 
 
 def main_texts(pages: DataFrame, model: tuple[np.ndarray, np.ndarray], *keep: Column | str) -> DataFrame:
