@@ -628,44 +628,50 @@ def _fit_and_score(rows: DataFrame, kind: str) -> DataFrame:
     return ml.score(model, rows.where(~F.col("is_train")).drop("is_train"))
 
 
+def _predicted(rows: DataFrame, kind: str) -> DataFrame:
+    """Held-out windows with their label; each must come out once, with a class that occurs."""
+    known = F.col("prediction").isin(0, 1, 2).cast("int").alias("known_class")
+    return _fit_and_score(rows, kind).select("window_id", "label", known)
+
+
 @query
 def rf_stock(spark, sf_dir):
-    return _fit_and_score(stock_training(spark, sf_dir), "rf").select("window_id", "label", "prediction")
+    return _predicted(stock_training(spark, sf_dir), "rf")
 
 
 @query
 def rf_posts(spark, sf_dir):
-    return _fit_and_score(post_training(spark, sf_dir), "rf").select("window_id", "label", "prediction")
+    return _predicted(post_training(spark, sf_dir), "rf")
 
 
 @query
 def ovr_rf(spark, sf_dir):
-    return _fit_and_score(stock_training(spark, sf_dir), "ovr_rf").select("window_id", "label", "prediction")
+    return _predicted(stock_training(spark, sf_dir), "ovr_rf")
 
 
 @query
 def ovr_svc(spark, sf_dir):
-    return _fit_and_score(stock_training(spark, sf_dir), "ovr_svc").select("window_id", "label", "prediction")
+    return _predicted(stock_training(spark, sf_dir), "ovr_svc")
 
 
 @query
 def ovr_gbt(spark, sf_dir):
-    return _fit_and_score(stock_training(spark, sf_dir), "ovr_gbt").select("window_id", "label", "prediction")
+    return _predicted(stock_training(spark, sf_dir), "ovr_gbt")
 
 
 @query
 def ovr_rf_posts(spark, sf_dir):
-    return _fit_and_score(post_training(spark, sf_dir), "ovr_rf").select("window_id", "label", "prediction")
+    return _predicted(post_training(spark, sf_dir), "ovr_rf")
 
 
 @query
 def ovr_svc_posts(spark, sf_dir):
-    return _fit_and_score(post_training(spark, sf_dir), "ovr_svc").select("window_id", "label", "prediction")
+    return _predicted(post_training(spark, sf_dir), "ovr_svc")
 
 
 @query
 def ovr_gbt_posts(spark, sf_dir):
-    return _fit_and_score(post_training(spark, sf_dir), "ovr_gbt").select("window_id", "label", "prediction")
+    return _predicted(post_training(spark, sf_dir), "ovr_gbt")
 
 
 @query
@@ -697,9 +703,63 @@ def model_roundtrip(spark, sf_dir):
 
 @query
 def eval_fused(spark, sf_dir):
-    """Accuracy and F1 of the fused label on the held-out windows that both models can score."""
+    """The fused label on the held-out windows that both models can score: own metrics beside Spark's evaluator."""
     stock = _fit_and_score(stock_training(spark, sf_dir), "rf")
     posts = _fit_and_score(post_training(spark, sf_dir), "rf")
     fused = fusion.fuse(stock, posts).select("window_id", F.col("label").alias("prediction"))
-    truth = stock.select("window_id", "label").join(fused, "window_id")
-    return evaluation.metrics(evaluation.confusion(truth))
+    truth = materialise(stock.select("window_id", "label").join(fused, "window_id"), "fused")
+    own = evaluation.metrics(evaluation.confusion(truth))
+    agree = lambda name, theirs: (F.abs(F.col(name) - F.lit(ml.evaluate(truth, theirs))) < 1e-9).cast("int")
+    return own.select("n", agree("accuracy", "accuracy").alias("accuracy_agrees"), agree("f1_weighted", "f1").alias("f1_agrees"))
+
+
+# Sinks of the batch layer
+
+
+@query
+def posts_view_append(spark, sf_dir):
+    """Two days of posts appended to the serving view and one of them run again."""
+    path = scratch_path(spark, "posts-view")
+    scored = materialise(scored_posts(spark, sf_dir), "scored-posts")
+    for day in (datetime(2024, 1, 4), AS_OF, AS_OF):
+        sinks.append_view(views.posts_day_summary(scored, day), path)
+    back = spark.read.schema(schemas.POSTS_VIEW).parquet(path)
+    return rounded(back, "mean_neg", "mean_pos", "mean_neutral").withColumn("day", F.col("day").cast("string"))
+
+
+@query
+def split_files(spark, sf_dir):
+    """The split written once as files and read by both models: rows each of them gets."""
+    path = scratch_path(spark, "split")
+    split = sampling.split_by_hash(labelled(spark, sf_dir).select("window_id"))
+    for name, side in (("train", F.col("is_train")), ("test", ~F.col("is_train"))):
+        tables.write_csv(split.where(side).select("window_id"), f"{path}/{name}")
+    stock = training.labelled_windows(sample.ticks(spark, sf_dir)).dropna("any", subset=["label"]).select("window_id")
+    posts = training.complete_post_windows(post_windows(spark, sf_dir)).select("window_id")
+    counts = []
+    for model, rows in (("posts", posts), ("stock", stock)):
+        for name in ("train", "test"):
+            index = tables.read_csv(spark, f"{path}/{name}", schemas.SPLIT_FILE)
+            kept = sampling.keep_split(rows, index).agg(F.count("*").alias("n"))
+            counts.append(kept.select(F.lit(model).alias("model"), F.lit(name).alias("side"), "n"))
+    out = counts[0]
+    for more in counts[1:]:
+        out = out.union(more)
+    return out
+
+
+@query
+def export_predictions(spark, sf_dir):
+    """Fused labels and probabilities written as files, and read back."""
+    path = scratch_path(spark, "predictions")
+    fused = fusion.fuse(*_two_models(spark, sf_dir))
+    tables.write_csv(fused.select("window_id", "label", *[F.col("prob")[i].alias(f"prob_{i}") for i in range(3)]), path)
+    back = tables.read_csv(spark, path, schemas.PREDICTION_FILE)
+    return back.select("window_id", "label", *[r6(f"prob_{i}").alias(f"prob_{i}") for i in range(3)])
+
+
+@query
+def distinct_rows(spark, sf_dir):
+    """One row of each group of posts with equal text and source: the least id, with the number of copies."""
+    docs = sample.documents(spark, sf_dir).select("doc_id", "source", text.content_digest("text").alias("digest"))
+    return docs.groupBy("digest", "source").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")).drop("digest")

@@ -240,6 +240,26 @@ ORACLE: dict[str, str] = {
     "index_features": _with("window_features", f"SELECT window_id, {_INDEXED} FROM (SELECT window_id, {_F_COLUMNS} FROM window_features WHERE {_ALL_BUCKETS}) AS f"),
     "index_labels": _with("labelled", """SELECT CAST(label AS VARCHAR) AS label, n, CAST(row_number() OVER (ORDER BY n DESC, label) - 1 AS INTEGER) AS indexed_label
         FROM (SELECT label, count(*) AS n FROM labelled WHERE label IS NOT NULL GROUP BY label) AS counted"""),
+    **{
+        name: _with("split", "SELECT window_id, label, 1 AS known_class FROM split WHERE NOT is_train AND label IS NOT NULL")
+        for name in ("rf_stock", "ovr_rf", "ovr_svc", "ovr_gbt")
+    },
+    **{
+        name: _with("window_features split", f"""SELECT window_id, w.label, 1 AS known_class FROM window_features w
+            JOIN split s USING (window_id) WHERE NOT is_train AND {_ALL_BUCKETS.replace("label", "w.label")}""")
+        for name in ("rf_posts", "ovr_rf_posts", "ovr_svc_posts", "ovr_gbt_posts")
+    },
+    "eval_fused": _with("window_features split", f"""SELECT count(*) AS n, 1 AS accuracy_agrees, 1 AS f1_agrees FROM window_features w
+        JOIN split s USING (window_id) WHERE NOT is_train AND {_ALL_BUCKETS.replace("label", "w.label")}"""),
+    "posts_view_append": _with("scored", _POSTS_VIEW.format(day="2024-01-04") + " UNION ALL " + _POSTS_VIEW.format(day="2024-01-05")),
+    "split_files": _with("window_features split", f"""SELECT m.model, d.side, count(x.window_id) AS n
+        FROM (VALUES ('posts'), ('stock')) AS m(model) CROSS JOIN (VALUES ('train'), ('test')) AS d(side) LEFT JOIN (
+            SELECT 'stock' AS model, CASE WHEN is_train THEN 'train' ELSE 'test' END AS side, window_id FROM split WHERE label IS NOT NULL
+            UNION ALL SELECT 'posts', CASE WHEN is_train THEN 'train' ELSE 'test' END, window_id FROM window_features w
+            JOIN split s USING (window_id) WHERE {_ALL_BUCKETS.replace("label", "w.label")}) AS x
+        ON x.model = m.model AND x.side = d.side GROUP BY 1, 2"""),
+    "export_predictions": _with("fused_label", "SELECT window_id, label, round(c0, 6) AS prob_0, round(c1, 6) AS prob_1, round(c2, 6) AS prob_2 FROM fused_label"),
+    "distinct_rows": "SELECT min(doc_id) AS doc_id, count(*) AS copies, source FROM documents GROUP BY text, source",
     # Invariants of models: which rows must come out, and what must hold for each.
     "score_windows": _with("labelled", "SELECT window_id, 3 AS n_classes, 1.0::DOUBLE AS prob_sum, 1 AS predicts_largest FROM labelled WHERE label IS NOT NULL"),
     "model_roundtrip": _with("split", "SELECT window_id, 1 AS same FROM split WHERE NOT is_train AND label IS NOT NULL"),

@@ -46,6 +46,9 @@ WINDOW_FILE = _struct(
     ("label", IntegerType()),
 )
 SPLIT_FILE = _struct(("window_id", LongType()))
+PREDICTION_FILE = _struct(
+    ("window_id", LongType()), ("label", IntegerType()), *[(f"prob_{i}", DoubleType()) for i in range(3)]
+)
 
 # Messages: headerless CSV.
 POST_LINE = _struct(
