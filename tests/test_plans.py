@@ -4,10 +4,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as contract
+from tidemark.plans import stream_queries  # noqa: F401  (registers the stream queries)
+from tidemark.plans.catalogue import QUERIES
 
-QUERIES = contract.queries()
-BATCH = [q for q in QUERIES if not q.startswith(("stream_", "rf_", "ovr_", "eval_fused", "score_", "model_", "latest_"))]
+BATCH = [q for q in QUERIES if not q.startswith(("stream_", "rf_", "ovr_", "eval_fused", "score_", "model_", "latest_", "split_files"))]
 
 
 def executed(df) -> str:
@@ -90,3 +90,29 @@ def test_single_task_steps_see_blocks_only(spark, sf_dir, no_broadcast):
     windows = [line for line in plan.splitlines() if " Window [" in line and ", [], [" not in line]
     single = [line for line in windows if re.search(r"\],? \[block#\d+L ASC", line) and "[block" in line]
     assert plan.count("Exchange SinglePartition") == 1 and single
+
+
+@pytest.mark.parametrize("name", ["polarity_lexicon", "window_post_features", "posts_daily_view", "top_terms_positive", "mean_sentiment_by_hour", "minute_counts_posts", "contains_slice"])
+def test_texts_stay_where_they_are(spark, sf_dir, no_broadcast, name):
+    """No shuffle of a registered query carries texts, not even with nothing broadcast."""
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if re.search(r"\bExchange (hash|Round|range)", line):
+            below = re.search(r"(Project|HashAggregate|ObjectHashAggregate) ?\((?:[^\n]*?)|\[.*", lines[i + 1])
+            kept = lines[i + 1] if "HashAggregate" not in lines[i + 1] else lines[i + 1].split("functions=")[0]
+            assert below is None or not re.search(r"[\[ ,]text#\d+[,\]]", kept), lines[i : i + 2]
+
+
+def test_first_points_are_a_top_k(spark, sf_dir):
+    from tidemark.operators.series import price_series
+    from tidemark.operators.windows import count_window_index
+    from tidemark.sources import sample
+
+    plan = executed(count_window_index(price_series(sample.ticks(spark, sf_dir)).orderBy("t").limit(1500)))
+    assert "TakeOrderedAndProject" in plan
+
+
+def test_interval_counts_take_few_shuffles(spark, sf_dir, no_broadcast):
+    plan = executed(QUERIES["interval_join_counts"](spark, sf_dir))
+    assert len(re.findall(r"(?<!Reused)Exchange hash", plan)) <= 14

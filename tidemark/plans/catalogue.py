@@ -460,7 +460,7 @@ def present_future_means(spark, sf_dir):
 def interval_join_counts(spark, sf_dir):
     """Posts per window, zeros included: counted per instant, then per window."""
     summary = windows.window_summary(points(spark, sf_dir))
-    spans = summary.where(F.col("n") == windows.SIZE).select("window_id", "start", "stop")
+    spans = materialise(summary.where(F.col("n") == windows.SIZE).select("window_id", "start", "stop"), "spans")
     times = sample.dated(sample.documents(spark, sf_dir).select("doc_id"), spark, sf_dir)
     per_instant = times.groupBy("created_at").agg(F.count("*").alias("n"))
     found = locate(per_instant, spans, "created_at").groupBy("window_id").agg(F.sum("n").alias("n"))
