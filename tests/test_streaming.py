@@ -126,9 +126,9 @@ def test_very_many_copies_of_one_id(spark, tmp_path):
 def test_stream_join_holds_bounds(spark, tmp_path):
     at = lambda s: START + timedelta(seconds=s)
     windows = spark.createDataFrame([(0, at(0), at(10)), (1, at(20), at(30))], "window_id long, start timestamp, stop timestamp")
-    posts = [(0, "a", at(0)), (0, "b", at(10)), (0, "c", at(11)), (1, "d", at(25)), (1, "e", at(5)), (7, "f", at(25))]
-    posts += [(1, f"hot{i}", at(22)) for i in range(50)]
-    rows = spark.createDataFrame(posts, "window_id long, id string, created_at timestamp")
+    posts = [("a", at(0)), ("b", at(10)), ("c", at(11)), ("d", at(25)), ("e", at(-1)), ("f", at(31))]
+    posts += [(f"hot{i}", at(22)) for i in range(50)]
+    rows = spark.createDataFrame(posts, "id string, created_at timestamp")
     windows.write.parquet(str(tmp_path / "w"))
     rows.write.parquet(str(tmp_path / "p"))
     joined = jobs.pair_windows_with_posts(
@@ -161,7 +161,7 @@ def test_run_for_stops_a_running_query(spark, tmp_path):
 def test_ten_day_window_keeps_both_posts(spark, tmp_path):
     day = lambda d: START + timedelta(days=d)
     windows = spark.createDataFrame([(0, day(0), day(10))], "window_id long, start timestamp, stop timestamp")
-    rows = spark.createDataFrame([(0, "a", day(1)), (0, "b", day(9))], "window_id long, id string, created_at timestamp")
+    rows = spark.createDataFrame([("a", day(1)), ("b", day(9)), ("c", day(11))], "id string, created_at timestamp")
     windows.write.parquet(str(tmp_path / "w"))
     rows.write.parquet(str(tmp_path / "p"))
     joined = jobs.pair_windows_with_posts(

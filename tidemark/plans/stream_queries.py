@@ -11,7 +11,6 @@ from pyspark.sql.types import StructType
 from tidemark import schemas
 from tidemark.functions.sentiment import FEATURES
 from tidemark.operators import ml
-from tidemark.operators.interval_join import interval_join
 from tidemark.operators.transformers import WindowPivot
 from tidemark.plans import catalogue as cat
 from tidemark.plans.catalogue import points, query, r6, scored_posts, stamp
@@ -118,11 +117,11 @@ def stream_daily_ticks(spark, sf_dir):
 
 @query
 def stream_interval_join(spark, sf_dir):
-    """Window messages joined with the posts delivered beside them, counted per window."""
+    """Windows and raw posts as two streams; the join finds the window of each post. Counted per window."""
     spans = cat.labelled(spark, sf_dir).select("window_id", "start", "stop")
-    posts = interval_join(sample.posts(spark, sf_dir).select("id", "created_at"), spans, "created_at")
+    posts = sample.dated(sample.documents(spark, sf_dir).select("doc_id"), spark, sf_dir)
     window_path, window_schema = _landed(spans, "window-messages")
-    post_path, post_schema = _landed(posts.select("window_id", "id", "created_at"), "window-posts")
+    post_path, post_schema = _landed(posts.select(F.col("doc_id").cast("string").alias("id"), "created_at"), "raw-posts")
     joined = jobs.pair_windows_with_posts(
         feeds.file_stream(spark, window_path, window_schema, max_files=4),
         feeds.file_stream(spark, post_path, post_schema, max_files=4),

@@ -105,25 +105,25 @@ def count_windows(ticks: DataFrame, lateness: str, size: int = 100) -> DataFrame
 
 
 def pair_windows_with_posts(
-    windows: DataFrame, posts: DataFrame, lateness: str, longest_window: str, salts: int = 8
+    windows: DataFrame, posts: DataFrame, lateness: str, longest_window: str, salts: int = 8, bucket_seconds: int = 3600
 ) -> DataFrame:
-    """Join two streams: windows ``window_id, start, stop`` and posts ``window_id, id, created_at``.
-
-    A post meets its window if it lies between its bounds, both closed. Both watermarks and ``longest_window``,
-    the most time a window may cover, bound what either side must remember; in a window that covers more, posts
-    before its last ``longest_window`` are not met, so choose it from the data (it has no default). Windows are few and posts many, so
-    each window is repeated per salt and a window with very many posts is spread over ``salts`` tasks.
+    """Join two streams: windows ``window_id, start, stop`` and raw posts ``id, created_at``.
+
+    A post meets a window if it lies between its bounds, both closed. The window is laid out over the buckets of time
+    that it touches, so that both sides meet under an equal bucket, and a post lies in one. Both watermarks and
+    ``longest_window``, the most time a window may cover, bound what either side must remember; in a window that covers
+    more, posts before its last ``longest_window`` are not met, so choose it from the data (it has no default). Windows
+    are few and posts many, so each window is repeated per salt and a bucket with very many posts is spread over
+    ``salts`` tasks.
     """
-    left = windows.select(
-        "window_id", "start", "stop", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
-    ).withWatermark("stop", lateness)
-    right = (
-        posts.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
-        .withColumnsRenamed({"window_id": "post_window", "salt": "post_salt"})
-        .withWatermark("created_at", lateness)
-    )
+    bucket = lambda t: F.floor(F.unix_seconds(t) / bucket_seconds)
+    spread = windows.select("window_id", "start", "stop", F.explode(F.sequence(bucket("start"), bucket("stop"))).alias("bucket"))
+    left = spread.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")).withWatermark("stop", lateness)
+    right = posts.select(
+        "id", "created_at", bucket("created_at").alias("post_bucket"), F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int").alias("post_salt")
+    ).withWatermark("created_at", lateness)
     inside = (
-        (F.col("window_id") == F.col("post_window"))
+        (F.col("bucket") == F.col("post_bucket"))
         & (F.col("salt") == F.col("post_salt"))
         & (F.col("created_at") >= F.col("start"))
         & (F.col("created_at") <= F.col("stop"))
