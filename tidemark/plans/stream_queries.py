@@ -155,7 +155,7 @@ def stream_score_windows(spark, sf_dir):
     stock_model, posts_model = ml.train(stock.where("is_train"), "rf"), ml.train(posts.where("is_train"), "rf")
     messages, schema = _landed(payloads.window_payload(points(spark, sf_dir)), "messages")
     landed_posts = scratch_path(spark, "scored-posts")
-    scored = scored_posts(spark, sf_dir, "id", "created_at").select("id", "created_at", "hits", "sum10")
+    scored = scored_posts(spark, sf_dir).select(F.col("doc_id").cast("string").alias("id"), "created_at", "hits", "sum10")
     tables.write_partitioned(scored.withColumn("day", F.to_date("created_at")), landed_posts, by="day")
     out = scratch_path(spark, "labels-out")
     feeds.drain_batches(

@@ -152,7 +152,8 @@ def window_scorer(
 
     Models are loaded once, by the caller. The posts of a batch are those of its time span, found by event time
     in the landed post table, which is partitioned by the ``day`` of the post so that only those days are read.
-    Every window's label lands under the batch number, with the serving key.
+    Copies of a post count once. Messages that can't be read or have another length are left out
+    (``checked_windows`` lists them). Every window's label lands under the batch number, with the serving key.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -164,6 +165,7 @@ def window_scorer(
         landed = spark.read.schema(schemas.SCORED_POST).parquet(posts_path)
         days = F.col("day").between(F.to_date(F.lit(span["lo"])), F.to_date(F.lit(span["hi"])))
         nearby = landed.where(days & F.col("created_at").between(F.lit(span["lo"]), F.lit(span["hi"])))
+        nearby = nearby.dropDuplicates(["id", "created_at", "hits", "sum10"])  # a post may have landed more than once
         labelled = label_windows_of_batch(windows, nearby, stock_model, posts_model)
         upsert_latest(labelled.withColumn("key", F.lit(key)), batch_id, out)
 
