@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import texts_of
+from tidemark.session import materialise
 
 SAMPLE = 6_000
 _BITS = 12
@@ -121,13 +122,15 @@ class Model:
 
 
 def sample(docs: DataFrame, rows: int = SAMPLE) -> DataFrame:
-    """About ``rows`` rows of ``docs`` (doc_id, text, lang), as many of each language, chosen by a hash of id and text."""
+    """About ``rows`` rows of ``docs`` (doc_id, text, lang), as many of each language, chosen by a hash of id and text.
+
+    Languages are few by nature (a row each), so their shares go to every task.
+    """
     known = docs.where("lang is not null and text is not null").select("doc_id", "text", "lang")
-    sizes = known.groupBy("lang").agg(F.count("*").alias("n"))
-    sizes = sizes.crossJoin(F.broadcast(sizes.agg(F.count("*").alias("langs"))))  # one row beside each language
-    chance = sizes.select("lang", (F.lit(rows) / (F.col("n") * F.col("langs"))).alias("chance"))
+    sizes = materialise(known.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    chance = sizes.select("lang", (F.lit(rows / max(sizes.count(), 1)) / F.col("n")).alias("chance"))
     place = F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    return known.join(chance, "lang").where(place < F.col("chance")).select("doc_id", "text", "lang")
+    return known.join(F.broadcast(chance), "lang").where(place < F.col("chance")).select("doc_id", "text", "lang")
 
 
 def train(docs: DataFrame, rows: int = SAMPLE) -> Model:
