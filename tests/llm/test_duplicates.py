@@ -73,7 +73,7 @@ def test_groups_against_all_pairs(spark, most):
     prints = [plain_fingerprint(t) for t in texts]
     links = [(i, j) for i in range(len(texts)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 4]
     want = grouped(len(texts), links)
-    got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.groups(docs(spark, texts, extra=True), most=most).collect()}
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.groups(docs(spark, texts, extra=True), words_in_shingle=4, most=most).collect()}
     assert got == {i: (f"{prints[i]:016x}", want[i]) for i in range(len(texts))}
 
 

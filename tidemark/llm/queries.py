@@ -14,7 +14,7 @@ ORACLE: dict[str, str] = {}
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.groups(table(spark, sf_dir, "documents"))
+    return simhash.groups(table(spark, sf_dir, "documents"), words_in_shingle=4)
 
 
 def op2_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:

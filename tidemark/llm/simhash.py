@@ -35,7 +35,7 @@ SEGMENTS = (13, 13, 13, 13, 12)
 _SEED = 42
 
 
-def fingerprint(text: str, words_in_shingle: int = 4) -> int:
+def fingerprint(text: str, words_in_shingle: int = 5) -> int:
     """The text's fingerprint as an unsigned number; ASCII letters in lower case, ASCII white space between words."""
     import xxhash
 
@@ -55,7 +55,7 @@ def fingerprint(text: str, words_in_shingle: int = 4) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words_in_shingle: int = 4) -> DataFrame:
+def fingerprints(docs: DataFrame, words_in_shingle: int = 5) -> DataFrame:
     """doc_id and fingerprint (a long with the same bits) of every row of ``docs`` (doc_id, text)."""
 
     def make(batches: Iterator) -> Iterator:
@@ -134,7 +134,7 @@ def links(prints: DataFrame, most: int = 16) -> DataFrame:
     return found.union(_midpoint_links(crowded)).distinct()
 
 
-def groups(docs: DataFrame, words_in_shingle: int = 4, most: int = 16) -> DataFrame:
+def groups(docs: DataFrame, words_in_shingle: int = 5, most: int = 16) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits), component_id (least id reachable) of every row."""
     made = materialise(fingerprints(docs, words_in_shingle), "fingerprints")
     firsts = made.groupBy("fingerprint").agg(F.min("doc_id").alias("doc"))
@@ -153,7 +153,7 @@ def _shared_ids(made: DataFrame, distinct: DataFrame) -> DataFrame:
     return rows
 
 
-def deduplicate(docs: DataFrame, words_in_shingle: int = 4, most: int = 16) -> DataFrame:
+def deduplicate(docs: DataFrame, words_in_shingle: int = 5, most: int = 16) -> DataFrame:
     """``docs`` with one row of each group: the least id, and the least text if rows share it."""
     kept = groups(docs, words_in_shingle, most).where("doc_id = component_id or component_id is null").select("doc_id").distinct()
     place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last()))
