@@ -5,10 +5,11 @@ Confirmed toxic texts are the positives; every other text, labelled or not, is u
 prior * loss(positives as toxic) + [loss(unlabelled as clean) - prior * loss(positives as clean)]. The bracket is a risk,
 so it can't be negative; where training drives it below zero, its gradient is undone instead of followed.
 
-The classifier is logistic on which words, and which beginnings of words, a text has. Candidates (``WORDS`` at most, those
-that most positives have) are counted over all positives by Spark. On bounded samples of positives and of unlabelled
-texts, numpy keeps those that positives have several times as often, and fits their weights. Every whole text is
-scored in tasks.
+The classifier is logistic on which words, and which beginnings of words, a text has. It is trained on bounded samples of
+positives and of unlabelled texts (``POSITIVES``, ``UNLABELLED``), drawn by a hash of the id: ids meet the labels alone, and
+the few ids drawn go to the texts, which stay where they are. Candidates are the ``WORDS`` that most positives have;
+numpy keeps those that positives have several times as often, and fits their weights. Every whole text is scored in
+tasks.
 
 Defined cases: null and empty texts have no words and get the score of the constant alone; without positives every score
 is 0; labels without a document and documents without a label are no error; a document with several labels is toxic if one
@@ -26,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import texts_of
+from tidemark.session import materialise
 
 WORDS = 30_000
 LIFT = 3.0  # a word counts if its share of the positives is that many times its share of the unlabelled
@@ -68,18 +70,21 @@ def fit(rows: np.ndarray, columns: np.ndarray, positive: np.ndarray, n_words: in
 
 
 def _chosen(n: int, rows: int) -> Column:
-    """About ``rows`` of ``n`` rows, by a hash of id and text."""
-    return F.pmod(F.xxhash64("doc_id", F.octet_length("text"), F.lit(5)), F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, rows / max(n, 1))))
+    """About ``rows`` of ``n`` rows, by a hash of the id."""
+    return F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, rows / max(n, 1))))
 
 
 def train(docs: DataFrame, labels: DataFrame, prior: float | None = None, n_words: int = WORDS, n_positive: int = POSITIVES, n_unlabelled: int = UNLABELLED) -> dict[str, float] | None:
     """Weight of each word ('' for the constant). ``prior``: share of toxic texts; by default their share of the labels."""
     marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    marked = docs.select("doc_id", "text").join(marks, "doc_id", "left").withColumn("positive", F.coalesce(F.col("toxic") == 1, F.lit(False)))
+    marked = docs.select("doc_id").join(marks, "doc_id", "left").withColumn("positive", F.coalesce(F.col("toxic") == 1, F.lit(False)))
     sizes = marked.agg(*[F.count_if(x).alias(c) for c, x in (("p", F.col("positive")), ("u", ~F.col("positive")), ("known", F.col("toxic").isNotNull()))]).first()
     if not sizes["p"] or not sizes["u"]:
         return None
     prior = prior if prior is not None else min(max(sizes["p"] / sizes["known"], 1e-3), 0.9)
+    drawn = F.when(F.col("positive"), _chosen(sizes["p"], n_positive)).otherwise(_chosen(sizes["u"], n_unlabelled))
+    ids = materialise(marked.where(drawn).where("doc_id is not null").select("doc_id", "positive").distinct(), "training-ids")
+    sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # about n_positive + n_unlabelled ids
 
     def each_word(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -93,7 +98,7 @@ def train(docs: DataFrame, labels: DataFrame, prior: float | None = None, n_word
                     seen.clear()
         yield pa.RecordBatch.from_pydict({"word": pa.array(list(seen), pa.string()), "n": pa.array(seen.values(), pa.int64())})
 
-    common = marked.where("positive").select("text").mapInArrow(each_word, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    common = sample.where("positive").select("text").mapInArrow(each_word, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     listed = [r["word"] for r in common.where("n > 2").orderBy(F.desc("n"), "word").limit(n_words).collect()]
     place = {w: i for i, w in enumerate(listed)}
     shared = docs.sparkSession.sparkContext.broadcast(place)
@@ -105,9 +110,8 @@ def train(docs: DataFrame, labels: DataFrame, prior: float | None = None, n_word
             lists = [sorted(shared.value[w] for w in words(t) if w in shared.value) for t in texts_of(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("positive"), pa.array(lists, pa.list_(pa.int32()))], ["doc_id", "positive", "found"])
 
-    chosen = F.when(F.col("positive"), _chosen(sizes["p"], n_positive)).otherwise(_chosen(sizes["u"], n_unlabelled))
-    sample = marked.where(chosen).select(F.col("doc_id").cast("long").alias("doc_id"), "positive", "text")
-    got = sample.mapInArrow(which, "doc_id long, positive boolean, found array<int>").toArrow().sort_by([("positive", "ascending"), ("doc_id", "ascending")])
+    rows = sample.select(F.col("doc_id").cast("long").alias("doc_id"), "positive", "text")
+    got = rows.mapInArrow(which, "doc_id long, positive boolean, found array<int>").toArrow().sort_by([("positive", "ascending"), ("doc_id", "ascending")])
     positive = got["positive"].to_numpy()
     if positive.all() or not positive.any():
         return None
