@@ -7,8 +7,10 @@ shingle sets decides. Components of similar lines come from distributed union-fi
 document and position, is kept.
 
 With eight bands of four rows a pair at the least similarity (0.8) is a candidate with probability 0.985, at 0.9 with
-0.9999. A key shared by more than ``most`` lines is not paired in full: its lines are compared with about ``most`` centres
-drawn by hash, and those that no centre resembles are compared again among themselves, until few enough are left.
+0.9999. Within a key every line is first compared with its hub, the line that shares most keys with most lines: where
+many lines are edits of one, that one is the hub, and a crowd costs one comparison a line. Lines unlike the hub are
+compared with all others of the key, if these are ``most`` or fewer; else with about ``most`` centres drawn by hash and a
+new hub, again and again among those that no centre resembles, until few enough are left.
 
 Lines are compared without white space at their ends. Equal hashes (64 bits) count as equal lines.
 
@@ -42,15 +44,15 @@ def lines(docs: DataFrame) -> DataFrame:
 
 
 def signatures(found: DataFrame) -> DataFrame:
-    """line_hash, first place and minima of every distinct line."""
+    """line_hash, least id, n (lines) and minima of every distinct line; fixed-width columns, so that it is a hash aggregation."""
     reach = 2 * SHINGLE - 1
     pieces = f"(?s)(?=(.{{1,{reach}}})).{{1,{SHINGLE}}}"  # each shingle lies in one piece, SHINGLE of them at most
-    cut = found.select(*_PLACE, F.xxhash64("line").alias("line_hash"), F.posexplode_outer(F.regexp_extract_all("line", F.lit(pieces), 1)).alias("at", "piece"))
+    cut = found.select("id", F.xxhash64("line").alias("line_hash"), F.posexplode_outer(F.regexp_extract_all("line", F.lit(pieces), 1)).alias("at", "piece"))
     cut = cut.withColumn("size", F.char_length("piece")).where(f"at = 0 or size >= {SHINGLE}")
     first = F.hash(F.substring("piece", 1, SHINGLE))
     hashes = [first.alias("h0")] + [F.when(F.col("size") >= i + SHINGLE, F.hash(F.substring("piece", i + 1, SHINGLE))).otherwise(first).alias(f"h{i}") for i in range(1, SHINGLE)]
-    shingled = cut.select("line_hash", F.struct(*_PLACE).alias("place"), *hashes)
-    return shingled.groupBy("line_hash").agg(F.min("place").alias("place"), *[_minimum(k) for k in range(BANDS * ROWS)])
+    shingled = cut.select("line_hash", "id", F.when(F.col("at") == 0, 1).otherwise(0).alias("one"), *hashes)
+    return shingled.groupBy("line_hash").agg(F.min("id").alias("id"), F.sum("one").alias("n"), *[_minimum(k) for k in range(BANDS * ROWS)])
 
 
 def _minimum(k: int) -> Column:
@@ -65,66 +67,89 @@ def _buckets(signed: DataFrame) -> DataFrame:
 
 def _similar(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b: line hashes) whose shingle sets have that Jaccard similarity; ``texts`` has line_hash, line."""
-    shingles = F.expr(f"if(char_length(line) < {SHINGLE}, array(xxhash64(line)), array_distinct(transform(regexp_extract_all(line, '(?s)(?=(.{{{SHINGLE}}}))', 1), x -> xxhash64(x))))")
+    shingles = f"if(char_length({{0}}) < {SHINGLE}, array({{0}}), array_distinct(regexp_extract_all({{0}}, '(?s)(?=(.{{{{{SHINGLE}}}}}))', 1)))"
     left = texts.select(F.col("line_hash").alias("a"), F.col("line").alias("left"))
     right = texts.select(F.col("line_hash").alias("b"), F.col("line").alias("right"))
-    near = F.least(F.char_length("left"), F.char_length("right")) >= 0.5 * F.greatest(F.char_length("left"), F.char_length("right"))
-    both = pairs.join(left, "a").join(right, "b").where(near)
-    sets = both.withColumn("line", F.col("left")).withColumn("x", shingles).withColumn("line", F.col("right")).withColumn("y", shingles)
+    both = pairs.join(left, "a").join(right, "b")
+    sets = both.select("a", "b", F.expr(shingles.format("left")).alias("x"), F.expr(shingles.format("right")).alias("y"))
     common = sets.select("a", "b", F.size("x").alias("n"), F.size("y").alias("m"), F.size(F.array_intersect("x", "y")).alias("c"))
-    return common.where(F.col("c") >= F.lit(least) * (F.col("n") + F.col("m") - F.col("c"))).select("a", "b")
+    return materialise(common, "compared").where(F.col("c") >= F.lit(least) * (F.col("n") + F.col("m") - F.col("c"))).select("a", "b")
 
 
-def links(found: DataFrame, signed: DataFrame, least: float = 0.8, most: int = 64) -> DataFrame:
+def _hubs(members: DataFrame) -> DataFrame:
+    """bucket, other: of its members (bucket, line_hash, n) the one that the most lines share keys with."""
+    degree = members.groupBy("line_hash").agg(F.sum("n").alias("degree"))
+    best = F.max(F.struct("degree", "line_hash")).alias("best")
+    return members.join(degree, "line_hash").groupBy("bucket").agg(best).select("bucket", F.col("best.line_hash").alias("other"))
+
+
+def _sized(left: DataFrame, most: int) -> DataFrame:
+    """Members of the buckets that still hold two or more, with their number."""
+    sizes = left.groupBy("bucket").agg(F.count("*").alias("left")).where("left > 1")
+    return materialise(left.join(sizes, "bucket").select("bucket", "line_hash", F.col("left").alias("n")), "left")
+
+
+def _pairs(met: DataFrame) -> DataFrame:
+    """Distinct (a, b) with a the greater, from rows with line_hash and other."""
+    return met.where("line_hash <> other").select(F.greatest("line_hash", "other").alias("a"), F.least("line_hash", "other").alias("b")).distinct()
+
+
+def _unjoined(members: DataFrame, met: DataFrame, alike: DataFrame) -> DataFrame:
+    """Members of a bucket that were compared there (``met``: bucket, line_hash, other) and found like none."""
+    pair = met.withColumn("a", F.greatest("line_hash", "other")).withColumn("b", F.least("line_hash", "other"))
+    joined = pair.join(alike, ["a", "b"], "left_semi").select("bucket", "line_hash")
+    centres = met.select("bucket", F.col("other").alias("line_hash"))
+    return members.join(joined.union(centres).distinct(), ["bucket", "line_hash"], "left_anti")
+
+
+def links(found: DataFrame, signed: DataFrame, least: float = 0.8, most: int = 16) -> DataFrame:
     """a, b: hashes of similar lines. ``found`` are the lines, ``signed`` their written signatures."""
     every = materialise(_buckets(signed), "bands")
     shared = every.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = materialise(every.join(shared, "bucket"), "buckets")
-    wanted = members.select("line_hash").distinct().join(signed.select("line_hash", "place.*"), "line_hash")
-    texts = materialise(found.join(wanted, _PLACE).select("line_hash", "line").dropDuplicates(["line_hash"]), "lines-compared")
-
-    few = members.where(F.col("n") <= most)
-    out = [_similar(_pairs(few, few), texts, least)]
-    many, turn = members.where(F.col("n") > most), 0
+    wanted = members.select("line_hash").distinct().join(signed.select("line_hash", "id"), "line_hash")
+    at = found.withColumn("line_hash", F.xxhash64("line"))
+    texts = materialise(at.join(wanted, ["line_hash", "id"]).select("line_hash", "line").dropDuplicates(["line_hash"]), "lines-compared")
+
+    met = materialise(members.join(_hubs(members), "bucket"), "met-hubs")
+    alike = _similar(_pairs(met), texts, least)
+    out = [alike]
+    rest = materialise(_unjoined(members, met, alike), "unlike-hubs")
+    everyone = members.select("bucket", F.col("line_hash").alias("other"), "n")
+    few = rest.where(F.col("n") <= most).drop("n").join(everyone.where(F.col("n") <= most), "bucket")
+    out.append(_similar(_pairs(few), texts, least))
+    many, pool, turn = _sized(rest.where(F.col("n") > most), most), everyone.where(F.col("n") > most), 0
     while not many.isEmpty():
-        draw = F.pmod(F.xxhash64("line_hash", F.lit(turn)), F.ceil(F.col("n") / most)) == 0
-        centres = many.where(draw)
-        near = materialise(_similar(_pairs(many, centres), texts, least), "similar-to-centres")
-        out.append(near)
-        joined = near.select("a").union(near.select("b")).distinct().select(F.col("a").alias("line_hash"))
-        rest = many.where(~draw).join(joined, "line_hash", "left_anti").drop("n")
-        sizes = rest.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-        rest = materialise(rest.join(sizes, "bucket").select("bucket", "line_hash", "n"), "buckets")
-        few = rest.where(F.col("n") <= most)
-        out.append(_similar(_pairs(few, few), texts, least))
-        many, turn = rest.where(F.col("n") > most), turn + 1
+        draw = F.pmod(F.xxhash64("other", F.lit(turn)), F.ceil(F.col("n") / most)) == 0
+        centres = pool.where(draw).select("bucket", "other").union(_hubs(many)).distinct()
+        met = materialise(many.join(centres, "bucket"), "met-centres")
+        alike = _similar(_pairs(met), texts, least)
+        out.append(alike)
+        many, turn = _sized(_unjoined(many, met, alike), most), turn + 1
+        pool = many.select("bucket", F.col("line_hash").alias("other"), "n")
     all_links = out[0]
     for more in out[1:]:
         all_links = all_links.union(more)
     return all_links.distinct()
 
 
-def _pairs(members: DataFrame, partners: DataFrame) -> DataFrame:
-    other = partners.select("bucket", F.col("line_hash").alias("other"))
-    met = members.select("bucket", "line_hash").join(other, "bucket").where("line_hash <> other")
-    return met.select(F.greatest("line_hash", "other").alias("a"), F.least("line_hash", "other").alias("b")).distinct()
-
-
-def repeated(docs: DataFrame, least: float = 0.8, most: int = 64) -> DataFrame:
-    """Lines to drop: id, digest, line_no, and the place of the line that is kept for them (``kept``)."""
+def repeated(docs: DataFrame, least: float = 0.8, most: int = 16) -> DataFrame:
+    """Lines to drop: id, digest, line_no. The first line of each component, by document and position, isn't among them."""
     found = lines(docs)
     signed = materialise(signatures(found), "signatures")
-    joined = components(links(found, signed, least, most))
-    places = signed.select("line_hash", "place")
-    grouped = joined.join(places, joined["node"] == places["line_hash"]).select("line_hash", "component", "place")
-    kept = grouped.groupBy("component").agg(F.min("place").alias("kept"))
-    fuzzy = grouped.join(kept, "component").select("line_hash", "kept")
-    where = places.join(fuzzy, "line_hash", "left").select("line_hash", F.coalesce("kept", "place").alias("kept"))
+    joined = components(links(found, signed, least, most)).withColumnRenamed("node", "line_hash")
+    every = signed.select("line_hash", "id", "n").join(joined, "line_hash", "left")
+    several = every.where("n > 1 or component is not null").select("line_hash", F.coalesce("component", "line_hash").alias("component"), "id")
+    first = several.groupBy("component").agg(F.min("id").alias("first_id"))
+    several = materialise(several.select("line_hash", "component").join(first, "component"), "components")
     at = found.select(*_PLACE, F.xxhash64("line").alias("line_hash"))
-    return at.join(where, "line_hash").where(F.struct(*_PLACE) != F.col("kept")).select(*_PLACE, "kept").distinct()
+    copies = materialise(at.join(several, "line_hash").select(*_PLACE, "component", "first_id"), "copies")
+    kept = copies.where("id = first_id").groupBy("component").agg(F.min(F.struct("digest", "line_no")).alias("kept"))
+    here = (F.col("id") == F.col("first_id")) & (F.struct("digest", "line_no") == F.col("kept"))
+    return copies.join(kept, "component").where(~here).select(*_PLACE).distinct()
 
 
-def remove_repeated(docs: DataFrame, least: float = 0.8, most: int = 64) -> DataFrame:
+def remove_repeated(docs: DataFrame, least: float = 0.8, most: int = 16) -> DataFrame:
     """``docs`` with one line of each component left in its place; adds n_lines and n_removed (both long)."""
     dropped = repeated(docs, least, most).groupBy(*_DOC).agg(F.collect_list("line_no").alias("_drop"))
     own = [F.coalesce("doc_id", F.lit(-1)).cast("long").alias("_id"), F.xxhash64("text").alias("_digest")]
