@@ -133,12 +133,24 @@ def vocabulary(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     return distinct.mapInArrow(pieces, "pre_token string, occurrences long, pieces int")
 
 
+def frequent(words: DataFrame, head: int) -> DataFrame:
+    """The most frequent of ``words``, ``head`` at most: whole bands of frequency, so that no task sorts or sends more."""
+    band = F.floor(F.log2("occurrences") * 16)
+    sizes = words.groupBy(band.alias("band")).agg(F.count("*").alias("n")).collect()  # some hundred rows
+    total, least = 0, None
+    for row in sorted(sizes, reverse=True):
+        total += row["n"]
+        if total > head:
+            break
+        least = row["band"]
+    return words.where(band >= least) if least is not None else words.limit(0)
+
+
 def count_tokens(docs: DataFrame, tokenizer_path: str, head: int = HEAD) -> DataFrame:
     """doc_id, n_bytes, n_tokens of every row of ``docs`` (doc_id, text)."""
     definition = tokens.definition_of(tokenizer_path)
     words = materialise(vocabulary(docs, tokenizer_path), "pre-tokens")
-    frequent = words.orderBy(F.desc("occurrences"), "pre_token").limit(head).collect()
-    known = {x["pre_token"]: x["pieces"] for x in frequent}
+    known = {x["pre_token"]: x["pieces"] for x in frequent(words, head).collect()}
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def split(batches: Iterator) -> Iterator:
