@@ -42,7 +42,7 @@ def solve(lengths: np.ndarray, demand: np.ndarray, size: int, gap: float, rounds
         if turn and turn % 400 == 0:  # rounding errors add up
             inverse = np.linalg.inv(basis)
             use = np.maximum(inverse @ demand, 0)
-        prices = cost @ inverse
+        prices = np.einsum("i,ij->j", cost, inverse)  # einsum keeps to one thread; small products gain nothing from more
         low = int(prices.argmin())
         if prices[low] < -1e-9:
             column, price = np.zeros(m), 0.0
@@ -52,7 +52,7 @@ def solve(lengths: np.ndarray, demand: np.ndarray, size: int, gap: float, rounds
             if value <= 1 + gap:  # the optimum is at least the present one divided by this value
                 break
             column, price = counts.astype(float), 1.0
-        way = inverse @ column
+        way = np.einsum("ij,j->i", inverse, column)
         rows = np.flatnonzero(way > 1e-9)
         if not len(rows):
             break

@@ -60,7 +60,7 @@ def train_svm(rows: np.ndarray, signs: np.ndarray, cost: float = 10.0, rounds: i
     share = np.where(signs > 0, (signs > 0).mean(), (signs < 0).mean())
     ridge = 2 * share / cost  # 1 / (2 C) with C shared out by class
     weights, duals = np.zeros(rows.shape[1]), np.zeros(len(rows))
-    curve = (rows.astype(float) ** 2).sum(axis=1) + ridge
+    curve = np.einsum("ij,ij->i", rows, rows).astype(float) + ridge  # no copy of the rows: the driver's memory is small
     order = np.random.default_rng(7)
     for _ in range(rounds):
         for i in order.permutation(len(rows)):
@@ -146,9 +146,12 @@ def train(docs: DataFrame, rows: int = SAMPLE) -> Model:
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(langs), pa.array(data, pa.binary())], ["doc_id", "lang", "data"])
 
     got = sample(docs, rows).mapInArrow(make, "doc_id long, lang string, data binary").toArrow()
-    order = sorted(range(got.num_rows), key=lambda i: (got["doc_id"][i].as_py() is None, got["doc_id"][i].as_py(), got["data"][i].as_py()))
-    data = np.frombuffer(b"".join([got["data"][i].as_py() for i in order]), dtype=np.float16).reshape(len(order), _DIMENSIONS + 1)
-    return Model(data.astype(np.float32), np.array([got["lang"][i].as_py() for i in order], dtype=object))
+    got = got.sort_by([("doc_id", "ascending"), ("lang", "ascending")])
+    languages = np.array(got["lang"].to_pylist(), dtype=object)
+    data = np.empty((got.num_rows, _DIMENSIONS + 1), dtype=np.float32)
+    for i, row in enumerate(got["data"]):
+        data[i] = np.frombuffer(row.as_buffer(), dtype=np.float16)
+    return Model(data, languages)
 
 
 def identify(docs: DataFrame, model: Model, *keep: Column | str) -> DataFrame:
