@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 import xxhash
 from llm_helpers import ODD, docs, prose
+from pyspark.sql import functions as F
 
 from tidemark.llm import fuzzy_lines, golay, simhash
 from tidemark.llm.components import components
@@ -118,6 +119,28 @@ def test_fuzzy_lines_against_all_pairs(spark, most):
     assert len(want) > 30 and len(dropped ^ want) <= 0.03 * len(want)
 
 
+def drifting(rng, n_chains, length):
+    """Chains of lines: each is like the one before it and unlike those further off."""
+    out = []
+    for _ in range(n_chains):
+        words = prose(rng, 24).split()
+        for i in range(length):
+            words[5 * i % len(words)] = f"{prose(rng, 1)[:6]}{i}"
+            out.append(" ".join(words))
+    rng.shuffle(out)
+    return out
+
+
+def test_every_link_within_a_crowded_key(spark, monkeypatch):
+    """All lines share one key, so nothing may be missed: components are those of brute force."""
+    monkeypatch.setattr(fuzzy_lines, "_buckets", lambda signed: signed.select("line_hash", F.lit(1).cast("long").alias("bucket")))
+    texts = [*drifting(random.Random(8), 2, 30), *drifting(random.Random(10), 8, 1)]
+    df = docs(spark, texts)
+    dropped = {(r.id, r.line_no) for r in fuzzy_lines.repeated(df).collect()}
+    want = lines_left(texts)
+    assert len(want) > 50 and dropped == want
+
+
 def test_repeated_lines_go_and_the_rest_stays(spark):
     long = "a passage that stands in several documents, word for word, and then goes on for a while"
     texts = [f"first\n{long}\n\nlast", f"{long}.", f"own line\n{long}", None, "", "\n \n"]

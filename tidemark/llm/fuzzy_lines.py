@@ -10,7 +10,10 @@ With eight bands of four rows a pair at the least similarity (0.8) is a candidat
 0.9999. Within a key every line is first compared with its hub, the line that shares most keys with most lines: where
 many lines are edits of one, that one is the hub, and a crowd costs one comparison a line. Lines unlike the hub are
 compared with all others of the key, if these are ``most`` or fewer; else with about ``most`` centres drawn by hash and a
-new hub, again and again among those that no centre resembles, until few enough are left.
+new hub, again and again among those that no centre resembles. What is connected by then needs no further comparison.
+Crowded keys whose lines still lie in several components are finished exactly: alike sets share one of their rarest
+shingles (a fifth of them and one, in one order of rarity), so lines of unlike components that share such a shingle are
+compared, those outside the key's largest component with all. Within a key no link between components is lost.
 
 Lines are compared without white space at their ends. Equal hashes (64 bits) count as equal lines.
 
@@ -21,13 +24,14 @@ lines stay together; an empty table gives an empty result; other columns are kep
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.session import materialise
 
 SHINGLE = 8
+CHARACTERS = f"if(char_length({{0}}) < {SHINGLE}, array({{0}}), array_distinct(regexp_extract_all({{0}}, '(?s)(?=(.{{{SHINGLE}}}))', 1)))"
 BANDS, ROWS = 8, 4
 _PLACE = ["id", "digest", "line_no"]
 _DOC = ["id", "digest"]
@@ -65,13 +69,16 @@ def _buckets(signed: DataFrame) -> DataFrame:
     return signed.select("line_hash", F.explode(F.array(*keys)).alias("bucket"))
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+def _set(shingles: str, column: str) -> Column:
+    return F.expr(shingles.replace("{0}", column))
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, least: float, shingles: str) -> DataFrame:
     """The pairs (a, b: line hashes) whose shingle sets have that Jaccard similarity; ``texts`` has line_hash, line."""
-    shingles = f"if(char_length({{0}}) < {SHINGLE}, array({{0}}), array_distinct(regexp_extract_all({{0}}, '(?s)(?=(.{{{{{SHINGLE}}}}}))', 1)))"
     left = texts.select(F.col("line_hash").alias("a"), F.col("line").alias("left"))
     right = texts.select(F.col("line_hash").alias("b"), F.col("line").alias("right"))
     both = pairs.join(left, "a").join(right, "b")
-    sets = both.select("a", "b", F.expr(shingles.format("left")).alias("x"), F.expr(shingles.format("right")).alias("y"))
+    sets = both.select("a", "b", _set(shingles, "left").alias("x"), _set(shingles, "right").alias("y"))
     common = sets.select("a", "b", F.size("x").alias("n"), F.size("y").alias("m"), F.size(F.array_intersect("x", "y")).alias("c"))
     return materialise(common, "compared").where(F.col("c") >= F.lit(least) * (F.col("n") + F.col("m") - F.col("c"))).select("a", "b")
 
@@ -103,34 +110,70 @@ def _unjoined(members: DataFrame, met: DataFrame, alike: DataFrame) -> DataFrame
 
 
 def links(found: DataFrame, signed: DataFrame, least: float = 0.8, most: int = 16) -> DataFrame:
-    """a, b: hashes of similar lines. ``found`` are the lines, ``signed`` their written signatures."""
+    """a, b: hashes of lines, links that connect similar lines. ``found`` are the lines, ``signed`` their written signatures."""
     every = materialise(_buckets(signed), "bands")
     shared = every.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = materialise(every.join(shared, "bucket"), "buckets")
     wanted = members.select("line_hash").distinct().join(signed.select("line_hash", "id"), "line_hash")
     at = found.withColumn("line_hash", F.xxhash64("line"))
     texts = materialise(at.join(wanted, ["line_hash", "id"]).select("line_hash", "line").dropDuplicates(["line_hash"]), "lines-compared")
+    return connected(members, texts, least, most, CHARACTERS)
+
+
+def connected(members: DataFrame, texts: DataFrame, least: float, most: int, shingles: str) -> DataFrame:
+    """Links (a, b) that connect all similar ones of ``members`` (bucket, line_hash, n: the bucket's size) that share a bucket.
 
+    ``texts`` has line_hash, line; ``shingles`` is SQL that makes the set of shingles, as an array, of the text ``{0}``.
+    """
     met = materialise(members.join(_hubs(members), "bucket"), "met-hubs")
-    alike = _similar(_pairs(met), texts, least)
+    alike = _similar(_pairs(met), texts, least, shingles)
     out = [alike]
     rest = materialise(_unjoined(members, met, alike), "unlike-hubs")
     everyone = members.select("bucket", F.col("line_hash").alias("other"), "n")
     few = rest.where(F.col("n") <= most).drop("n").join(everyone.where(F.col("n") <= most), "bucket")
-    out.append(_similar(_pairs(few), texts, least))
+    out.append(_similar(_pairs(few), texts, least, shingles))
     many, pool, turn = _sized(rest.where(F.col("n") > most), most), everyone.where(F.col("n") > most), 0
     while not many.isEmpty():
         draw = F.pmod(F.xxhash64("other", F.lit(turn)), F.ceil(F.col("n") / most)) == 0
         centres = pool.where(draw).select("bucket", "other").union(_hubs(many)).distinct()
         met = materialise(many.join(centres, "bucket"), "met-centres")
-        alike = _similar(_pairs(met), texts, least)
+        alike = _similar(_pairs(met), texts, least, shingles)
         out.append(alike)
         many, turn = _sized(_unjoined(many, met, alike), most), turn + 1
         pool = many.select("bucket", F.col("line_hash").alias("other"), "n")
     all_links = out[0]
     for more in out[1:]:
         all_links = all_links.union(more)
-    return all_links.distinct()
+    crowded = rest.where(F.col("n") > most).select("bucket").distinct()
+    if crowded.isEmpty():
+        return all_links.distinct()
+    return _finished(members.join(crowded, "bucket"), all_links, texts, least, shingles)
+
+
+def _finished(members: DataFrame, known: DataFrame, texts: DataFrame, least: float, shingles: str) -> DataFrame:
+    """Links that connect as ``known`` does, and all similar members of a bucket besides."""
+    joined = materialise(components(known), "known-components")
+    named = joined.withColumnRenamed("node", "line_hash")
+    at = members.select("bucket", "line_hash").join(named, "line_hash", "left").withColumn("component", F.coalesce("component", "line_hash"))
+    parts = at.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    largest = parts.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("best"), F.count("*").alias("parts"))
+    split = materialise(at.join(largest.where("parts > 1").select("bucket", F.col("best.component").alias("largest")), "bucket"), "split-keys")
+    rare = materialise(_rarest(texts.join(split.select("line_hash").distinct(), "line_hash"), least, shingles), "rare-shingles")
+    right = split.join(rare, "line_hash").select("bucket", "token", F.col("line_hash").alias("other"), F.col("component").alias("its"))
+    left = split.where("component <> largest").join(rare, "line_hash").select("bucket", "token", "line_hash", "component")
+    met = left.join(right, ["bucket", "token"]).where("component <> its").select("line_hash", "other")
+    stars = joined.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return stars.union(_similar(_pairs(met), texts, least, shingles))
+
+
+def _rarest(texts: DataFrame, least: float, shingles: str) -> DataFrame:
+    """line_hash, token: of each set of n shingles the rarest n - ceil(least * n) + 1; similar sets have one of these in common."""
+    tokens = F.transform(_set(shingles, "line"), lambda x: F.xxhash64(x))
+    each = materialise(texts.select("line_hash", F.explode(tokens).alias("token")), "shingles")
+    counted = each.join(each.groupBy("token").agg(F.count("*").alias("lines")), "token")
+    own = Window.partitionBy("line_hash")
+    ranked = counted.withColumn("place", F.row_number().over(own.orderBy("lines", "token"))).withColumn("n", F.count("*").over(own))
+    return ranked.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1).where("lines > 1").select("line_hash", "token")
 
 
 def repeated(docs: DataFrame, least: float = 0.8, most: int = 16) -> DataFrame:
