@@ -141,6 +141,17 @@ def test_every_link_within_a_crowded_key(spark, monkeypatch):
     assert len(want) > 50 and dropped == want
 
 
+def test_short_lines_are_candidates(spark):
+    """Lines of 16 characters that differ in the last have similarity 0.8: 0.985 of such pairs share a key."""
+    rng = random.Random(11)
+    starts = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ,.") for _ in range(13)) for _ in range(1500)]
+    texts = [f"x{s}y{end}" for s in starts for end in "pq"]
+    found = fuzzy_lines.lines(docs(spark, texts))
+    keys = fuzzy_lines._buckets(fuzzy_lines.signatures(found)).join(found.select("id", F.xxhash64("line").alias("line_hash")), "line_hash")
+    shared = keys.groupBy("bucket", F.floor(F.col("id") / 2).alias("pair")).agg(F.countDistinct("id").alias("n")).where("n = 2")
+    assert shared.select("pair").distinct().count() > 0.97 * len(starts)
+
+
 def test_repeated_lines_go_and_the_rest_stays(spark):
     long = "a passage that stands in several documents, word for word, and then goes on for a while"
     texts = [f"first\n{long}\n\nlast", f"{long}.", f"own line\n{long}", None, "", "\n \n"]
