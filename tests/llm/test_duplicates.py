@@ -86,6 +86,17 @@ def test_one_document_of_each_group_stays(spark):
     assert simhash.deduplicate(docs(spark, [])).count() == 0
 
 
+def test_rows_without_an_id_or_with_a_shared_one_stay(spark):
+    rng = random.Random(12)
+    texts = [prose(rng, 80) for _ in range(6)]
+    df = docs(spark, [*texts, texts[0]])
+    no_ids = df.withColumn("doc_id", F.lit(None).cast("long"))
+    assert sorted(r.text for r in simhash.deduplicate(no_ids).collect()) == sorted(texts)
+    one_id = df.withColumn("doc_id", F.lit(7).cast("long"))
+    assert sorted(r.text for r in simhash.deduplicate(one_id).collect()) == sorted(texts)
+    assert [r.doc_id for r in simhash.deduplicate(no_ids.where(F.col("text") == texts[0]).union(one_id.where(F.col("text") == texts[0]))).collect()] == [7]
+
+
 def shingles(line):
     return {line[i : i + 8] for i in range(max(1, len(line) - 7))}
 

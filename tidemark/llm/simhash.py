@@ -14,7 +14,8 @@ Only distinct fingerprints take part, each with its least document id, so copies
 
 Defined cases: null or empty text, or text of white space, has fingerprint zero and links like any other; rows with
 equal ids count as one document in components; a row without an id gets no component unless its fingerprint has one; an
-empty table gives an empty result; other columns stay in ``deduplicate`` and are ignored elsewhere.
+empty table gives an empty result; other columns stay in ``deduplicate`` and are ignored elsewhere. In ``deduplicate`` each
+id and text is a document of its own, also without an id.
 """
 
 from __future__ import annotations
@@ -154,8 +155,24 @@ def _shared_ids(made: DataFrame, distinct: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, words_in_shingle: int = 5, most: int = 16) -> DataFrame:
-    """``docs`` with one row of each group: the least id, and the least text if rows share it."""
-    kept = groups(docs, words_in_shingle, most).where("doc_id = component_id or component_id is null").select("doc_id").distinct()
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last()))
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    return rows.withColumn("_place", place).where("_place = 1").select(*docs.columns)
+    """``docs`` with one row of each group of linked fingerprints: the least id, ids before none, and the least digest of the text.
+
+    Rows are known by id and text, so rows without an id or with one id and unlike texts count each for themselves.
+    """
+    texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
+    made = materialise(fingerprints(texts, words_in_shingle).withColumnRenamed("doc_id", "digest").distinct(), "fingerprints")
+    nodes = materialise(made.select("fingerprint", F.col("fingerprint").alias("doc")).distinct(), "distinct-fingerprints")
+    found = components(links(nodes, most)).withColumnRenamed("node", "fingerprint")
+    named = made.join(found, "fingerprint", "left").select("digest", F.coalesce("component", "fingerprint").alias("component"))
+    return one_of_each(docs, named)
+
+
+def one_of_each(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """``docs`` with one row of each component; ``named`` has the component of every digest (xxhash64) of a text."""
+    key = [F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast("long").alias("id")]
+    firsts = docs.select(F.xxhash64("text").alias("digest"), *key).groupBy("digest").agg(F.min(F.struct("none", "id")).alias("first"))
+    least = firsts.join(named, "digest").groupBy("component").agg(F.min(F.struct("first.none", "first.id", "digest")).alias("least"))
+    kept = materialise(least.select(F.col("least.id").alias("_id"), F.col("least.digest").alias("_digest")), "kept")
+    rows = docs.select("*", F.col("doc_id").cast("long").alias("_own_id"), F.xxhash64("text").alias("_own_digest"))
+    left = rows.join(kept, (rows["_own_digest"] == kept["_digest"]) & rows["_own_id"].eqNullSafe(kept["_id"]), "left_semi")
+    return left.dropDuplicates(["_own_id", "_own_digest"]).select(*docs.columns)
