@@ -56,6 +56,17 @@ def test_outliers_of_each_group(spark):
     assert outliers.judge(docs(spark, [prose(rng, 90)], lang=None)).first().kept
 
 
+def test_repeated_lines_and_words_below_the_base_limits(spark):
+    """A third to two thirds of the lines or a third of the words repeated, beside texts without repeats: the estimates reject what the base rule keeps."""
+    rng = random.Random(13)
+    clean = ["\n".join(prose(rng, 8) for _ in range(20)) for _ in range(100)]
+    lines = ["\n".join([*(prose(rng, 8) for _ in range(20 - n)), *["la ti"] * n]) for n in (8, 10, 12, 14)]  # lines too short to repeat many words
+    words = [" ".join([prose(rng, 120), *[prose(rng, 20)] * 3]) for _ in range(4)]
+    got = {r.doc_id: r for r in outliers.judge(docs(spark, [*clean, *lines, *words])).collect()}
+    assert not any(got[i].base_failed for i in range(108))
+    assert sum(got[i].kept for i in range(100)) >= 98 and not any(got[i].kept for i in range(100, 108))
+
+
 def test_language_on_held_out_documents(spark):
     sf_dir = "/root/testdata/sf0.01"
     got = op5_language(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "n_chars"), "doc_id").toPandas()

@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 
 from tidemark.session import materialise
 
-SPREAD = {"length": 0.05, "symbols": 0.01, "lines": 0.15, "repeats": 0.1}
+SPREAD = {"length": 0.05, "symbols": 0.01, "lines": 0.05, "repeats": 0.05}
 SHARE = 0.6  # of a group, kept in a concentration step
-TAIL = 1e-5  # of clean texts, beyond the limit if they were normal
+TAIL = 1e-3  # of clean texts, beyond the limit if they were normal
 LEAST_GROUP = 50
 _P = len(SPREAD)
 _UNIT = 64  # statistics are counted in such parts of their spread
