@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import fuzzy_lines, language, outliers, packing, page_text, simhash, token_counts, token_files, toxicity, winnowing
+from tidemark.llm import bpe_tree, conversations, divergence, fuzzy_lines, language, outliers, packing, page_text, simhash, token_counts, token_files, toxicity, winnowing
 from tidemark.llm.shared import held_out, table
 from tidemark.session import scratch_path
 
@@ -70,6 +70,19 @@ def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def op11_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_tree.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), "doc_id")
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.repair(conversations.damage(rows), rows)
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 _WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 ORACLE["op9_winnowing"] = f"""
 WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
@@ -89,4 +102,30 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
 """
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_outliers, op3_token_counts, op4_packing, op5_language, op6_toxicity, op7_fuzzy_lines, op8_token_files, op9_winnowing, op10_page_text)}
+ORACLE["op13_divergence"] = """
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+     w AS MATERIALIZED (SELECT r, lang, source, term, count(*) AS n
+       FROM (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d) GROUP BY ALL),
+     kept AS MATERIALIZED (SELECT lang, term FROM w GROUP BY lang, term HAVING count(*) >= 3),
+     v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+     c AS MATERIALIZED (SELECT lang, source, term, sum(n) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+     g AS MATERIALIZED (SELECT lang, source, coalesce(s, 0) AS s, coalesce(v, 0) AS v FROM (SELECT DISTINCT lang, source FROM d)
+            LEFT JOIN (SELECT lang, source, sum(n) AS s FROM c GROUP BY ALL) USING (lang, source) LEFT JOIN v USING (lang)),
+     p AS MATERIALIZED (SELECT lang, source, term, coalesce(n, 0) AS n, 1 + 1000000000 * (coalesce(n, 0)::HUGEINT + 1) // (s + v)::HUGEINT AS p
+            FROM g JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)),
+     l AS (SELECT lang, term, 1 + 1000000000 * (n::HUGEINT + 1) // (sum(n) OVER (PARTITION BY lang) + count(*) OVER (PARTITION BY lang))::HUGEINT AS q
+            FROM (SELECT lang, term, sum(n) AS n FROM c GROUP BY lang, term)),
+     pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+               FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+     parts AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+               FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+               LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+               UNION ALL
+               SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p JOIN l USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INT) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+WHERE part = 'pair' OR rank <= 200
+"""
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_outliers, op3_token_counts, op4_packing, op5_language, op6_toxicity, op7_fuzzy_lines, op8_token_files, op9_winnowing, op10_page_text, op11_bpe_tree, op12_conversations, op13_divergence)}
