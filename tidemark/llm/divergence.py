@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import materialise, scratch_path
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"  # what stands between terms
 LEAST_DOCUMENTS = 3
 TOP = 200
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -39,7 +39,7 @@ _GROUP = ["lang", "source"]
 def tokens(docs: DataFrame) -> DataFrame:
     """lang, source and tokens (language, zero character, term) of every row."""
     own = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", *_GROUP)]
-    terms = F.regexp_extract_all(F.translate("text", _UPPER, _LOWER), F.lit(TERM), 0)
+    terms = F.array_remove(F.split(F.translate("text", _UPPER, _LOWER), BETWEEN), "")
     keyed = F.transform(terms, lambda t: F.concat(F.col("lang"), F.lit("\0"), t))
     return docs.select(*own).select(*_GROUP, keyed.alias("tokens"))
 
