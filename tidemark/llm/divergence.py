@@ -2,7 +2,8 @@
 
 One ``CountVectorizer`` makes the vocabularies of all languages at once: a token is the language, a zero character and the
 term, so a term's document frequency is counted inside its language (``minDF`` 3 documents) and no term is left out for
-space (the greatest integer as ``vocabSize``). Every document becomes an exact sparse vector of counts, and the vectors
+space (the greatest integer as ``vocabSize``). It is fitted on documents that each task has folded: of a term's documents no
+more than the least number is told apart. Every document becomes an exact sparse vector of counts, and the vectors
 are summed into one sparse count table of (language, source, term) that combines before its shuffle.
 
 A term's share in a group, in billionths and smoothed by one, is p = 1 + floor(10^9 * (count + 1) / (N + V)); the
@@ -12,8 +13,7 @@ V * f0, plus what each source's own cells change against the other's least share
 both have. The first two parts come from histograms of shares, the last from a join on the term, all in whole numbers.
 
 The vocabulary (terms in three documents or more) passes through the driver and goes to every executor, as a fitted
-``CountVectorizer`` keeps it; documents, vectors and counts never do. Document frequencies are 32-bit there: a language
-may have 2^31 documents.
+``CountVectorizer`` keeps it; documents, vectors and counts never do.
 
 Defined cases: null text, lang or source is the empty string; texts without a term count for no term, but their group is
 there; a language without kept terms gives pairs of value 0 and no terms; equal rows count each; other columns are ignored;
@@ -22,34 +22,90 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.shared import texts_of
 from tidemark.session import materialise, scratch_path
 
-BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"  # what stands between terms
 LEAST_DOCUMENTS = 3
 TOP = 200
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _GREATEST = 2**31 - 1
 _GROUP = ["lang", "source"]
+_CELLS = 1 << 21
+#: Bytes between terms (all ASCII but letters) become blanks; letters and bytes of other characters stay.
+_LETTERS_ONLY = bytes(b if b > 0x7F or chr(b).isalpha() else 0x20 for b in range(256))
+
+
+def terms_of_text(text: str) -> list[bytes]:
+    """Runs of ASCII letters, in lower case, and of characters beyond ASCII."""
+    return text.encode().lower().translate(_LETTERS_ONLY).split()
+
+
+def _own(docs: DataFrame) -> DataFrame:
+    return docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", *_GROUP)])
 
 
 def tokens(docs: DataFrame) -> DataFrame:
     """lang, source and tokens (language, zero character, term) of every row."""
-    own = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", *_GROUP)]
-    terms = F.array_remove(F.split(F.translate("text", _UPPER, _LOWER), BETWEEN), "")
-    keyed = F.transform(terms, lambda t: F.concat(F.col("lang"), F.lit("\0"), t))
-    return docs.select(*own).select(*_GROUP, keyed.alias("tokens"))
 
+    def make(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                ends, found = [0], []
+                for lang, text in zip(part.column("lang").to_pylist(), texts_of(part), strict=True):
+                    own = lang.encode() + b"\0"
+                    found += [own + t for t in terms_of_text(text)]
+                    ends.append(len(found))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(found, pa.binary()).cast(pa.string()))
+                yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("source"), lists], [*_GROUP, "tokens"])
+
+    return _own(docs).mapInArrow(make, "lang string, source string, tokens array<string>")
+
+
+def folded(docs: DataFrame, least: int) -> DataFrame:
+    """tokens: rows in which a term stands in ``least`` documents or more if and only if it does in ``docs``.
 
-def fit(tokenised: DataFrame, least: int = LEAST_DOCUMENTS) -> CountVectorizerModel:
+    A task's documents of one language fold into ``least`` rows at a time, the k-th with the terms of k or more of them.
+    """
+
+    def make(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        def rows(seen: dict) -> Iterator:
+            for lang, found in seen.items():
+                own = lang.encode() + b"\0"
+                for k in range(1, least + 1):
+                    yield [own + t for t, n in found.items() if n >= k]
+
+        def written(seen: dict):
+            return pa.RecordBatch.from_arrays([pa.array(list(rows(seen)), pa.list_(pa.binary())).cast(pa.list_(pa.string()))], ["tokens"])
+
+        seen: dict[str, Counter] = {}
+        for batch in batches:
+            for lang, text in zip(batch.column("lang").to_pylist(), texts_of(batch), strict=True):
+                seen.setdefault(lang, Counter()).update(set(terms_of_text(text)))
+                if sum(map(len, seen.values())) >= _CELLS:
+                    yield written(seen)
+                    seen = {}
+        yield written(seen)
+
+    return _own(docs).select("text", "lang").mapInArrow(make, "tokens array<string>")
+
+
+def fit(docs: DataFrame, least: int = LEAST_DOCUMENTS) -> CountVectorizerModel:
     """The vocabularies of all languages. Its last resort is a token of a zero alone, so that no table is too small for it."""
-    spark = tokenised.sparkSession
-    filler = spark.range(least).select(F.lit("").alias("lang"), F.lit("").alias("source"), F.array(F.lit("\0")).alias("tokens"))
+    filler = docs.sparkSession.range(least).select(F.array(F.lit("\0")).alias("tokens"))
     made = CountVectorizer(inputCol="tokens", outputCol="counts", minDF=least, vocabSize=_GREATEST)
-    return made.fit(tokenised.union(filler))
+    return made.fit(folded(docs, least).union(filler))
 
 
 def vocabulary(model: CountVectorizerModel, docs: DataFrame) -> DataFrame:
@@ -63,10 +119,41 @@ def vocabulary(model: CountVectorizerModel, docs: DataFrame) -> DataFrame:
 
 
 def group_counts(tokenised: DataFrame, model: CountVectorizerModel) -> DataFrame:
-    """lang, source, index, n: the documents' sparse vectors summed over each group, only cells above zero."""
+    """lang, source, index, n: the documents' sparse vectors summed over each group, only cells above zero.
+
+    A task sums its vectors into sorted cells before they are shuffled.
+    """
     vectors = model.transform(tokenised).select(*_GROUP, F.unwrap_udt("counts").alias("v"))
-    cells = vectors.select(*_GROUP, F.explode(F.arrays_zip("v.indices", "v.values")).alias("cell"))
-    return cells.groupBy(*_GROUP, F.col("cell.indices").alias("index")).agg(F.sum(F.col("cell.values").cast("long")).alias("n"))
+
+    def add(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        def written(groups: dict, keys: list, counts: list):
+            key = np.concatenate(keys)
+            order = np.argsort(key, kind="stable")
+            cells, first = np.unique(key[order], return_index=True)
+            sums = np.add.reduceat(np.concatenate(counts)[order], first) if len(cells) else np.zeros(0, np.int64)
+            langs, sources = zip(*groups, strict=True)
+            at = pa.array(cells >> 32)
+            columns = [pa.array(langs, pa.string()).take(at), pa.array(sources, pa.string()).take(at), pa.array((cells & 0xFFFFFFFF).astype(np.int32)), pa.array(sums)]
+            return pa.RecordBatch.from_arrays(columns, [*_GROUP, "index", "n"])
+
+        groups, keys, counts, size = {}, [], [], 0
+        for batch in batches:
+            own = [groups.setdefault(g, len(groups)) for g in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), strict=True)]
+            indices, values = batch.column("indices"), batch.column("values")
+            found = indices.flatten().to_numpy().astype(np.int64)
+            keys.append(np.repeat(np.array(own, dtype=np.int64), np.diff(indices.offsets.to_numpy())) << 32 | found)
+            counts.append(values.flatten().to_numpy().astype(np.int64))
+            size += len(found)
+            if size >= _CELLS:
+                yield written(groups, keys, counts)
+                groups, keys, counts, size = {}, [], [], 0
+        if groups:
+            yield written(groups, keys, counts)
+
+    parts = vectors.select(*_GROUP, "v.indices", "v.values").mapInArrow(add, "lang string, source string, index int, n long")
+    return parts.groupBy(*_GROUP, "index").agg(F.sum("n").alias("n"))
 
 
 def _share(count: str) -> Column:
@@ -77,9 +164,9 @@ def _differs(p: str, q: str) -> str:
     return f"(({p}) - ({q})) * (({p}) - ({q})) div ({q})"
 
 
-def _groups(tokenised: DataFrame, counts: DataFrame, kept: DataFrame) -> DataFrame:
+def _groups(docs: DataFrame, counts: DataFrame, kept: DataFrame) -> DataFrame:
     """lang, source, total (N), terms (V), floor (share of an absent term, null without terms) of every group that occurs."""
-    every = tokenised.select(*_GROUP).distinct()
+    every = _own(docs).select(*_GROUP).distinct()
     sums = counts.groupBy(*_GROUP).agg(F.sum("n").alias("total"))
     sizes = kept.groupBy("lang").agg(F.count("*").alias("terms"))
     both = every.join(sums, _GROUP, "left").join(sizes, "lang", "left").fillna(0, ["total", "terms"])
@@ -103,7 +190,8 @@ def pairs(groups: DataFrame, cells: DataFrame) -> DataFrame:
         F.sum(F.expr(f"cast({_differs('p', 'q')} - {_differs('p', 'other')} - {_differs('floor', 'q')} + {f0} as decimal(38, 0))")).alias("there"),
         F.sum(F.expr(f"cast({_differs('q', 'p')} - {_differs('q', 'floor')} - {_differs('other', 'p')} + {back} as decimal(38, 0))")).alias("back"),
     )
-    both = common.select(*_GROUP, "item", F.col("there").alias("common")).union(common.select("lang", "item", "source", "back"))
+    ways = [F.struct(F.col(a).alias("source"), F.col(b).alias("item"), F.col(v).alias("common")) for a, b, v in (("source", "item", "there"), ("item", "source", "back"))]
+    both = common.select("lang", F.explode(F.array(*ways)).alias("way")).select("lang", "way.*")
     every = groups.select(*_GROUP, "terms", "floor").join(other, "lang").where("source <> item")
     one = every.join(own.select(*_GROUP, "item", "mine"), [*_GROUP, "item"], "left")
     two = one.join(own.select("lang", F.col("item").alias("source"), F.col("source").alias("item"), "its"), [*_GROUP, "item"], "left")
@@ -122,11 +210,10 @@ def terms_of(cells: DataFrame, kept: DataFrame) -> DataFrame:
 
 def audit(docs: DataFrame, least: int = LEAST_DOCUMENTS, top: int = TOP) -> DataFrame:
     """lang, source, part, item, value, rank: every other source of the language, and the ``top`` terms of every group."""
-    tokenised = tokens(docs)
-    model = fit(tokenised, least)
+    model = fit(docs, least)
     kept = materialise(vocabulary(model, docs), "kept-terms")
-    counts = materialise(group_counts(tokenised, model).join(kept.select("index"), "index", "left_semi"), "group-counts")
-    groups = materialise(_groups(tokenised, counts, kept), "groups")
+    counts = materialise(group_counts(tokens(docs), model).join(kept.select("index"), "index", "left_semi"), "group-counts")
+    groups = materialise(_groups(docs, counts, kept), "groups")
     cells = counts.join(groups, _GROUP).select("lang", "source", "index", "n", _share("n").alias("p"), "floor")
     order = Window.partitionBy(*_GROUP).orderBy(F.desc("value"), "item")
     by_source = pairs(groups, cells).withColumn("rank", F.row_number().over(order))
