@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import fuzzy_lines, language, near_documents, packing, winnowing
+from tidemark.llm import fuzzy_lines, language, packing, simhash, winnowing
 from tidemark.llm.shared import held_out, table
 from tidemark.session import materialise
 
@@ -34,8 +34,8 @@ def deduplicate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def deduplicate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles alike by 0.8 or more) stays."""
-    return near_documents.deduplicate(docs)
+    """One document of each group of linked fingerprints (four-word shingles, four or fewer of 64 bits apart) stays."""
+    return simhash.deduplicate(docs, words_in_shingle=4)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +51,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("language identification", identify_language),
     ("line deduplication", deduplicate_lines),
-    ("near-duplicate documents", deduplicate_documents),
+    ("SimHash near-duplicates", deduplicate_documents),
     ("benchmark decontamination", decontaminate),
     ("packing", pack),
 ]
