@@ -1,6 +1,7 @@
 import random
 
 from llm_helpers import docs, prose
+from test_duplicates import grouped, near_copies, plain_fingerprint
 
 import corpus_pipeline
 from tests_data import benchmark_at
@@ -27,28 +28,22 @@ def test_each_stage_takes_effect(spark, tmp_path):
     assert set(kept["language identification"]) == set(range(25))
     lines = kept["line deduplication"]
     assert 20 not in lines and 21 not in lines and lines[22] == passage and passage not in lines[23]
-    assert set(range(20)) <= set(kept["near-duplicate documents"])
-    assert 24 in kept["near-duplicate documents"] and 24 not in kept["benchmark decontamination"]
+    assert set(range(20)) <= set(kept["SimHash near-duplicates"])
+    assert 24 in kept["SimHash near-duplicates"] and 24 not in kept["benchmark decontamination"]
     assert set(range(20)) <= set(kept["benchmark decontamination"])
     pieces = df.collect()
     assert {r.doc_id for r in pieces} == set(kept["benchmark decontamination"])
 
 
-def test_near_copies_go_with_the_document_stage(spark, tmp_path):
-    """Copies with two words in a hundred changed are alike by more than 0.8; those with ten changed stay."""
+def test_one_of_each_group_of_fingerprints_stays(spark, tmp_path):
+    """Against all pairs: the least id of each group of texts within four bits, over several links."""
     rng = random.Random(14)
-    texts, near = [], []
-    for _ in range(10):
-        base = prose(rng, 200).split()
-        texts.append(" ".join(base))
-        for n in (4, 20):
-            copy = list(base)
-            for i in range(n):
-                copy[5 + i * len(base) // n] = "changed"
-            near.append((len(texts), n))
-            texts.append(" ".join(copy))
+    texts = near_copies(rng, 12, 4, words=250)
+    prints = [plain_fingerprint(t) for t in texts]
+    linked = [(i, j) for i in range(len(texts)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 4]
+    least = grouped(len(texts), linked)
     kept = {r.doc_id for r in corpus_pipeline.deduplicate_documents(spark, docs(spark, texts), str(tmp_path)).collect()}
-    assert kept == set(range(len(texts))) - {i for i, n in near if n == 4}
+    assert kept == {i for i in range(len(texts)) if least[i] == i} and 12 <= len(kept) < 50
 
 
 def test_empty_documents(spark, tmp_path):
