@@ -44,6 +44,47 @@ def test_count_windows_across_files_repeats_and_restarts(spark, tmp_path):
     assert spark.read.parquet(out).count() == 4
 
 
+def test_every_point_is_accounted_for(spark, tmp_path):
+    """Full, expired, late, repeated and unpriced points add up to what was sent, over restarts."""
+    path, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    at = lambda s: START + timedelta(seconds=s)
+    point = lambda w, n, s, p=1.0: (w, n, at(s), p)
+    first = [point(0, n, n) for n in range(1, 6)] + [point(1, n, n) for n in range(1, 4)] + [point(1, 2, 2), point(1, 9, 3, None), point(1, 8, 3, float("nan"))]
+    second = [point(0, 2, 2), point(1, 3, 3), point(2, 1, 100_000)]
+    third = [point(1, 4, 4), point(1, 5, 5), point(2, 2, 100_001)]
+    sent = 0
+    with jobs.rocksdb_state(spark):
+        for rows in (first, second, third):
+            spark.createDataFrame([*rows, (None, 1, at(0), 1.0)], NUMBERED).coalesce(1).write.mode("append").parquet(path)
+            sent += len(rows)
+            feeds.drain(jobs.accounted_windows(feeds.file_stream(spark, path, NUMBERED), "1 hour", size=5), out, checkpoint)
+    back = spark.read.schema(jobs.ACCOUNTED).parquet(out).collect()
+    got = {(r.window_id, r.kind): sorted(r.nums) for r in back}
+    waiting = 2  # the points of window 2, whose time hasn't passed
+    assert sum(r.n for r in back) + waiting == sent
+    assert got[0, "full"] == [1, 2, 3, 4, 5] and got[0, "repeated"] == [2]
+    assert got[1, "expired"] == [1, 2, 3] and got[1, "late"] == [4, 5] and got[1, "unpriced"] == [8, 9]
+    assert sum(r.n for r in back if (r.window_id, r.kind) == (1, "repeated")) == 2 and 2 not in {w for w, _ in got}
+    full = next(r for r in back if r.kind == "full")
+    assert full.times == [at(n) for n in range(1, 6)] and full.prices == [1.0] * 5
+
+
+def test_windows_without_posts_come_out_with_zero(spark, tmp_path):
+    at = lambda s: START + timedelta(seconds=s)
+    windows, posts, out, checkpoint = (str(tmp_path / n) for n in ("w", "p", "out", "cp"))
+    w_schema, p_schema = "window_id long, start timestamp, stop timestamp", "id string, created_at timestamp"
+    w_rows = [(0, at(0), at(10)), (1, at(20), at(30)), (2, at(40), at(50))]
+    seen = []
+    for more_w, more_p in ((w_rows, [("a", at(5)), ("b", at(45)), ("c", at(46)), ("d", at(35))]), ([(9, at(10**7), at(10**7))], [("z", at(10**7))])):
+        spark.createDataFrame(more_w, w_schema).coalesce(1).write.mode("append").parquet(windows)
+        spark.createDataFrame(more_p, p_schema).coalesce(1).write.mode("append").parquet(posts)
+        joined = jobs.pair_windows_with_posts(feeds.file_stream(spark, windows, w_schema), feeds.file_stream(spark, posts, p_schema), "1 day", "1 hour", keep_empty=True)
+        feeds.drain(joined, out, checkpoint)
+        rows = spark.read.schema("window_id long, id string, created_at timestamp").parquet(out)
+        seen.append({r.window_id: r.n for r in jobs.posts_of_windows(rows).collect()})
+    assert seen[0] == {0: 1, 2: 2} and {w: n for w, n in seen[1].items() if w != 9} == {0: 1, 1: 0, 2: 2}
+
+
 def test_incomplete_windows_are_forgotten(spark, tmp_path):
     path, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
     early = numbered(spark, 40)

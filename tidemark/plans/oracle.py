@@ -53,6 +53,7 @@ _CTES = {
     "points": """SELECT t, p, CAST(rn AS BIGINT) AS rn, CAST(rn // 100 AS BIGINT) AS window_id, CAST(rn % 100 AS INTEGER) AS pos,
         CAST(round(p * 1000000) AS BIGINT) AS u
         FROM (SELECT t, p, row_number() OVER (ORDER BY t) - 1 AS rn FROM series) AS numbered""",
+    "sent": "SELECT *, count(*) OVER (PARTITION BY window_id) AS size, window_id % 3 = 1 AND pos < 50 AS held FROM points",
     "summary": """SELECT window_id, count(*) AS n, min(t) AS start_t, max(t) AS stop_t,
         CAST(sum(u) FILTER (pos < 99) AS DOUBLE) / (count(u) FILTER (pos < 99) * 1000000)::DOUBLE AS present_mean,
         CAST(sum(u) FILTER (pos < 19) AS DOUBLE) / (count(u) FILTER (pos < 19) * 1000000)::DOUBLE AS head_mean,
@@ -265,14 +266,18 @@ ORACLE: dict[str, str] = {
     "model_roundtrip": _with("split", "SELECT window_id, 1 AS same FROM split WHERE NOT is_train AND label IS NOT NULL"),
     "stream_file_scan": _with("points", _TICK_FILE),
     "stream_post_ingest": _with("posts", _POST_ROWS),
+    "stream_acknowledged": _with("posts", _POST_ROWS),
     "stream_dedup": _with("posts", f"SELECT id, {_st('created_at')} AS created_at, source FROM posts"),
     "stream_sentiment_running": _with("scored", f"SELECT {_features('open_bucket', True)} FROM (SELECT sentiment, CASE WHEN on_border THEN 'none' ELSE bucket END AS open_bucket FROM scored) AS open_scored"),
     "stream_count_windows": _with("points", _WINDOW_PRICES + " FROM points GROUP BY window_id HAVING count(*) = 100"),
+    "stream_accounted_windows": _with("sent", """SELECT window_id, kind, count(*) AS n, round(sum(p), 6) AS sum_p FROM (
+        SELECT window_id, p, CASE WHEN held THEN 'late' WHEN size = 100 AND window_id % 3 <> 1 THEN 'full' ELSE 'expired' END AS kind FROM sent
+        UNION ALL SELECT window_id, p, 'repeated' FROM sent WHERE NOT held AND (pos + 1) % 10 = 0) AS counted GROUP BY window_id, kind"""),
     "stream_daily_ticks": _with("ticks", """SELECT CAST(d AS VARCHAR) AS day, count(*) AS count, min(p) AS min_price, max(p) AS max_price, round(avg(p), 6) AS avg_price
         FROM (SELECT CAST(t AS DATE) AS d, p FROM ticks) AS by_day GROUP BY d
         HAVING CAST(d AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(t) - INTERVAL 1 HOUR FROM ticks)"""),
-    "stream_interval_join": _with("labelled posts", """SELECT l.window_id, count(*) AS n FROM labelled l
-        JOIN posts p ON p.created_at >= l.start_t AND p.created_at <= l.stop_t GROUP BY l.window_id"""),
+    "stream_interval_join": _with("labelled posts", """SELECT l.window_id, count(p.id) AS n FROM labelled l
+        LEFT JOIN posts p ON p.created_at >= l.start_t AND p.created_at <= l.stop_t GROUP BY l.window_id"""),
     "latest_label_view": _with("labelled", "SELECT 'key' AS key, window_id, label FROM labelled WHERE label IS NOT NULL ORDER BY window_id DESC LIMIT 1"),
     "stream_score_windows": _with("labelled", "SELECT window_id, 1 AS known_label, 2.0::DOUBLE AS prob_sum, 1 AS labels_largest, 100 AS n_prices, 6 AS n_features FROM labelled"),
     "stream_pipeline_scores": _with("labelled", "SELECT window_id, 1 AS known_label FROM labelled"),

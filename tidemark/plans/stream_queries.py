@@ -16,10 +16,11 @@ from tidemark.plans import catalogue as cat
 from tidemark.plans.catalogue import points, query, r6, scored_posts, stamp
 from tidemark.session import configure, materialise, scratch_path
 from tidemark.sources import payloads, sample, sinks, tables
-from tidemark.streaming import feeds, jobs
+from tidemark.streaming import feeds, jobs, messages
 
 # The sample tables cover one month and may be read in any file order, so nothing of them counts as late.
 WHOLE_SAMPLE = "60 days"
+MESSAGES_A_TRIGGER = 2_000
 
 
 def _drained(stream: DataFrame, name: str, schema: StructType | str) -> DataFrame:
@@ -61,6 +62,27 @@ def stream_post_ingest(spark, sf_dir):
     return back.select("id", F.md5("text").alias("text_md5"), F.col("timestamp").alias("created_at"), "source")
 
 
+@query
+def stream_acknowledged(spark, sf_dir):
+    """Post messages pulled from the acknowledged source, a cap on each trigger; the second half by a query that knows
+    nothing of the first but what it acknowledged. A message that comes twice overwrites itself by its place."""
+    posts = sample.posts(spark, sf_dir)
+    line = payloads.post_line(F.col("id"), F.col("text"), stamp("created_at"), F.col("source"))
+    lines = materialise(posts.select(line.alias("value")), "post-lines")
+    path, out = scratch_path(spark, "messages-in"), scratch_path(spark, "messages-out")
+    for half in range(2):
+        messages.land_rows(lines.where(F.pmod(F.xxhash64("value"), F.lit(2)) == half), path, f"half{half}", per_file=100)
+        feeds.drain_source(
+            messages.message_stream(spark, path, max_messages=MESSAGES_A_TRIGGER),
+            lambda batch, batch_id, half=half: sinks.upsert_latest(batch, batch_id, f"{out}/half={half}"),
+            scratch_path(spark, "messages-checkpoint"),
+        )
+    landed = spark.read.schema(f"{messages.SCHEMA}, half int, batch_id long").parquet(out)
+    once = landed.groupBy("file", "line").agg(F.max_by("value", F.struct("half", "batch_id")).alias("value"))
+    back = payloads.parse_post_lines(once)
+    return back.select("id", F.md5("text").alias("text_md5"), F.col("timestamp").alias("created_at"), "source")
+
+
 @query
 def stream_dedup(spark, sf_dir):
     """Every post is delivered twice and kept once."""
@@ -105,6 +127,30 @@ def stream_count_windows(spark, sf_dir):
     )
 
 
+@query
+def stream_accounted_windows(spark, sf_dir):
+    """Numbered ticks with an account of every point: a tenth come again, and the points of a third of the windows' first
+    halves come only after the watermark has passed. Points by what became of them, and the windows they fall in."""
+    rows = points(spark, sf_dir).select("t", "p", (F.col("pos") + 1).alias("num"), "window_id")
+    held_back = (F.col("window_id") % 3 == 1) & (F.col("num") <= 50)
+    path, out, checkpoint = (scratch_path(spark, f"accounted-{n}") for n in ("in", "out", "checkpoint"))
+    later = F.lit("2999-01-01").cast("timestamp")
+    steps = [
+        rows.where(~held_back),
+        rows.where(~held_back & (F.col("num") % 10 == 0)),
+        spark.range(1).select(later.alias("t"), F.lit(1.0).alias("p"), F.lit(1).alias("num"), F.lit(-1).cast("long").alias("window_id")),
+        rows.where(held_back),
+    ]
+    with jobs.rocksdb_state(spark):
+        for step in steps:
+            step.select("t", "p", F.col("num").cast("int").alias("num"), F.col("window_id").cast("long").alias("window_id")).write.mode("append").parquet(path)
+            schema = "t timestamp, p double, num int, window_id long"
+            stream = feeds.file_stream(spark, path, StructType.fromDDL(schema), max_files=None)
+            feeds.drain(jobs.accounted_windows(stream, lateness=WHOLE_SAMPLE), out, checkpoint)
+    back = spark.read.schema(jobs.ACCOUNTED).parquet(out).where("window_id >= 0")
+    return back.groupBy("window_id", "kind").agg(F.sum("n").alias("n"), r6(F.sum(F.aggregate("prices", F.lit(0.0), lambda a, x: a + x))).alias("sum_p"))
+
+
 @query
 def stream_daily_ticks(spark, sf_dir):
     """Days that the watermark has closed; the last day is still open."""
@@ -117,7 +163,10 @@ def stream_daily_ticks(spark, sf_dir):
 
 @query
 def stream_interval_join(spark, sf_dir):
-    """Windows and raw posts as two streams; the join finds the window of each post. Counted per window."""
+    """Windows and raw posts as two streams; the join finds the window of each post, and counts zero where there is none.
+
+    Unmatched windows wait for both watermarks: once all is read, a row far in the future on either side moves them on.
+    """
     spans = cat.labelled(spark, sf_dir).select("window_id", "start", "stop")
     posts = sample.dated(sample.documents(spark, sf_dir).select("doc_id"), spark, sf_dir)
     window_path, window_schema = _landed(spans, "window-messages")
@@ -127,9 +176,16 @@ def stream_interval_join(spark, sf_dir):
         feeds.file_stream(spark, post_path, post_schema, max_files=4),
         lateness=WHOLE_SAMPLE,
         longest_window=WHOLE_SAMPLE,
+        keep_empty=True,
     )
-    back = _drained(joined, "interval-join", "window_id long, id string, created_at timestamp")
-    return back.groupBy("window_id").agg(F.count("*").alias("n"))
+    out, checkpoint = scratch_path(spark, "interval-join"), scratch_path(spark, "interval-join-checkpoint")
+    feeds.drain(joined, out, checkpoint)
+    after = F.lit("2999-01-01").cast("timestamp")
+    spark.range(1).select(F.lit(None).cast("long").alias("window_id"), after.alias("start"), after.alias("stop")).write.mode("append").parquet(window_path)
+    spark.range(1).select(F.lit(None).cast("string").alias("id"), after.alias("created_at")).write.mode("append").parquet(post_path)
+    feeds.drain(joined, out, checkpoint)
+    back = spark.read.schema("window_id long, id string, created_at timestamp").parquet(out)
+    return jobs.posts_of_windows(back.where("window_id IS NOT NULL"))
 
 
 @query

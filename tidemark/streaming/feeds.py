@@ -37,17 +37,6 @@ def post_stream(spark: SparkSession, path: str, max_files: int | None = 1) -> Da
     return file_stream(spark, path, schemas.POST_FILE, "csv", max_files, header=True, timestampFormat=CSV_TIME)
 
 
-def message_stream(spark: SparkSession, options: dict[str, str], max_messages: int | None = None) -> DataFrame:
-    """Messages of a Kafka topic as text, at most ``max_messages`` per trigger (``None``: no cap).
-
-    Offsets live in the checkpoint of the query, which takes the place of acknowledging messages.
-    """
-    reader = spark.readStream.format("kafka").options(**options)
-    if max_messages is not None:
-        reader = reader.option("maxOffsetsPerTrigger", max_messages)
-    return reader.load().selectExpr("CAST(value AS STRING) AS value", "timestamp")
-
-
 def drain(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
     """Process what is there and append it to a Parquet folder, exactly once."""
     query = (
@@ -75,6 +64,15 @@ def drain_batches(
     query.awaitTermination()
 
 
+def drain_source(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    """Like :func:`drain_batches`, for sources whose caps hold only under a continuous trigger."""
+    query = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def run_for(query: StreamingQuery, seconds: float) -> bool:
     """Let a continuous query run for at most ``seconds``, then stop it; true if it ended by itself."""
     ended = bool(query.awaitTermination(seconds))

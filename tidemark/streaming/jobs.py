@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.ml import Model
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from tidemark import schemas
 from tidemark.functions.sentiment import fill_empty_means
@@ -104,8 +106,104 @@ def count_windows(ticks: DataFrame, lateness: str, size: int = 100) -> DataFrame
     )
 
 
+ACCOUNTED = "kind string, window_id long, n int, nums array<int>, prices array<double>, times array<timestamp>"
+_ACCOUNTED = "kind string, window_id long, n int, nums array<int>, prices array<double>, us array<long>"
+
+
+class CountWindows(StatefulProcessor):
+    """Points of a window in a map by their number, a timer on the newest of them, and what became of each point."""
+
+    def __init__(self, size: int):
+        self.size = size
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.points = handle.getMapState("points", "num int", "p double, us long")
+        self.window = handle.getValueState("window", "done boolean, held int, timer long")
+
+    def _rows(self, kind: str, key: tuple, points: list[tuple]) -> pd.DataFrame:
+        nums, prices, us = ([list(x)] for x in zip(*sorted(points, key=lambda x: (x[0], x[2])), strict=True))
+        return pd.DataFrame({"kind": [kind], "window_id": [key[0]], "n": [len(points)], "nums": nums, "prices": prices, "us": us})
+
+    def _held(self) -> list[tuple]:
+        return [(num, p, us) for (num,), (p, us) in self.points.iterator()]
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        done, held, timer = self.window.get() if self.window.exists() else (False, 0, -1)
+        apart: dict[str, list[tuple]] = {"late": [], "unpriced": [], "repeated": []}
+        newest = -1
+        for part in rows:
+            for num, p, us in zip(part["num"].tolist(), part["p"].tolist(), part["us"].tolist(), strict=True):
+                kind = "late" if us // 1000 < watermark else "unpriced" if p is None or p != p else "repeated" if done or self.points.containsKey((num,)) else None
+                if kind is not None:
+                    apart[kind].append((num, p, us))
+                    continue
+                self.points.updateValue((num,), (p, us))
+                held, newest = held + 1, max(newest, us // 1000)
+                if held == self.size:
+                    yield self._rows("full", key, self._held())
+                    self.points.clear()
+                    done = True
+        for kind, points in apart.items():
+            if points:
+                yield self._rows(kind, key, points)
+        if newest >= 0:
+            if timer >= 0:
+                self.handle.deleteTimer(timer)
+            timer = max(timer, newest + 1)
+            self.handle.registerTimer(timer)
+            self.window.update((done, held, timer))
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        done, _, _ = self.window.get()
+        if not done:
+            yield self._rows("expired", key, self._held())
+        self.points.clear()
+        self.window.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def accounted_windows(ticks: DataFrame, lateness: str, size: int = 100) -> DataFrame:
+    """Count windows of numbered ticks (``window_id, num, t, p``) with an account of every point, by ``kind``:
+
+    ``full``, a window with all its points; ``expired``, one that the watermark passed before; ``late``, points that came
+    after the watermark; ``unpriced``, points without a price; ``repeated``, points that came before, also those of a
+    full window that isn't forgotten yet. The ``n`` of all rows add up to the points sent. Each batch reads and writes the
+    points it brings, not the window's others. Points without a window, number or time are left out. The state needs
+    the RocksDB store (:func:`rocksdb_state`).
+    """
+    # The time itself doesn't reach the state, as rows behind the watermark would be dropped there without a trace.
+    points = ticks.where("window_id IS NOT NULL AND num IS NOT NULL AND t IS NOT NULL").withWatermark("t", lateness)
+    placed = points.select("window_id", F.col("num").cast("int").alias("num"), F.col("p").cast("double").alias("p"), F.unix_micros("t").alias("us"))
+    found = placed.groupBy("window_id").transformWithStateInPandas(CountWindows(size), _ACCOUNTED, "append", "eventTime")
+    return found.select("kind", "window_id", "n", "nums", "prices", F.transform("us", F.timestamp_micros).alias("times"))
+
+
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB."""
+    before = spark.conf.get(_STORE)
+    spark.conf.set(_STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(_STORE, before)
+
+
 def pair_windows_with_posts(
-    windows: DataFrame, posts: DataFrame, lateness: str, longest_window: str, salts: int = 8, bucket_seconds: int = 3600
+    windows: DataFrame,
+    posts: DataFrame,
+    lateness: str,
+    longest_window: str,
+    salts: int = 8,
+    bucket_seconds: int = 3600,
+    keep_empty: bool = False,
 ) -> DataFrame:
     """Join two streams: windows ``window_id, start, stop`` and raw posts ``id, created_at``.
 
@@ -115,6 +213,9 @@ def pair_windows_with_posts(
     more, posts before its last ``longest_window`` are not met, so choose it from the data (it has no default). Windows
     are few and posts many, so each window is repeated per salt and a bucket with very many posts is spread over
     ``salts`` tasks.
+
+    With ``keep_empty`` windows without posts come out too: what a window laid out has not met, in a bucket and salt, is
+    a row with null ``id``, once both watermarks have passed it. Count ``id`` by window (:func:`posts_of_windows`).
     """
     bucket = lambda t: F.floor(F.unix_seconds(t) / bucket_seconds)
     spread = windows.select("window_id", "start", "stop", F.explode(F.sequence(bucket("start"), bucket("stop"))).alias("bucket"))
@@ -129,7 +230,12 @@ def pair_windows_with_posts(
         & (F.col("created_at") <= F.col("stop"))
         & (F.col("created_at") >= F.col("stop") - F.expr(f"INTERVAL {longest_window}"))
     )
-    return left.join(right, inside).select("window_id", "id", "created_at")
+    return left.join(right, inside, "left_outer" if keep_empty else "inner").select("window_id", "id", "created_at")
+
+
+def posts_of_windows(pairs: DataFrame) -> DataFrame:
+    """window_id, n: the number of posts of every window, from landed pairs that keep empty windows."""
+    return pairs.groupBy("window_id").agg(F.count("id").alias("n"))
 
 
 def label_windows_of_batch(windows: DataFrame, scored_posts: DataFrame, stock_model: Model, posts_model: Model) -> DataFrame:
