@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from llm_helpers import ODD, docs, prose
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import fuzzy_lines, golay, simhash
 from tidemark.llm.components import components
+from tidemark.session import materialise as plain
 
 
 def grouped(n, links):
@@ -144,7 +146,7 @@ def drifting(rng, n_chains, length):
 
 def test_every_link_within_a_crowded_key(spark, monkeypatch):
     """All lines share one key, so nothing may be missed: components are those of brute force."""
-    monkeypatch.setattr(fuzzy_lines, "_buckets", lambda signed: signed.select("line_hash", F.lit(1).cast("long").alias("bucket")))
+    monkeypatch.setattr(fuzzy_lines, "_buckets", lambda distinct: distinct.select("key", F.lit(1).cast("long").alias("bucket")))
     texts = [*drifting(random.Random(8), 2, 30), *drifting(random.Random(10), 8, 1)]
     df = docs(spark, texts)
     dropped = {(r.id, r.line_no) for r in fuzzy_lines.repeated(df).collect()}
@@ -157,12 +159,54 @@ def test_short_lines_are_candidates(spark):
     rng = random.Random(11)
     starts = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ,.") for _ in range(13)) for _ in range(1500)]
     texts = [f"x{s}y{end}" for s in starts for end in "pq"]
-    found = fuzzy_lines.lines(docs(spark, texts))
-    keys = fuzzy_lines._buckets(fuzzy_lines.signatures(found)).join(found.select("id", F.xxhash64("line").alias("line_hash")), "line_hash")
-    shared = keys.groupBy("bucket", F.floor(F.col("id") / 2).alias("pair")).agg(F.countDistinct("id").alias("n")).where("n = 2")
+    keys = fuzzy_lines._buckets(fuzzy_lines.signatures(docs(spark, texts)).select("key", "keys", "id").withColumn("key", F.col("id")))
+    shared = keys.groupBy("bucket", F.floor(F.col("key") / 2).alias("pair")).agg(F.countDistinct("key").alias("n")).where("n = 2")
     assert shared.select("pair").distinct().count() > 0.97 * len(starts)
 
 
+@pytest.mark.parametrize("n", [600, 3000])
+def test_a_crowd_of_unlike_lines_takes_a_fixed_number_of_passes(spark, monkeypatch, n):
+    """One template with ends of its own for every line, and two ends that are alike: nothing else goes."""
+    rng = random.Random(13)
+    template = prose(rng, 30)[:60]
+    texts = [template + "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(25)) for _ in range(n)]
+    texts += [texts[7] + "!", texts[n // 2][:-1] + "?"]
+    passes = []
+    monkeypatch.setattr(fuzzy_lines, "materialise", lambda df, name: (passes.append(name), plain(df, name))[1])
+    monkeypatch.setattr(fuzzy_lines, "BLOCK", 1 << 14)  # several blocks a key
+    dropped = {(r.id, r.line_no) for r in fuzzy_lines.repeated(docs(spark, texts)).collect()}
+    assert dropped == {(n, 0), (n + 1, 0)} and len(passes) == 11
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_blocks_against_every_pair(seed):
+    rng = random.Random(seed)
+    lines = []
+    for _ in range(6):
+        base = prose(rng, rng.randint(1, 30))
+        lines += [base] + [base.replace(rng.choice("aeio"), "u", rng.randint(1, 3)) + "x" * rng.randint(0, 4) for _ in range(8)]
+    lines = sorted({*lines, "a", "ab", "é日本語テキスト", "x" * 200, "x" * 300})
+    rows = [(x, x, asks) for i, x in enumerate(lines) for asks in ((False, True) if i % 3 else (False,))]
+    got = fuzzy_lines.block_links(pd.DataFrame(rows, columns=["key", "line", "asks"]), 0.8)
+    sets = [shingles(x) for x in lines]
+    near = [(i, j) for i in range(len(lines)) for j in range(len(lines)) if i != j and i % 3 and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    at = {x: i for i, x in enumerate(lines)}
+    found = [(at[a], at[b]) for a, b in zip(got["a"], got["b"], strict=True)]
+    assert near and set(found) <= set(near) and grouped(len(lines), found) == grouped(len(lines), near)
+
+
+def test_lines_of_rows_without_an_id_and_of_long_texts(spark):
+    rng = random.Random(15)
+    own = [prose(rng, 12) for _ in range(4)]
+    df = docs(spark, [f"{own[0]}\n{own[1]}", f"{own[2]}\n{own[1]}", f"{own[3]}\n{own[1]}"])
+    no_ids = df.withColumn("doc_id", F.when(F.col("doc_id") == 0, -1).when(F.col("doc_id") == 2, 5))
+    left = {r.text: r.doc_id for r in fuzzy_lines.remove_repeated(no_ids).collect()}
+    assert left == {own[0]: -1, f"{own[2]}\n{own[1]}": None, own[3]: 5}  # the row without an id is the first
+    many = "\n".join(["the same line over and over again"] * 100_000 + [own[0]])
+    (row,) = fuzzy_lines.remove_repeated(docs(spark, [many])).collect()
+    assert row.text == f"the same line over and over again\n{own[0]}" and (row.n_lines, row.n_removed) == (100_001, 99_999)
+
+
 def test_repeated_lines_go_and_the_rest_stays(spark):
     long = "a passage that stands in several documents, word for word, and then goes on for a while"
     texts = [f"first\n{long}\n\nlast", f"{long}.", f"own line\n{long}", None, "", "\n \n"]

@@ -1,203 +1,333 @@
-"""Line deduplication across documents by MinHash, in DataFrame operations alone.
+"""Line deduplication across documents by MinHash.
 
 Every line's character shingles are hashed; ``BANDS * ROWS`` minima of the hashes, each after another multiplication, make
-its signature, and ``ROWS`` minima at a time its band keys. One aggregation by the line's hash does this for all lines and
-merges equal ones before its shuffle. Lines that share a band key are candidates; the exact Jaccard similarity of their
-shingle sets decides. Components of similar lines come from distributed union-find, and the first line of each, by
-document and position, is kept.
+its signature, and ``ROWS`` minima at a time its band keys. Lines that share a band key are candidates; the exact Jaccard
+similarity of their shingle sets decides. Components of similar lines come from distributed union-find, and the first
+line of each, by document and position, is kept. Spark joins and groups; tasks make signatures and compare sets with numpy.
 
 With eight bands of four rows a pair at the least similarity (0.8) is a candidate with probability 0.985, whatever the
-number of shingles (simulated with these factors: 0.986 for 10 shingles in all, 0.985 for 20 and 80), at 0.9 with 0.9999. Within a key every line is first compared with its hub, the line that shares most keys with most lines: where
-many lines are edits of one, that one is the hub, and a crowd costs one comparison a line. Lines unlike the hub are
-compared with all others of the key, if these are ``most`` or fewer; else with about ``most`` centres drawn by hash and a
-new hub, again and again among those that no centre resembles. What is connected by then needs no further comparison.
-Crowded keys whose lines still lie in several components are finished exactly: alike sets share one of their rarest
-shingles (a fifth of them and one, in one order of rarity), so lines of unlike components that share such a shingle are
-compared, those outside the key's largest component with all. Within a key no link between components is lost.
+number of shingles, at 0.9 with 0.9999. Within a key no link between components is lost, in three steps whose number doesn't
+depend on the data. Every line is compared with its key's hub, the line that shares most keys with most lines: where
+many lines are edits of one, that one is the hub, and a crowd costs one comparison a line. Lines unlike the hub are then
+compared with all others of the key, pair by pair in a key of ``most`` lines or fewer. A crowded key is cut into blocks of
+about ``BLOCK`` characters, and every block of lines unlike the hub meets every block of the key whose lengths allow the
+similarity. Common shingles of two blocks are counted at once as a product of two incidence matrices, and only links that
+join something leave a block. Blocks bound the memory of a task, however many lines a key has; the number of block pairs
+grows with the square of the lines *unlike* the hub of one key, as an exact comparison of unlike lines must.
 
-Lines are compared without white space at their ends. Equal hashes (64 bits) count as equal lines.
+Lines are compared without white space at their ends. Equal hashes (128 bits) count as equal lines.
 
 Defined cases: lines without a character other than white space are kept and never compared; null text stays null; a
 line of fewer characters than a shingle is one shingle; rows with equal id and text count as one document, so their
-lines stay together; an empty table gives an empty result; other columns are kept by ``remove_repeated``.
+lines stay together, and so do rows without an id and equal text, which come before all others; an empty table gives an
+empty result; other columns are kept by ``remove_repeated``. One line is the least unit of work: a line of many megabytes is
+compared inside one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
+from tidemark.llm.shared import texts_of
 from tidemark.session import materialise
 
 SHINGLE = 8
-CHARACTERS = f"if(char_length({{0}}) < {SHINGLE}, array({{0}}), array_distinct(regexp_extract_all({{0}}, '(?s)(?=(.{{{SHINGLE}}}))', 1)))"
 BANDS, ROWS = 8, 4
+BLOCK = 1 << 18  # characters of the lines that one side of a block comparison has, on average
 _PLACE = ["id", "digest", "line_no"]
 _DOC = ["id", "digest"]
+_SPACE = " \t\r\x0b\x0c"
+_CHUNK = 1 << 16  # characters whose hashes are at hand at a time
+_VOCABULARY = 4096  # shingles, columns of an incidence matrix at a time
+
+
+def _odd(k: int) -> int:
+    """A number of 64 bits by the finaliser of splitmix64, made odd."""
+    z = (k + 1) * 0x9E3779B97F4A7C15 % (1 << 64)
+    z = (z ^ z >> 30) * 0xBF58476D1CE4E5B9 % (1 << 64)
+    z = (z ^ z >> 27) * 0x94D049BB133111EB % (1 << 64)
+    return z ^ z >> 31 | 1
+
+
+_DOUBLING = [(1 << i, np.uint64(_odd(100 + i))) for i in range(SHINGLE.bit_length() - 1)]
+_FACTORS = [(np.uint32(_odd(k) >> 33 | 1 << 30 | 1), np.uint32(_odd(k) & 0xFFFFFFFF)) for k in range(BANDS * ROWS)]
+_BAND = np.uint64(_odd(200))
+
+
+def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (64 bits) of all shingles of ``lines`` one after the other, repeats included, and how many each line has."""
+    sizes = np.array([max(len(x), SHINGLE) for x in lines], dtype=np.int64)
+    text = "".join(x if len(x) >= SHINGLE else x.ljust(SHINGLE, "\0") for x in lines)
+    hashed = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    for step, factor in _DOUBLING:  # of one character, of two, of four, of eight
+        hashed = hashed[:-step] * factor + hashed[step:]
+        hashed ^= hashed >> np.uint64(29)
+        hashed *= factor
+    count = sizes - SHINGLE + 1
+    skipped = np.cumsum(sizes) - sizes - (np.cumsum(count) - count)  # windows over the ends of lines
+    return hashed[np.arange(count.sum()) + np.repeat(skipped, count)], count
+
+
+def bands(lines: list[str]) -> np.ndarray:
+    """``BANDS`` keys (long) of every line."""
+    hashed, count = shingle_hashes(lines)
+    first, low = np.cumsum(count) - count, (hashed >> np.uint64(32)).astype(np.uint32)
+    mixed = np.empty_like(low)
+    keys = np.empty((len(lines), BANDS), np.uint64)
+    for band in range(BANDS):
+        key = np.full(len(lines), _odd(300 + band), np.uint64)
+        for factor, offset in _FACTORS[band * ROWS : (band + 1) * ROWS]:
+            np.multiply(low, factor, out=mixed)  # modulo 2^32: another order of the hashes
+            np.add(mixed, offset, out=mixed)
+            key = (key ^ np.minimum.reduceat(mixed, first)) * _BAND
+            key ^= key >> np.uint64(32)
+        keys[:, band] = key
+    return keys.view(np.int64)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select("text", F.coalesce("doc_id", F.lit(-1)).cast("long").alias("id"), F.xxhash64("text").alias("digest"))
+    own = [F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64("text", F.col("doc_id").isNull()).alias("digest")]
+    return docs.select(*own, "text").where("text is not null")
 
 
-def lines(docs: DataFrame) -> DataFrame:
-    """id, digest, line_no, line (trimmed) of every line that isn't blank."""
-    every = _keyed(docs).select(*_DOC, F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))
-    return every.select(*_PLACE, F.trim(F.regexp_replace("line", "[\\t\\r\\x0B\\f]", " ")).alias("line")).where("line <> ''")
+def _lines(batch) -> Iterator[tuple[int, int, str]]:
+    """Row of the batch, number and text of each line that isn't blank."""
+    for row, text in enumerate(texts_of(batch)):
+        for line_no, line in enumerate(text.split("\n")):
+            if line := line.strip(_SPACE):
+                yield row, line_no, line
 
 
-def signatures(found: DataFrame) -> DataFrame:
-    """line_hash, least id, n (lines) and minima of every distinct line; fixed-width columns, so that it is a hash aggregation."""
-    reach = 2 * SHINGLE - 1
-    pieces = f"(?s)(?=(.{{1,{reach}}})).{{1,{SHINGLE}}}"  # each shingle lies in one piece, SHINGLE of them at most
-    cut = found.select("id", F.xxhash64("line").alias("line_hash"), F.posexplode_outer(F.regexp_extract_all("line", F.lit(pieces), 1)).alias("at", "piece"))
-    cut = cut.withColumn("size", F.char_length("piece")).where(f"at = 0 or size >= {SHINGLE}")
-    first = F.hash(F.substring("piece", 1, SHINGLE)).cast("long")
-    hashes = [first.alias("h0")] + [F.when(F.col("size") >= i + SHINGLE, F.hash(F.substring("piece", i + 1, SHINGLE)).cast("long")).otherwise(first).alias(f"h{i}") for i in range(1, SHINGLE)]
-    shingled = cut.select("line_hash", "id", F.when(F.col("at") == 0, 1).otherwise(0).alias("one"), *hashes)
-    made = shingled.groupBy("line_hash").agg(F.min("id").alias("id"), F.sum("one").alias("n"), *[_minimum(k) for k in range(BANDS * ROWS)])
-    return made.select("line_hash", "id", "n", *[(F.col(f"m{k}") - (1 << 31)).cast("int").alias(f"m{k}") for k in range(BANDS * ROWS)])
+def line_key(line: str) -> bytes:
+    import xxhash
 
+    return xxhash.xxh3_128_digest(line.encode("utf-8", "surrogatepass"))
 
-def _factor(k: int) -> tuple[int, int]:
-    """An odd number of 31 bits and an offset of 32, by the finaliser of splitmix64."""
-    z = (k + 1) * 0x9E3779B97F4A7C15 % (1 << 64)
-    z = (z ^ z >> 30) * 0xBF58476D1CE4E5B9 % (1 << 64)
-    z = (z ^ z >> 27) * 0x94D049BB133111EB % (1 << 64)
-    z ^= z >> 31
-    return z >> 33 | 1 << 30 | 1, z & 0xFFFFFFFF
 
+def signatures(docs: DataFrame) -> DataFrame:
+    """id, digest, line_no, key (16 bytes) and keys (the band keys) of every line that isn't blank."""
 
-def _minimum(k: int) -> Column:
-    factor, offset = _factor(k)  # a product of 32 and 31 bits fits a long; its lower 32 bits are another order of the hashes
-    mixed = [(F.col(f"h{i}") * factor + offset).bitwiseAND(F.lit(0xFFFFFFFF)) for i in range(SHINGLE)]
-    return F.min(F.least(*mixed)).alias(f"m{k}")
+    def make(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
+        def written(batch, rows: list, numbers: list, lines: list):
+            keys = pa.FixedSizeListArray.from_arrays(pa.array(bands(lines).ravel()), BANDS).cast(pa.list_(pa.int64()))
+            own = [batch.column(c).take(pa.array(rows, pa.int32())) for c in _DOC]
+            columns = [*own, pa.array(numbers, pa.int32()), pa.array(map(line_key, lines), pa.binary()), keys]
+            return pa.RecordBatch.from_arrays(columns, [*_PLACE, "key", "keys"])
 
-def _buckets(signed: DataFrame) -> DataFrame:
-    keys = [F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)]
-    return signed.select("line_hash", F.explode(F.array(*keys)).alias("bucket"))
+        for batch in batches:
+            rows, numbers, lines, size = [], [], [], 0
+            for row, line_no, line in _lines(batch):
+                rows.append(row)
+                numbers.append(line_no)
+                lines.append(line)
+                size += len(line) + SHINGLE
+                if size >= _CHUNK:
+                    yield written(batch, rows, numbers, lines)
+                    rows, numbers, lines, size = [], [], [], 0
+            if lines:
+                yield written(batch, rows, numbers, lines)
 
+    return _keyed(docs).mapInArrow(make, "id long, digest long, line_no int, key binary, keys array<long>")
 
-def _set(shingles: str, column: str) -> Column:
-    return F.expr(shingles.replace("{0}", column))
 
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """key, line of the lines ``wanted`` (key, id of a document that has it), once each."""
 
-def _similar(pairs: DataFrame, texts: DataFrame, least: float, shingles: str) -> DataFrame:
-    """The pairs (a, b: line hashes) whose shingle sets have that Jaccard similarity; ``texts`` has line_hash, line."""
-    left = texts.select(F.col("line_hash").alias("a"), F.col("line").alias("left"))
-    right = texts.select(F.col("line_hash").alias("b"), F.col("line").alias("right"))
-    both = pairs.join(left, "a").join(right, "b")
-    sets = both.select("a", "b", _set(shingles, "left").alias("x"), _set(shingles, "right").alias("y"))
-    common = sets.select("a", "b", F.size("x").alias("n"), F.size("y").alias("m"), F.size(F.array_intersect("x", "y")).alias("c"))
-    return materialise(common, "compared").where(F.col("c") >= F.lit(least) * (F.col("n") + F.col("m") - F.col("c"))).select("a", "b")
+    def make(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
+        for batch in batches:
+            ids, found, size = batch.column("id").to_pylist(), {}, 0
+            for row, _, line in _lines(batch):
+                found[line_key(line), ids[row]] = line
+                size += len(line)
+                if size >= 16 * _CHUNK:
+                    yield _pairs_of(pa, found)
+                    found, size = {}, 0
+            if found:
+                yield _pairs_of(pa, found)
+
+    def _pairs_of(pa, found: dict):
+        keys, ids = zip(*found, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids, pa.int64()), pa.array(list(found.values()), pa.string())], ["key", "id", "line"])
+
+    at = _keyed(docs).mapInArrow(make, "key binary, id long, line string")
+    return at.join(wanted, ["key", "id"], "left_semi").dropDuplicates(["key"]).select("key", "line")
 
-def _hubs(members: DataFrame) -> DataFrame:
-    """bucket, other: of its members (bucket, line_hash, n) the one that the most lines share keys with."""
-    degree = members.groupBy("line_hash").agg(F.sum("n").alias("degree"))
-    best = F.max(F.struct("degree", "line_hash")).alias("best")
-    return members.join(degree, "line_hash").groupBy("bucket").agg(best).select("bucket", F.col("best.line_hash").alias("other"))
 
+def _shingles(line: str) -> set[str]:
+    return {line[i : i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1))}
 
-def _sized(left: DataFrame, most: int) -> DataFrame:
-    """Members of the buckets that still hold two or more, with their number."""
-    sizes = left.groupBy("bucket").agg(F.count("*").alias("left")).where("left > 1")
-    return materialise(left.join(sizes, "bucket").select("bucket", "line_hash", F.col("left").alias("n")), "left")
+
+def _similar(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b: line keys) whose shingle sets have that Jaccard similarity; ``texts`` has key, line."""
+
+    def compare(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            seen, one, alike = None, set(), []
+            for left, right in zip(batch.column("left"), batch.column("right"), strict=True):
+                right = right.as_py()
+                if right != seen:  # pairs come by b, so most rows repeat it
+                    seen, one = right, _shingles(right)
+                other = _shingles(left.as_py())
+                common = len(one & other)
+                alike.append(common >= least * (len(one) + len(other) - common))
+            yield batch.select(["a", "b"]).filter(pa.array(alike, pa.bool_()))
+
+    left = texts.select(F.col("key").alias("a"), F.col("line").alias("left"))
+    right = texts.select(F.col("key").alias("b"), F.col("line").alias("right"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+    return both.mapInArrow(compare, "a binary, b binary")
 
 
 def _pairs(met: DataFrame) -> DataFrame:
-    """Distinct (a, b) with a the greater, from rows with line_hash and other."""
-    return met.where("line_hash <> other").select(F.greatest("line_hash", "other").alias("a"), F.least("line_hash", "other").alias("b")).distinct()
+    """Distinct (a, b) with a the greater, from rows with key and other."""
+    return met.where("key <> other").select(F.greatest("key", "other").alias("a"), F.least("key", "other").alias("b")).distinct()
+
+
+def _hubs(members: DataFrame) -> DataFrame:
+    """bucket, other: of its members (bucket, key, n) the one that the most lines share keys with."""
+    degree = members.groupBy("key").agg(F.sum("n").alias("degree"))
+    best = F.max(F.struct("degree", "key")).alias("best")
+    return members.join(degree, "key").groupBy("bucket").agg(best).select("bucket", F.col("best.key").alias("other"))
 
 
-def _unjoined(members: DataFrame, met: DataFrame, alike: DataFrame) -> DataFrame:
-    """Members of a bucket that were compared there (``met``: bucket, line_hash, other) and found like none."""
-    pair = met.withColumn("a", F.greatest("line_hash", "other")).withColumn("b", F.least("line_hash", "other"))
-    joined = pair.join(alike, ["a", "b"], "left_semi").select("bucket", "line_hash")
-    centres = met.select("bucket", F.col("other").alias("line_hash"))
-    return members.join(joined.union(centres).distinct(), ["bucket", "line_hash"], "left_anti")
+def _buckets(distinct: DataFrame) -> DataFrame:
+    """bucket, key: the band keys of every distinct line."""
+    return distinct.select("key", F.explode("keys").alias("bucket"))
 
 
-def links(found: DataFrame, signed: DataFrame, least: float = 0.8, most: int = 16) -> DataFrame:
-    """a, b: hashes of lines, links that connect similar lines. ``found`` are the lines, ``signed`` their written signatures."""
-    every = materialise(_buckets(signed), "bands")
+def links(docs: DataFrame, distinct: DataFrame, least: float = 0.8, most: int = 16) -> DataFrame:
+    """a, b: keys of lines, links that connect similar lines of ``docs``. ``distinct`` has key, id, keys of each line once."""
+    every = _buckets(distinct)
     shared = every.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = materialise(every.join(shared, "bucket"), "buckets")
-    wanted = members.select("line_hash").distinct().join(signed.select("line_hash", "id"), "line_hash")
-    at = found.withColumn("line_hash", F.xxhash64("line"))
-    texts = materialise(at.join(wanted, ["line_hash", "id"]).select("line_hash", "line").dropDuplicates(["line_hash"]), "lines-compared")
-    return connected(members, texts, least, most, CHARACTERS)
+    wanted = members.select("key").distinct().join(distinct.select("key", "id"), "key")
+    texts = materialise(_texts(docs, wanted), "lines-compared")
+    return connected(members, texts, least, most)
+
+
+def connected(members: DataFrame, texts: DataFrame, least: float, most: int) -> DataFrame:
+    """Links (a, b) that connect all similar ones of ``members`` (bucket, key, n: the bucket's size) that share a bucket."""
+    met = materialise(members.join(_hubs(members), "bucket"), "met-hubs")
+    alike = materialise(_similar(_pairs(met), texts, least), "like-hubs")
+    apart = met.where("key <> other").withColumn("a", F.greatest("key", "other")).withColumn("b", F.least("key", "other"))
+    rest = materialise(apart.join(alike, ["a", "b"], "left_anti").select("bucket", "key", "other", "n"), "unlike-hubs")
+    everyone = members.select("bucket", F.col("key").alias("third"), "n").where(F.col("n") <= most).drop("n")
+    few = rest.where(F.col("n") <= most).join(everyone, "bucket").where("third <> other").select("key", F.col("third").alias("other"))
+    near = _similar(_pairs(few), texts, least)
+    return alike.union(near).union(_crowded(members.where(F.col("n") > most), rest.where(F.col("n") > most), texts, least))
 
 
-def connected(members: DataFrame, texts: DataFrame, least: float, most: int, shingles: str) -> DataFrame:
-    """Links (a, b) that connect all similar ones of ``members`` (bucket, line_hash, n: the bucket's size) that share a bucket.
+def _crowded(members: DataFrame, rest: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Links of every line of ``rest`` (bucket, key) to what is like it in its bucket, block by block.
 
-    ``texts`` has line_hash, line; ``shingles`` is SQL that makes the set of shingles, as an array, of the text ``{0}``.
+    Alike sets of n and m shingles have least * n <= m <= n / least. Lengths fall into classes of that ratio, so the
+    classes beside a line's own are all that its partners can lie in. Characters stand for shingles only above: a set may be
+    smaller than its line is long, so the class comes from the set's size, which a task counts.
     """
-    met = materialise(members.join(_hubs(members), "bucket"), "met-hubs")
-    alike = _similar(_pairs(met), texts, least, shingles)
-    out = [alike]
-    rest = materialise(_unjoined(members, met, alike), "unlike-hubs")
-    everyone = members.select("bucket", F.col("line_hash").alias("other"), "n")
-    few = rest.where(F.col("n") <= most).drop("n").join(everyone.where(F.col("n") <= most), "bucket")
-    out.append(_similar(_pairs(few), texts, least, shingles))
-    many, pool, turn = _sized(rest.where(F.col("n") > most), most), everyone.where(F.col("n") > most), 0
-    while not many.isEmpty():
-        draw = F.pmod(F.xxhash64("other", F.lit(turn)), F.ceil(F.col("n") / most)) == 0
-        centres = pool.where(draw).select("bucket", "other").union(_hubs(many)).distinct()
-        met = materialise(many.join(centres, "bucket"), "met-centres")
-        alike = _similar(_pairs(met), texts, least, shingles)
-        out.append(alike)
-        many, turn = _sized(_unjoined(many, met, alike), most), turn + 1
-        pool = many.select("bucket", F.col("line_hash").alias("other"), "n")
-    all_links = out[0]
-    for more in out[1:]:
-        all_links = all_links.union(more)
-    crowded = rest.where(F.col("n") > most).select("bucket").distinct()
-    if crowded.isEmpty():
-        return all_links.distinct()
-    return _finished(members.join(crowded, "bucket"), all_links, texts, least, shingles)
-
-
-def _finished(members: DataFrame, known: DataFrame, texts: DataFrame, least: float, shingles: str) -> DataFrame:
-    """Links that connect as ``known`` does, and all similar members of a bucket besides."""
-    joined = materialise(components(known), "known-components")
-    named = joined.withColumnRenamed("node", "line_hash")
-    at = members.select("bucket", "line_hash").join(named, "line_hash", "left").withColumn("component", F.coalesce("component", "line_hash"))
-    parts = at.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    largest = parts.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("best"), F.count("*").alias("parts"))
-    split = materialise(at.join(largest.where("parts > 1").select("bucket", F.col("best.component").alias("largest")), "bucket"), "split-keys")
-    rare = materialise(_rarest(texts.join(split.select("line_hash").distinct(), "line_hash"), least, shingles), "rare-shingles")
-    right = split.join(rare, "line_hash").select("bucket", "token", F.col("line_hash").alias("other"), F.col("component").alias("its"))
-    left = split.where("component <> largest").join(rare, "line_hash").select("bucket", "token", "line_hash", "component")
-    met = left.join(right, ["bucket", "token"]).where("component <> its").select("line_hash", "other")
-    stars = joined.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    return stars.union(_similar(_pairs(met), texts, least, shingles))
-
-
-def _rarest(texts: DataFrame, least: float, shingles: str) -> DataFrame:
-    """line_hash, token: of each set of n shingles the rarest n - ceil(least * n) + 1; similar sets have one of these in common."""
-    tokens = F.transform(_set(shingles, "line"), lambda x: F.xxhash64(x))
-    each = materialise(texts.select("line_hash", F.explode(tokens).alias("token")), "shingles")
-    counted = each.join(each.groupBy("token").agg(F.count("*").alias("lines")), "token")
-    own = Window.partitionBy("line_hash")
-    ranked = counted.withColumn("place", F.row_number().over(own.orderBy("lines", "token"))).withColumn("n", F.count("*").over(own))
-    return ranked.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1).where("lines > 1").select("line_hash", "token")
+
+    def sizes(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            n = [len(_shingles(x.as_py())) for x in batch.column("line")]
+            grade = np.floor(np.log(n) / -np.log(least)) if least < 1 else np.array(n)
+            yield batch.append_column("grade", pa.array(grade.astype(np.int64)))
+
+    own = members.select("bucket", "key")
+    split = rest.select("bucket", "key").withColumn("asks", F.lit(True))
+    both = own.join(split.select("bucket").distinct(), "bucket", "left_semi").join(split, ["bucket", "key"], "left")
+    lines = both.select("key").distinct().join(texts, "key").mapInArrow(sizes, "key binary, line string, grade long")
+    rows = materialise(both.join(lines, "key").select("bucket", "grade", "key", "line", F.coalesce("asks", F.lit(False)).alias("asks")), "crowded")
+    sums = rows.groupBy("bucket", "grade").agg(F.sum(F.char_length("line")).alias("chars"), F.sum(F.when(F.col("asks"), F.char_length("line")).otherwise(0)).alias("asking"))
+
+    def blocks(column: str):
+        return F.greatest(F.lit(1), F.ceil(F.col(column) / BLOCK)).cast("int")
+
+    cut = sums.select("bucket", "grade", blocks("chars").alias("all_blocks"), blocks("asking").alias("ask_blocks"), (F.col("asking") > 0).alias("asked"))
+    cut = materialise(cut, "crowded-sizes")
+    # Those that ask go to every block of their own grade and the ones beside it; all others wait for them in one block.
+    near = [cut.select("bucket", (F.col("grade") - d).alias("grade"), F.lit(d).alias("d"), "all_blocks", "ask_blocks", "asked") for d in (-1, 0, 1)]
+    around = near[0].union(near[1]).union(near[2])
+
+    def at(name: str, count: str):
+        return F.pmod(F.xxhash64("key"), F.col(count)).cast("int").alias(name)
+
+    sized = cut.select("bucket", "grade", F.col("all_blocks").alias("own_all"), F.col("ask_blocks").alias("own_ask"))
+    with_sizes = rows.join(sized, ["bucket", "grade"]).join(around, ["bucket", "grade"])
+    every = F.explode(F.sequence(F.lit(0), F.col("all_blocks") - 1)).alias("block")
+    asking = with_sizes.where("asks").select("bucket", F.col("grade").alias("from"), (F.col("grade") + F.col("d")).alias("to"), at("ask", "own_ask"), every, F.lit(True).alias("asks"), "key", "line")
+    every = F.explode(F.sequence(F.lit(0), F.col("ask_blocks") - 1)).alias("ask")
+    asked = with_sizes.where("asked").select("bucket", (F.col("grade") + F.col("d")).alias("from"), F.col("grade").alias("to"), every, at("block", "own_all"), F.lit(False).alias("asks"), "key", "line")
+    met = asking.unionByName(asked).groupBy("bucket", "from", "to", "ask", "block")
+    return met.applyInPandas(lambda block: block_links(block, least), "a binary, b binary")
+
+
+def _incidence(hashed: np.ndarray, owner: np.ndarray, n: int, columns: np.ndarray) -> np.ndarray:
+    at = np.searchsorted(columns, hashed)
+    here = (at < len(columns)) & (columns[np.minimum(at, len(columns) - 1)] == hashed)
+    made = np.zeros((n, len(columns)), np.float32)
+    made[owner[here], at[here]] = 1
+    return made
+
+
+def _sets(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shingle hashes of ``lines``, the line each belongs to, and the size of each line's set; a hash once for each line."""
+    hashed, count = shingle_hashes(lines)
+    owner = np.repeat(np.arange(len(lines)), count)
+    order = np.lexsort((hashed, owner))
+    hashed, owner = hashed[order], owner[order]
+    new = np.ones(len(hashed), bool)
+    new[1:] = (hashed[1:] != hashed[:-1]) | (owner[1:] != owner[:-1])
+    return hashed[new], owner[new], np.bincount(owner[new], minlength=len(lines))
+
+
+def block_links(block, least: float):
+    """a, b: links that connect the rows of ``block`` that ask with the other rows like them (key, line, asks)."""
+    import pandas as pd
+
+    out = []
+    asks, others = block[block["asks"]], block[~block["asks"]]
+    if len(asks) and len(others):
+        keys, names = asks["key"].tolist(), others["key"].tolist()
+        x, x_owner, n = _sets(asks["line"].tolist())
+        y, y_owner, m = _sets(others["line"].tolist())
+        common = np.zeros((len(keys), len(names)), np.float32)
+        vocabulary = np.intersect1d(x, y)
+        for start in range(0, len(vocabulary), _VOCABULARY):
+            columns = vocabulary[start : start + _VOCABULARY]
+            common += _incidence(x, x_owner, len(keys), columns) @ _incidence(y, y_owner, len(names), columns).T
+        label = np.arange(len(names))
+        for i, key in enumerate(keys):
+            alike = np.flatnonzero(common[i] >= least * (n[i] + m - common[i].astype(np.float64)))
+            met = np.unique(label[alike])  # the rows already joined by a line before count as one
+            out += [(key, names[j]) for j in met if names[j] != key]
+            if len(met) > 1:
+                label[np.isin(label, met)] = met[0]
+    return pd.DataFrame(out, columns=["a", "b"], dtype=object)
 
 
 def repeated(docs: DataFrame, least: float = 0.8, most: int = 16) -> DataFrame:
     """Lines to drop: id, digest, line_no. The first line of each component, by document and position, isn't among them."""
-    found = lines(docs)
-    signed = materialise(signatures(found), "signatures")
-    joined = components(links(found, signed, least, most)).withColumnRenamed("node", "line_hash")
-    every = signed.select("line_hash", "id", "n").join(joined, "line_hash", "left")
-    several = every.where("n > 1 or component is not null").select("line_hash", F.coalesce("component", "line_hash").alias("component"), "id")
+    found = materialise(signatures(docs), "signatures")
+    distinct = found.groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("n"), *[F.max(F.col("keys")[i]).alias(f"k{i}") for i in range(BANDS)])
+    distinct = materialise(distinct.select("key", "id", "n", F.array(*[f"k{i}" for i in range(BANDS)]).alias("keys")), "distinct-lines")
+    joined = components(links(docs, distinct, least, most)).withColumnRenamed("node", "key")
+    every = distinct.select("key", "id", "n").join(joined, "key", "left")
+    several = every.where("n > 1 or component is not null").select("key", F.coalesce("component", "key").alias("component"), "id")
     first = several.groupBy("component").agg(F.min("id").alias("first_id"))
-    several = materialise(several.select("line_hash", "component").join(first, "component"), "components")
-    at = found.select(*_PLACE, F.xxhash64("line").alias("line_hash"))
-    copies = materialise(at.join(several, "line_hash").select(*_PLACE, "component", "first_id"), "copies")
+    several = materialise(several.select("key", "component").join(first, "component"), "components")
+    copies = materialise(found.select(*_PLACE, "key").join(several, "key").select(*_PLACE, "component", "first_id"), "copies")
     kept = copies.where("id = first_id").groupBy("component").agg(F.min(F.struct("digest", "line_no")).alias("kept"))
     here = (F.col("id") == F.col("first_id")) & (F.struct("digest", "line_no") == F.col("kept"))
     return copies.join(kept, "component").where(~here).select(*_PLACE).distinct()
@@ -206,11 +336,11 @@ def repeated(docs: DataFrame, least: float = 0.8, most: int = 16) -> DataFrame:
 def remove_repeated(docs: DataFrame, least: float = 0.8, most: int = 16) -> DataFrame:
     """``docs`` with one line of each component left in its place; adds n_lines and n_removed (both long)."""
     dropped = repeated(docs, least, most).groupBy(*_DOC).agg(F.collect_list("line_no").alias("_drop"))
-    own = [F.coalesce("doc_id", F.lit(-1)).cast("long").alias("_id"), F.xxhash64("text").alias("_digest")]
+    own = [F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_id"), F.xxhash64("text", F.col("doc_id").isNull()).alias("_digest")]
     rows = docs.select("*", *own)
     rows = rows.join(dropped, (rows["_id"] == dropped["id"]) & (rows["_digest"] == dropped["digest"]), "left")
     rows = rows.withColumn("_lines", F.split("text", "\n"))
-    left = F.expr("filter(_lines, (x, i) -> not array_contains(_drop, i))")
+    left = F.expr("transform(array_except(sequence(0, size(_lines) - 1), _drop), i -> _lines[i])")  # a set, so in one pass
     text = F.when(F.col("_drop").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
     columns = [text.alias("text") if c == "text" else F.col(c) for c in docs.columns]
     n_removed = F.coalesce(F.size("_drop"), F.lit(0)).cast("long")
