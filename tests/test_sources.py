@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions.timeparts import day_of, hour_of, lenient_time
 from tidemark.session import materialise, scratch_path, shared_dir
-from tidemark.sources import payloads, sinks, tables
+from tidemark.sources import latest, payloads, sinks, tables
 
 T = datetime(2024, 1, 2, 3, 4, 5, 678901)
 
@@ -131,6 +131,70 @@ def test_latest_row_wins_and_batches_repeat_safely(spark, tmp_path):
     assert by_window == {"a": 2, "b": 9}
 
 
+LATEST = "key string, at long, value int"
+
+
+def land_all(spark, path, n, every, first=0):
+    """Batch i has its number as the time of a fourth of 8 keys, a late row, and one key of its own."""
+    for i in range(first, n):
+        rows = [(f"k{k}", i, i * 10 + k) for k in range(8) if k % 4 == i % 4] + [("late", 100 - i, i), (f"own{i}", 0, i), (None, i, i)]
+        latest.land(spark.createDataFrame(rows, LATEST), i, path, order=("at",), every=every)
+
+
+def latest_of(spark, path):
+    schema = spark.createDataFrame([], LATEST).schema
+    return {r.key: (r.at, r.value) for r in latest.read(spark, path, schema, order=("at",)).collect()}
+
+
+def wanted_of(n):
+    want = {f"k{k}": (i, i * 10 + k) for i in range(n) for k in range(8) if k % 4 == i % 4}
+    return want | {f"own{i}": (0, i) for i in range(n)} | {"late": (100, 0), None: (n - 1, n - 1)}
+
+
+def test_latest_values_whatever_is_folded(spark, tmp_path):
+    for every in (1, 3, 100):
+        path = str(tmp_path / f"every{every}")
+        land_all(spark, path, 10, every)
+        assert latest_of(spark, path) == wanted_of(10)
+        assert len(list((tmp_path / f"every{every}").glob("batches/batch_id=*"))) <= 2 * every
+        assert len(list((tmp_path / f"every{every}").glob("snapshots/*"))) == min(2, 10 // every)
+    land_all(spark, path, 10, 3, first=9)  # a batch that is run again, also where it is folded already
+    land_all(spark, str(tmp_path / "every3"), 9, 3, first=8)
+    assert latest_of(spark, path) == latest_of(spark, str(tmp_path / "every3")) == wanted_of(10)
+
+
+def test_what_a_reader_opens_does_not_grow_with_the_batches(spark, tmp_path):
+    path, schema = str(tmp_path / "view"), spark.createDataFrame([], LATEST).schema
+    opened = []
+    for n in (8, 24):
+        land_all(spark, path, n, 4, first=0 if n == 8 else 8)
+        opened.append(len({f.rsplit("/", 2)[-2] for f in latest.read(spark, path, schema, order=("at",)).inputFiles()}))
+    assert opened[0] == opened[1] == 1
+
+
+@pytest.mark.parametrize("died_before", ["publish", "_clean"])
+def test_a_compaction_that_dies_is_done_again(spark, tmp_path, monkeypatch, died_before):
+    path = str(tmp_path / "view")
+    land_all(spark, path, 5, 3)
+    with monkeypatch.context() as broken:
+        broken.setattr(latest, died_before, lambda *_, **__: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            land_all(spark, path, 6, 3, first=5)
+    assert latest_of(spark, path) == wanted_of(6)
+    land_all(spark, path, 10, 3, first=5)  # the stream starts with the batch that it had not finished
+    assert latest_of(spark, path) == wanted_of(10)
+    assert len(list((tmp_path / "view").glob("snapshots/*"))) == 2 == len(list((tmp_path / "view").glob("published/[0-9]*")))
+
+
+def test_a_reader_keeps_what_it_has_opened(spark, tmp_path):
+    path, schema = str(tmp_path / "view"), spark.createDataFrame([], LATEST).schema
+    land_all(spark, path, 4, 3)
+    before = latest.read(spark, path, schema, order=("at",))
+    land_all(spark, path, 6, 3, first=4)  # one more compaction
+    assert {r.key: (r.at, r.value) for r in before.collect()} == wanted_of(4)
+    assert latest_of(spark, str(tmp_path / "nothing")) == {}
+
+
 def test_one_folder_per_window(spark, tmp_path):
     path = tmp_path / "replay"
     rows = [(T, 1.0, i % 3 + 1, i // 3) for i in range(9)]

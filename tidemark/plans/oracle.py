@@ -156,6 +156,8 @@ _INDEXED = ", ".join(
 
 ORACLE: dict[str, str] = {
     "scan_ticks": _with("ticks", f"SELECT event_id, s, p, {_st('t')} AS t, v, CAST(ingestion_date AS VARCHAR) AS ingestion_date FROM ticks"),
+    "latest_user_event": f"""SELECT user_id AS key, {_st('ts')} AS ts, event_id, event_type, value FROM events
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "scan_posts": _with("posts", f"SELECT id, md5(text) AS text_md5, {_st('created_at')} AS created_at, source, CAST(ingestion_date AS VARCHAR) AS ingestion_date FROM posts"),
     "partitioned_write_read": _with("ticks", f"""SELECT CAST(ingestion_date AS VARCHAR) AS ingestion_date, count(*) AS n,
         {_st('min(t)')} AS first_t, {_st('max(t)')} AS last_t, round(sum(p), 2) AS sum_p FROM ticks GROUP BY ingestion_date"""),

@@ -15,7 +15,7 @@ from tidemark.operators.transformers import WindowPivot
 from tidemark.plans import catalogue as cat
 from tidemark.plans.catalogue import points, query, r6, scored_posts, stamp
 from tidemark.session import configure, materialise, scratch_path
-from tidemark.sources import payloads, sample, sinks, tables
+from tidemark.sources import latest, payloads, sample, sinks, tables
 from tidemark.streaming import feeds, jobs, messages
 
 # The sample tables cover one month and may be read in any file order, so nothing of them counts as late.
@@ -113,6 +113,21 @@ def stream_sentiment_running(spark, sf_dir):
     return sinks.latest_rows(landed).select(*means)
 
 
+@query
+def latest_user_event(spark, sf_dir):
+    """The last event of every user, landed batch by batch; every fourth batch folds what has landed into a snapshot."""
+    rows = sample.events(spark, sf_dir).select(F.col("user_id").alias("key"), "ts", "event_id", "event_type", "value")
+    path, schema = _landed(rows.repartition(10, "event_id"), "user-events")
+    out, order = scratch_path(spark, "latest-events"), ("ts", "event_id")
+    feeds.drain_batches(
+        feeds.file_stream(spark, path, schema, max_files=1),
+        lambda batch, batch_id: latest.land(batch, batch_id, out, order=order, every=4),
+        scratch_path(spark, "latest-checkpoint"),
+    )
+    newest = latest.read(spark, out, schema, order=order)
+    return newest.select("key", stamp("ts").alias("ts"), "event_id", "event_type", "value")
+
+
 @query
 def stream_count_windows(spark, sf_dir):
     ticks = feeds.tick_stream(spark, _numbered_files(spark, sf_dir), max_files=4)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,12 +67,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Folders that :func:`materialise` writes inside are removed at the end, but for those it was asked to keep.
+
+    Nothing that reads them may be used after, so the result is written inside, with ``kept``.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def materialise(df: DataFrame, name: str, kept: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     For inputs that are scanned several times (model fitting, stream sources). The lineage ends at the
-    written files, so a lost executor costs a re-read and not a recomputation.
+    written files, so a lost executor costs a re-read and not a recomputation. Inside :func:`scratch` the files go with it;
+    ``kept`` ones belong to the scope around it, or to the application.
     """
     path = scratch_path(df.sparkSession, name)
+    owner = _scopes[:-1] if kept else _scopes
+    if owner:
+        owner[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
