@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.shared import texts_of
-from tidemark.session import materialise
+from tidemark.session import materialise, scratch
 
 SHINGLE = 8
 BANDS, ROWS = 8, 4
@@ -310,8 +310,8 @@ def block_links(block, least: float):
         label = np.arange(len(names))
         for i, key in enumerate(keys):
             alike = np.flatnonzero(common[i] >= least * (n[i] + m - common[i].astype(np.float64)))
-            met = np.unique(label[alike])  # the rows already joined by a line before count as one
-            out += [(key, names[j]) for j in met if names[j] != key]
+            met, first = np.unique(label[alike], return_index=True)  # rows already joined by a line before count as one
+            out += [(key, names[j]) for j in alike[first] if names[j] != key]
             if len(met) > 1:
                 label[np.isin(label, met)] = met[0]
     return pd.DataFrame(out, columns=["a", "b"], dtype=object)
@@ -319,18 +319,20 @@ def block_links(block, least: float):
 
 def repeated(docs: DataFrame, least: float = 0.8, most: int = 16) -> DataFrame:
     """Lines to drop: id, digest, line_no. The first line of each component, by document and position, isn't among them."""
-    found = materialise(signatures(docs), "signatures")
-    distinct = found.groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("n"), *[F.max(F.col("keys")[i]).alias(f"k{i}") for i in range(BANDS)])
-    distinct = materialise(distinct.select("key", "id", "n", F.array(*[f"k{i}" for i in range(BANDS)]).alias("keys")), "distinct-lines")
-    joined = components(links(docs, distinct, least, most)).withColumnRenamed("node", "key")
-    every = distinct.select("key", "id", "n").join(joined, "key", "left")
-    several = every.where("n > 1 or component is not null").select("key", F.coalesce("component", "key").alias("component"), "id")
-    first = several.groupBy("component").agg(F.min("id").alias("first_id"))
-    several = materialise(several.select("key", "component").join(first, "component"), "components")
-    copies = materialise(found.select(*_PLACE, "key").join(several, "key").select(*_PLACE, "component", "first_id"), "copies")
-    kept = copies.where("id = first_id").groupBy("component").agg(F.min(F.struct("digest", "line_no")).alias("kept"))
-    here = (F.col("id") == F.col("first_id")) & (F.struct("digest", "line_no") == F.col("kept"))
-    return copies.join(kept, "component").where(~here).select(*_PLACE).distinct()
+    with scratch(docs.sparkSession):
+        found = materialise(signatures(docs), "signatures")
+        distinct = found.groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("n"), *[F.max(F.col("keys")[i]).alias(f"k{i}") for i in range(BANDS)])
+        distinct = materialise(distinct.select("key", "id", "n", F.array(*[f"k{i}" for i in range(BANDS)]).alias("keys")), "distinct-lines")
+        joined = components(links(docs, distinct, least, most)).withColumnRenamed("node", "key")
+        every = distinct.select("key", "id", "n").join(joined, "key", "left")
+        several = every.where("n > 1 or component is not null").select("key", F.coalesce("component", "key").alias("component"), "id")
+        first = several.groupBy("component").agg(F.min("id").alias("first_id"))
+        several = materialise(several.select("key", "component").join(first, "component"), "components")
+        copies = materialise(found.select(*_PLACE, "key").join(several, "key").select(*_PLACE, "component", "first_id"), "copies")
+        kept = copies.where("id = first_id").groupBy("component").agg(F.min(F.struct("digest", "line_no")).alias("kept"))
+        here = (F.col("id") == F.col("first_id")) & (F.struct("digest", "line_no") == F.col("kept"))
+        dropped = copies.join(kept, "component").where(~here).select(*_PLACE).distinct()
+        return materialise(dropped, "repeated-lines", kept=True)
 
 
 def remove_repeated(docs: DataFrame, least: float = 0.8, most: int = 16) -> DataFrame:

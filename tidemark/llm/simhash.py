@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import golay
 from tidemark.llm.components import components
 from tidemark.llm.shared import texts_of
-from tidemark.session import materialise
+from tidemark.session import materialise, scratch
 
 SEGMENTS = (13, 13, 13, 13, 12)
 _SEED = 42
@@ -160,19 +160,25 @@ def deduplicate(docs: DataFrame, words_in_shingle: int = 5, most: int = 16) -> D
     Rows are known by id and text, so rows without an id or with one id and unlike texts count each for themselves.
     """
     texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
-    made = materialise(fingerprints(texts, words_in_shingle).withColumnRenamed("doc_id", "digest").distinct(), "fingerprints")
-    nodes = materialise(made.select("fingerprint", F.col("fingerprint").alias("doc")).distinct(), "distinct-fingerprints")
-    found = components(links(nodes, most)).withColumnRenamed("node", "fingerprint")
-    named = made.join(found, "fingerprint", "left").select("digest", F.coalesce("component", "fingerprint").alias("component"))
-    return one_of_each(docs, named)
+    with scratch(docs.sparkSession):
+        made = materialise(fingerprints(texts, words_in_shingle).withColumnRenamed("doc_id", "digest").distinct(), "fingerprints")
+        nodes = materialise(made.select("fingerprint", F.col("fingerprint").alias("doc")).distinct(), "distinct-fingerprints")
+        found = components(links(nodes, most)).withColumnRenamed("node", "fingerprint")
+        named = made.join(found, "fingerprint", "left").select("digest", F.coalesce("component", "fingerprint").alias("component"))
+        kept = materialise(one_of_each(docs, named), "kept", kept=True)
+    return rows_of(docs, kept)
 
 
 def one_of_each(docs: DataFrame, named: DataFrame) -> DataFrame:
-    """``docs`` with one row of each component; ``named`` has the component of every digest (xxhash64) of a text."""
+    """_id, _digest of one row of each component; ``named`` has the component of every digest (xxhash64) of a text."""
     key = [F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast("long").alias("id")]
     firsts = docs.select(F.xxhash64("text").alias("digest"), *key).groupBy("digest").agg(F.min(F.struct("none", "id")).alias("first"))
     least = firsts.join(named, "digest").groupBy("component").agg(F.min(F.struct("first.none", "first.id", "digest")).alias("least"))
-    kept = materialise(least.select(F.col("least.id").alias("_id"), F.col("least.digest").alias("_digest")), "kept")
+    return least.select(F.col("least.id").alias("_id"), F.col("least.digest").alias("_digest"))
+
+
+def rows_of(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """Rows of ``docs`` with one of the ids and digests ``kept``, once each."""
     rows = docs.select("*", F.col("doc_id").cast("long").alias("_own_id"), F.xxhash64("text").alias("_own_digest"))
     left = rows.join(kept, (rows["_own_digest"] == kept["_digest"]) & rows["_own_id"].eqNullSafe(kept["_id"]), "left_semi")
     return left.dropDuplicates(["_own_id", "_own_digest"]).select(*docs.columns)
