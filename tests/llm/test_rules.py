@@ -233,3 +233,29 @@ def test_pages_of_the_sample(spark):
         assert got[r.page_id] == "\n".join(x for x in blocks if x)
     assert got[900] == got[901] == ""
     assert page_text.main_texts(pages.where("false"), trained, "page_id").count() == 0
+
+
+@pytest.mark.parametrize(
+    "html, texts",
+    [
+        ('<article><h1>T</h1><p class="x>One two three.</p><p>Four <a href="u">five</a>.</p></article>', ["T", "One two three.", "Four five."]),
+        ("<p title=\"a < b\" data-x='<b>no</b>'>yes</p>", ["yes"]),
+        ("<p>1 < 2 and x</p><p class=\"y", ["1 < 2 and x"]),
+        ("<p class='it's open>said</p>", ["said"]),
+    ],
+)
+def test_quotes_that_nothing_closes(html, texts):
+    assert [text for _, text in page_text.Page(html).blocks] == texts
+
+
+@pytest.mark.parametrize("part", ['<p class="x>One two.', "<a ", "<p a='x\"y>z", "\"<p '"])
+def test_a_page_of_open_quotes_takes_linear_time(part):
+    import time
+
+    def seconds(n):
+        start = time.process_time()
+        assert not any("<" in text for _, text in page_text.Page(part * n).blocks)
+        return time.process_time() - start
+
+    seconds(1_000)
+    assert seconds(40_000) < 40 * seconds(4_000) + 1  # ten times the page; its square would be a hundred times
