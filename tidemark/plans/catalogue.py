@@ -17,7 +17,7 @@ from tidemark.operators import evaluation, fusion, ml, ranking, sampling, series
 from tidemark.operators.interval_join import interval_join, locate
 from tidemark.plans import training, views
 from tidemark.session import materialise, scratch_path
-from tidemark.sources import payloads, sample, sinks, tables
+from tidemark.sources import day_series, payloads, sample, sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -430,6 +430,19 @@ def count_window_index(spark, sf_dir):
     return points(spark, sf_dir).select(stamp("t").alias("t"), r6("p").alias("p"), "rn", "window_id", "pos")
 
 
+@query
+def count_window_days(spark, sf_dir):
+    """The same, kept week by week: the weeks arrive in reverse, each is numbered alone, nothing stored is rewritten."""
+    path = scratch_path(spark, "series-days")
+    series_points = materialise(series.price_series(sample.ticks(spark, sf_dir)).withColumn("week", F.date_trunc("week", "t").cast("date")), "series")
+    weeks = sorted(r.week for r in series_points.select("week").distinct().collect())
+    for week in reversed(weeks):
+        day_series.add_day(series_points.where(F.col("week") == F.lit(week)).drop("week"), path, week)
+    schema = series_points.drop("week").schema
+    rows = day_series.read_days(spark, path, schema, weeks[0], weeks[-1])
+    return rows.select(stamp("t").alias("t"), r6("p").alias("p"), "rn", F.expr("rn DIV 100").alias("window_id"), F.expr("CAST(rn % 100 AS INT)").alias("pos"))
+
+
 @query
 def window_bounds(spark, sf_dir):
     summary = windows.window_summary(points(spark, sf_dir))

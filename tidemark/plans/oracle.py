@@ -212,6 +212,7 @@ ORACLE: dict[str, str] = {
         LEFT JOIN (SELECT date_trunc('minute', created_at) AS bin, id, CASE WHEN text IS NOT NULL THEN 1 END AS has_text, created_at, source FROM posts) AS p
         USING (bin) GROUP BY m.bin"""),
     "count_window_index": _with("points", f"SELECT {_st('t')} AS t, round(p, 6) AS p, rn, window_id, pos FROM points"),
+    "count_window_days": _with("points", f"SELECT {_st('t')} AS t, round(p, 6) AS p, rn, window_id, pos FROM points"),
     "window_bounds": _with("summary", f"SELECT window_id, n, {_st('start_t')} AS start, {_st('stop_t')} AS stop FROM summary"),
     "window_pivot": _with("points", "SELECT window_id, " + ", ".join(f"round(max(p) FILTER (pos = {i}), 6) AS c_{i}" for i in range(100)) + " FROM points GROUP BY window_id"),
     "window_labels": _with("labelled", f"""SELECT window_id, {_st('start_t')} AS start, {_st('stop_t')} AS stop,

@@ -32,7 +32,8 @@ def _folder(spark: SparkSession, path: str):
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What lies in a folder, sorted; nothing if it is not there."""
     files, at = _folder(spark, path)
     return sorted(entry.getPath().getName() for entry in files.listStatus(at)) if files.exists(at) else []
 
@@ -44,7 +45,7 @@ def _remove(spark: SparkSession, path: str) -> None:
 
 def published(spark: SparkSession, path: str) -> list[str]:
     """Names of the published snapshots, the newest last."""
-    return _names(spark, f"{path}/published")
+    return names(spark, f"{path}/published")
 
 
 def _upto(name: str) -> int:
@@ -52,7 +53,7 @@ def _upto(name: str) -> int:
 
 
 def _batches(spark: SparkSession, path: str) -> list[int]:
-    return sorted(int(name.removeprefix("batch_id=")) for name in _names(spark, f"{path}/batches") if name.startswith("batch_id="))
+    return sorted(int(name.removeprefix("batch_id=")) for name in names(spark, f"{path}/batches") if name.startswith("batch_id="))
 
 
 def newest(rows: DataFrame, key: str, order: tuple[str, ...]) -> DataFrame:
@@ -64,10 +65,10 @@ def newest(rows: DataFrame, key: str, order: tuple[str, ...]) -> DataFrame:
 
 def _opened(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Rows of the newest published snapshot and of the batches after it; ``schema`` names batch_id too."""
-    names = published(spark, path)
-    upto = _upto(names[-1]) if names else -1
+    made = published(spark, path)
+    upto = _upto(made[-1]) if made else -1
     after = [f"{path}/batches/batch_id={n}" for n in _batches(spark, path) if n > upto]
-    rows = spark.read.schema(schema).parquet(f"{path}/snapshots/{names[-1]}") if names else spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).parquet(f"{path}/snapshots/{made[-1]}") if made else spark.createDataFrame([], schema)
     if after:
         rows = rows.unionByName(spark.read.schema(schema).option("basePath", f"{path}/batches").parquet(*after))
     return rows
@@ -99,7 +100,7 @@ def publish(spark: SparkSession, path: str, name: str) -> None:
 def _clean(spark: SparkSession, path: str, keep: set[str], upto: int) -> None:
     """Remove markers, then snapshots but those in ``keep``, and the batches that the older of the two has folded."""
     for part in ("published", "snapshots"):
-        for name in _names(spark, f"{path}/{part}"):
+        for name in names(spark, f"{path}/{part}"):
             if name not in keep:
                 _remove(spark, f"{path}/{part}/{name}")
     for n in _batches(spark, path):
@@ -113,8 +114,8 @@ def land(batch: DataFrame, batch_id: int, path: str, key: str = "key", order: tu
     One writer at a time, as a streaming query is. ``order`` is made of columns of the batch, or is its number.
     """
     spark, schema = batch.sparkSession, batch.schema
-    names = published(spark, path)
-    upto = _upto(names[-1]) if names else -1
+    made = published(spark, path)
+    upto = _upto(made[-1]) if made else -1
     if batch_id <= upto:
         return
     within = tuple(c for c in order if c != "batch_id")
