@@ -7,7 +7,7 @@ import pytest
 from tidemark.plans import stream_queries  # noqa: F401  (registers the stream queries)
 from tidemark.plans.catalogue import QUERIES
 
-BATCH = [q for q in QUERIES if not q.startswith(("stream_", "rf_", "ovr_", "eval_fused", "score_", "model_", "latest_", "split_files"))]
+BATCH = [q for q in QUERIES if not q.startswith(("stream_", "rf_", "ovr_", "eval_fused", "score_", "model_", "latest_", "split_files", "forest_", "models_", "versioned_"))]
 
 
 def executed(df) -> str:

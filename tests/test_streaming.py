@@ -69,6 +69,29 @@ def test_every_point_is_accounted_for(spark, tmp_path):
     assert full.times == [at(n) for n in range(1, 6)] and full.prices == [1.0] * 5
 
 
+def test_every_delivered_post_is_accounted_for(spark, tmp_path):
+    """Kept, repeated and late add up to what was sent, over restarts; an id that was forgotten counts as new."""
+    path, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    schema = "id string, created_at timestamp, source string"
+    at = lambda hours: START + timedelta(hours=hours)
+    parts = [
+        [("a", at(0), "x"), ("a", at(0), "y"), ("b", at(1), None)],
+        [("a", at(1), "x"), ("c", at(30), "x")],
+        [("d", at(2), "x"), ("b", at(2), "x"), ("c", at(31), "x")],
+        [("a", at(40), "x")],
+    ]
+    got = []
+    with jobs.rocksdb_state(spark):
+        for rows in parts:
+            spark.createDataFrame([*rows, (None, at(0), "x"), ("z", None, "x")], schema).coalesce(1).write.mode("append").parquet(path)
+            feeds.drain(jobs.accounted_posts(feeds.file_stream(spark, path, schema), "5 hours"), out, checkpoint)
+            back = spark.read.schema(jobs.ACCOUNTED_POSTS).parquet(out).collect()
+            got.append(sorted((r.kind, r.id) for r in back))
+    assert [len(g) for g in got] == [3, 5, 8, 9]
+    assert got[0] == [("kept", "a"), ("kept", "b"), ("repeated", "a")]
+    assert got[3] == [("kept", "a"), ("kept", "a"), ("kept", "b"), ("kept", "c"), ("late", "b"), ("late", "d"), ("repeated", "a"), ("repeated", "a"), ("repeated", "c")]
+
+
 def test_windows_without_posts_come_out_with_zero(spark, tmp_path):
     at = lambda s: START + timedelta(seconds=s)
     windows, posts, out, checkpoint = (str(tmp_path / n) for n in ("w", "p", "out", "cp"))

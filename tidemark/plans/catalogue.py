@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,7 @@ from tidemark import schemas
 from tidemark.functions import sentiment as sent
 from tidemark.functions.timeparts import day_of, hour_of, last_day, lenient_time, on_day
 from tidemark.functions.vectors import rendered, signed_label
-from tidemark.operators import evaluation, fusion, ml, ranking, sampling, series, text, windows
+from tidemark.operators import evaluation, forest, fusion, ml, ranking, sampling, series, text, windows
 from tidemark.operators.interval_join import interval_join, locate
 from tidemark.plans import training, views
 from tidemark.session import materialise, scratch_path
@@ -237,6 +238,16 @@ def posts_daily_view_empty(spark, sf_dir):
     return _posts_view(spark, sf_dir, NO_DATA)
 
 
+@query
+def posts_daily_view_partitioned(spark, sf_dir):
+    """The view from the table of posts, one folder per day: one folder is read, and only its texts are scored."""
+    path = scratch_path(spark, "posts")
+    stored = sample.posts(spark, sf_dir).select("id", "text", stamp("created_at").alias("created_at"), "source", F.col("ingestion_date").cast("string"))
+    tables.write_partitioned(stored, path)
+    view = views.posts_daily_view(tables.read_posts(spark, path=path), sample.lexicon(spark), AS_OF, max_lag_days=0)
+    return rounded(view, "mean_neg", "mean_pos", "mean_neutral").withColumn("day", F.col("day").cast("string"))
+
+
 @query
 def quarantine_posts(spark, sf_dir):
     """Times in two forms and some unreadable ones; known bad rows and unreadable times drop out."""
@@ -642,9 +653,11 @@ def _fit_and_score(rows: DataFrame, kind: str) -> DataFrame:
 
 
 def _predicted(rows: DataFrame, kind: str) -> DataFrame:
-    """Held-out windows with their label; each must come out once, with a class that occurs."""
-    known = F.col("prediction").isin(0, 1, 2).cast("int").alias("known_class")
-    return _fit_and_score(rows, kind).select("window_id", "label", known)
+    """Held-out windows with their label; the model's class must be the one that its stored numbers give (ties to the first)."""
+    model = ml.train(rows.where("is_train"), kind)
+    held_out = forest.rebuilt(model, rows.where(~F.col("is_train")).drop("is_train"))
+    agrees = (F.col("prediction") == F.col("rebuilt")).cast("int").alias("agrees")
+    return ml.score(model, held_out).select("window_id", "label", agrees)
 
 
 @query
@@ -687,6 +700,31 @@ def ovr_gbt_posts(spark, sf_dir):
     return _predicted(post_training(spark, sf_dir), "ovr_gbt")
 
 
+@query
+def forest_tables(spark, sf_dir):
+    """Every labelled window scored from the forest's table of nodes, beside the model itself."""
+    rows = stock_training(spark, sf_dir)
+    model = ml.train(rows.where("is_train"), "rf")
+    nodes = forest.node_table(spark, model)
+    both = ml.score(model, rows.withColumn("own", forest.probabilities(nodes, vector_to_array("features"))))
+    apart = F.array_max(F.zip_with("own", "prob", lambda a, b: F.abs(a - b)))
+    return both.select("window_id", F.size("own").alias("n_classes"), (apart < 1e-12).cast("int").alias("same"))
+
+
+@query
+def models_against_majority(spark, sf_dir):
+    """Do the tree models know more of their training windows than the most frequent label? A constant model does not."""
+    found = []
+    for feed, rows in (("stock", stock_training(spark, sf_dir)), ("posts", post_training(spark, sf_dir))):
+        seen = rows.where("is_train").drop("is_train")
+        for kind in ("rf", "ovr_rf", "ovr_gbt"):
+            matrix = evaluation.confusion(ml.score(ml.train(seen, kind), seen))
+            by_label = matrix.groupBy("label").agg(F.sum("n").alias("n"), F.sum(F.expr("if(label = prediction, n, 0)")).alias("hits"))
+            total = by_label.agg(F.sum("n").alias("n"), F.max("n").alias("majority"), F.sum("hits").alias("hits"))
+            found.append(total.select(F.lit(feed).alias("feed"), F.lit(kind).alias("model"), "n", "majority", (F.col("hits") > F.col("majority")).cast("int").alias("better")))
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def score_windows(spark, sf_dir):
     """What must hold for every scored window: three probabilities that sum to 1, the largest one predicted."""

@@ -95,6 +95,7 @@ _NEEDS = {
     "series": ["ticks"],
     "points": ["series"],
     "summary": ["points"],
+    "sent": ["points"],
     "labelled": ["summary"],
     "inside": ["labelled", "scored"],
     "window_features": ["inside"],
@@ -176,6 +177,7 @@ ORACLE: dict[str, str] = {
         WHERE CAST(created_at AS DATE) > DATE '2024-01-05' - 1 AND CAST(created_at AS DATE) <= DATE '2024-01-05'"""),
     "stocks_daily_view": _with("ticks", _STOCKS_VIEW.format(day="2024-01-05")),
     "posts_daily_view": _with("scored", _POSTS_VIEW.format(day="2024-01-05")),
+    "posts_daily_view_partitioned": _with("scored", _POSTS_VIEW.format(day="2024-01-05")),
     "posts_daily_view_empty": _with("scored", _POSTS_VIEW.format(day="2030-01-01")),
     "quarantine_posts": _with("posts", f"""SELECT doc_id, {_st("date_trunc('second', created_at)")} AS created_at FROM posts
         WHERE doc_id % 50 <> 0 AND doc_id NOT IN ({_BAD})"""),
@@ -245,14 +247,25 @@ ORACLE: dict[str, str] = {
     "index_labels": _with("labelled", """SELECT CAST(label AS VARCHAR) AS label, n, CAST(row_number() OVER (ORDER BY n DESC, label) - 1 AS INTEGER) AS indexed_label
         FROM (SELECT label, count(*) AS n FROM labelled WHERE label IS NOT NULL GROUP BY label) AS counted"""),
     **{
-        name: _with("split", "SELECT window_id, label, 1 AS known_class FROM split WHERE NOT is_train AND label IS NOT NULL")
+        name: _with("split", "SELECT window_id, label, 1 AS agrees FROM split WHERE NOT is_train AND label IS NOT NULL")
         for name in ("rf_stock", "ovr_rf", "ovr_svc", "ovr_gbt")
     },
     **{
-        name: _with("window_features split", f"""SELECT window_id, w.label, 1 AS known_class FROM window_features w
+        name: _with("window_features split", f"""SELECT window_id, w.label, 1 AS agrees FROM window_features w
             JOIN split s USING (window_id) WHERE NOT is_train AND {_ALL_BUCKETS.replace("label", "w.label")}""")
         for name in ("rf_posts", "ovr_rf_posts", "ovr_svc_posts", "ovr_gbt_posts")
     },
+    "versioned_scores": _with("labelled", """SELECT window_id, 1 + window_id % 2 AS version, 3 * (1 + window_id % 2) AS trees, 1 AS as_that_version
+        FROM labelled WHERE label IS NOT NULL"""),
+    "stream_posts_accounted": """SELECT kind, count(*) AS n FROM (SELECT doc_id, unnest(['kept', 'repeated']) AS kind FROM documents) AS sent
+        WHERE doc_id * 5 IN (SELECT event_id FROM events) GROUP BY kind""",
+    "forest_tables": _with("labelled", "SELECT window_id, 3 AS n_classes, 1 AS same FROM labelled WHERE label IS NOT NULL"),
+    "models_against_majority": _with("window_features split", f"""SELECT feed, model, CAST(sum(n) AS BIGINT) AS n, max(n) AS majority,
+        CASE WHEN max(n) < sum(n) THEN 1 ELSE 0 END AS better
+        FROM (SELECT 'stock' AS feed, label, count(*) AS n FROM split WHERE is_train AND label IS NOT NULL GROUP BY label
+              UNION ALL SELECT 'posts', w.label, count(*) FROM window_features w JOIN split s USING (window_id)
+              WHERE is_train AND {_ALL_BUCKETS.replace("label", "w.label")} GROUP BY w.label) AS by_label
+        CROSS JOIN (VALUES ('rf'), ('ovr_rf'), ('ovr_gbt')) AS m(model) GROUP BY feed, model"""),
     "eval_fused": _with("window_features split", f"""SELECT count(*) AS n, 1 AS accuracy_agrees, 1 AS f1_agrees FROM window_features w
         JOIN split s USING (window_id) WHERE NOT is_train AND {_ALL_BUCKETS.replace("label", "w.label")}"""),
     "posts_view_append": _with("scored", _POSTS_VIEW.format(day="2024-01-04") + " UNION ALL " + _POSTS_VIEW.format(day="2024-01-05")),

@@ -15,7 +15,7 @@ from tidemark.operators.transformers import WindowPivot
 from tidemark.plans import catalogue as cat
 from tidemark.plans.catalogue import points, query, r6, scored_posts, stamp
 from tidemark.session import configure, materialise, scratch_path
-from tidemark.sources import latest, payloads, sample, sinks, tables
+from tidemark.sources import latest, payloads, sample, sinks, tables, versions
 from tidemark.streaming import feeds, jobs, messages
 
 # The sample tables cover one month and may be read in any file order, so nothing of them counts as late.
@@ -245,6 +245,38 @@ def stream_score_windows(spark, sf_dir):
     )
 
 
+@query
+def versioned_scores(spark, sf_dir):
+    """Windows in two parts, a new model version between them and a half-written one that nobody may read."""
+    rows = cat.stock_training(spark, sf_dir)
+    path, out, checkpoint, feed = (scratch_path(spark, f"versioned-{part}") for part in ("models", "out", "checkpoint", "feed"))
+    current = versions.Current(path, "rf")
+    for part, trees in enumerate((3, 6)):
+        model = ml.train(rows.where("is_train"), "rf", numTrees=trees)
+        versions.publish(spark, model, path)
+        ml.save_model(model.trees[0], f"{path}/versions/{9:020d}-unpublished")
+        rows.where(F.pmod("window_id", F.lit(2)) == part).write.mode("append").parquet(feed)
+        feeds.drain_batches(feeds.file_stream(spark, feed, rows.schema, max_files=1000), jobs.versioned_scorer(current, out), checkpoint)
+    landed = sinks.landed_rows(spark, out, StructType.fromDDL("window_id long, prob array<double>, version int, batch_id long"))
+    known = [versions.load(spark, path, "rf", number).model for number in (1, 2)]
+    again = rows.select("window_id", "features")
+    for number, model in enumerate(known, start=1):
+        own = ml.score(model, again).select("window_id", F.struct(F.lit(model.getNumTrees).alias("trees"), "prob").alias(f"v{number}"))
+        landed = landed.join(own, "window_id")
+    made_by = F.when(F.col("version") == 1, F.col("v1")).otherwise(F.col("v2"))
+    return landed.select("window_id", "version", made_by["trees"].alias("trees"), (made_by["prob"] == F.col("prob")).cast("int").alias("as_that_version"))
+
+
+@query
+def stream_posts_accounted(spark, sf_dir):
+    """Every post is delivered twice; what became of each delivery."""
+    posts = sample.posts(spark, sf_dir).select("id", "created_at", "source")
+    path, schema = _landed(posts.unionByName(posts), "posts-accounted")
+    with jobs.rocksdb_state(spark):
+        back = _drained(jobs.accounted_posts(feeds.file_stream(spark, path, schema, max_files=4), WHOLE_SAMPLE), "accounted", jobs.ACCOUNTED_POSTS)
+    return back.groupBy("kind").agg(F.count("*").alias("n"))
+
+
 @query
 def stream_pipeline_scores(spark, sf_dir):
     """A fitted pipeline (pivot, forest) applied to the tick stream itself, in complete mode."""

@@ -38,7 +38,7 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(entry.getPath().getName() for entry in files.listStatus(at)) if files.exists(at) else []
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
     files, at = _folder(spark, path)
     files.delete(at, True)
 
@@ -102,10 +102,10 @@ def _clean(spark: SparkSession, path: str, keep: set[str], upto: int) -> None:
     for part in ("published", "snapshots"):
         for name in names(spark, f"{path}/{part}"):
             if name not in keep:
-                _remove(spark, f"{path}/{part}/{name}")
+                remove(spark, f"{path}/{part}/{name}")
     for n in _batches(spark, path):
         if n <= upto:
-            _remove(spark, f"{path}/batches/batch_id={n}")
+            remove(spark, f"{path}/batches/batch_id={n}")
 
 
 def land(batch: DataFrame, batch_id: int, path: str, key: str = "key", order: tuple[str, ...] = ("batch_id",), every: int = 16) -> None:

@@ -21,6 +21,7 @@ from tidemark.operators.transformers import SentimentFeatures
 from tidemark.plans.training import window_sentiment
 from tidemark.sources.payloads import parse_window_payload
 from tidemark.sources.sinks import upsert_latest
+from tidemark.sources.versions import Current
 
 
 def running_sentiment(posts: DataFrame, closed_neutral: bool = False) -> DataFrame:
@@ -182,6 +183,56 @@ def accounted_windows(ticks: DataFrame, lateness: str, size: int = 100) -> DataF
     return found.select("kind", "window_id", "n", "nums", "prices", F.transform("us", F.timestamp_micros).alias("times"))
 
 
+ACCOUNTED_POSTS = "kind string, id string, created_at timestamp, source string"
+
+
+class FirstPosts(StatefulProcessor):
+    """Whether a post was seen, until the watermark passes its time."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("seen", "timer long")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        timer = self.seen.get()[0] if self.seen.exists() else None
+        before = timer
+        for part in rows:
+            kinds = []
+            for us in part["us"].tolist():
+                late = us // 1000 < watermark
+                kinds.append("late" if late else "repeated" if timer is not None else "kept")
+                if not late:
+                    timer = max(timer or 0, us // 1000 + 1)
+            yield part.assign(kind=kinds)[["kind", "id", "us", "source"]]
+        if timer != before:
+            if before is not None:
+                self.handle.deleteTimer(before)
+            self.handle.registerTimer(timer)
+            self.seen.update((timer,))
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.seen.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def accounted_posts(posts: DataFrame, lateness: str) -> DataFrame:
+    """Posts ``id, created_at, source`` with what became of each delivery, by ``kind``: ``kept``, the first of its id; ``repeated``, another
+    one while the id is remembered; ``late``, older than the watermark, which :func:`distinct_posts` would drop without a trace.
+
+    An id is remembered until the watermark passes its newest time. Rows are as many as were sent, but for posts without id or time,
+    which are left out. Needs the RocksDB store (:func:`rocksdb_state`).
+    """
+    known = posts.where("id IS NOT NULL AND created_at IS NOT NULL").withWatermark("created_at", lateness)
+    # The time itself doesn't reach the state, as rows behind the watermark would be dropped there without a trace.
+    placed = known.select("id", F.unix_micros("created_at").alias("us"), "source")
+    found = placed.groupBy("id").transformWithStateInPandas(FirstPosts(), "kind string, id string, us long, source string", "append", "eventTime")
+    return found.select("kind", "id", F.timestamp_micros("us").alias("created_at"), "source")
+
+
 _STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
@@ -251,6 +302,19 @@ def label_windows_of_batch(windows: DataFrame, scored_posts: DataFrame, stock_mo
     return fuse(stock, posts).select("window_id", "label", "prob").join(audit, "window_id")
 
 
+def versioned_scorer(current: Current, out: str) -> Callable[[DataFrame, int], None]:
+    """A batch handler that scores rows with ``features`` by the model that is current when their batch starts.
+
+    Every row says which ``version`` made it. A batch that is run again overwrites itself, by the version then current.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        version = current.get(batch.sparkSession)
+        upsert_latest(score(version.model, batch).withColumn("version", F.lit(version.number)), batch_id, out)
+
+    return handle
+
+
 def window_scorer(
     stock_model: Model, posts_model: Model, posts_path: str, out: str, size: int = 100, key: str = "key"
 ) -> Callable[[DataFrame, int], None]:
