@@ -59,3 +59,13 @@ def test_terms_stop_at_the_rank(spark):
     df = spark.createDataFrame([(i, *r, None) for i, r in enumerate(rows)], DOCS)
     got = sorted(tuple(r) for r in divergence.audit(df, top=5).collect())
     assert got == expected(rows, 5)
+
+
+def test_shares_and_sums_are_exact_at_any_size(spark):
+    counts = [0, 5, 8_999_999_999, 9_000_000_000, 4 * 10**13]
+    rows = spark.createDataFrame([(n, 10**14, 77) for n in counts], "n long, total long, terms long")
+    got = {r.n: r.p for r in rows.select("n", divergence._share("n").alias("p")).collect()}
+    assert got == {n: 1 + (n + 1) * 10**9 // (10**14 + 77) for n in counts}
+    values = [10**18, -(10**18), 4 * 10**18, 4 * 10**18, 4 * 10**18, -1, -(2**32), 2**32 - 1, 0]
+    one = spark.createDataFrame([(v,) for v in values], "v long").agg(divergence._exact_sum("v").alias("s")).first()
+    assert int(one.s) == sum(values)

@@ -157,7 +157,15 @@ def group_counts(tokenised: DataFrame, model: CountVectorizerModel) -> DataFrame
 
 
 def _share(count: str) -> Column:
-    return F.expr(f"1 + (cast({count} as decimal(20, 0)) + 1) * 1000000000BD div (total + terms)")
+    """Exact at every size: whole numbers of 64 bits where the product fits, decimals beyond."""
+    wide = f"(cast({count} as decimal(20, 0)) + 1) * 1000000000BD div (total + terms)"
+    return F.expr(f"1 + CASE WHEN {count} < 9000000000 THEN ({count} + 1L) * 1000000000L div (total + terms) ELSE {wide} END")
+
+
+def _exact_sum(value: str) -> Column:
+    """Sum of 64-bit numbers as a decimal, from the sums of their upper and lower 32 bits."""
+    upper, lower = F.sum(F.expr(f"shiftright({value}, 32)")), F.sum(F.expr(f"({value}) & 4294967295L"))
+    return upper.cast("decimal(20, 0)") * F.expr("4294967296BD") + lower.cast("decimal(20, 0)")
 
 
 def _differs(p: str, q: str) -> str:
@@ -184,11 +192,11 @@ def pairs(groups: DataFrame, cells: DataFrame) -> DataFrame:
         F.sum(F.expr(f"cast(n as decimal(38, 0)) * ({_differs('p', 'other')} - {f0})")).alias("mine"),
         F.sum(F.expr(f"cast(n as decimal(38, 0)) * ({_differs('other', 'p')} - {back})")).alias("its"),
     )
-    left = cells.select("lang", "index", "source", "p", "floor")
-    right = cells.select("lang", "index", F.col("source").alias("item"), F.col("p").alias("q"), F.col("floor").alias("other"))
-    common = left.join(right, ["lang", "index"]).where("source < item").groupBy(*_GROUP, "item").agg(
-        F.sum(F.expr(f"cast({_differs('p', 'q')} - {_differs('p', 'other')} - {_differs('floor', 'q')} + {f0} as decimal(38, 0))")).alias("there"),
-        F.sum(F.expr(f"cast({_differs('q', 'p')} - {_differs('q', 'floor')} - {_differs('other', 'p')} + {back} as decimal(38, 0))")).alias("back"),
+    left = cells.select("lang", "index", "source", "p", "floor")  # an index belongs to one language
+    right = cells.select("index", F.col("source").alias("item"), F.col("p").alias("q"), F.col("floor").alias("other"))
+    common = left.join(right, "index").where("source < item").groupBy(*_GROUP, "item").agg(
+        _exact_sum(f"{_differs('p', 'q')} - {_differs('p', 'other')} - {_differs('floor', 'q')} + {f0}").alias("there"),
+        _exact_sum(f"{_differs('q', 'p')} - {_differs('q', 'floor')} - {_differs('other', 'p')} + {back}").alias("back"),
     )
     ways = [F.struct(F.col(a).alias("source"), F.col(b).alias("item"), F.col(v).alias("common")) for a, b, v in (("source", "item", "there"), ("item", "source", "back"))]
     both = common.select("lang", F.explode(F.array(*ways)).alias("way")).select("lang", "way.*")
@@ -214,7 +222,7 @@ def audit(docs: DataFrame, least: int = LEAST_DOCUMENTS, top: int = TOP) -> Data
     kept = materialise(vocabulary(model, docs), "kept-terms")
     counts = materialise(group_counts(tokens(docs), model).join(kept.select("index"), "index", "left_semi"), "group-counts")
     groups = materialise(_groups(docs, counts, kept), "groups")
-    cells = counts.join(groups, _GROUP).select("lang", "source", "index", "n", _share("n").alias("p"), "floor")
+    cells = materialise(counts.join(groups, _GROUP).select("lang", "source", "index", "n", _share("n").alias("p"), "floor"), "cells")
     order = Window.partitionBy(*_GROUP).orderBy(F.desc("value"), "item")
     by_source = pairs(groups, cells).withColumn("rank", F.row_number().over(order))
     by_term = terms_of(cells, kept).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
