@@ -18,7 +18,7 @@ from tidemark.operators import evaluation, forest, fusion, ml, ranking, sampling
 from tidemark.operators.interval_join import interval_join, locate
 from tidemark.plans import training, views
 from tidemark.session import materialise, scratch_path
-from tidemark.sources import day_series, payloads, sample, sinks, tables
+from tidemark.sources import bucketed, day_series, payloads, sample, sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -26,6 +26,8 @@ QUERIES: dict[str, Query] = {}
 AS_OF = datetime(2024, 1, 5)
 NO_DATA = datetime(2030, 1, 1)
 SELECTED_DAYS = ("05", "06")
+# Buckets of the tables kept by window; a deployment sizes it for its largest one.
+WINDOW_BUCKETS = 8
 
 
 def query(fn: Query) -> Query:
@@ -571,6 +573,32 @@ def fuse_argmax(spark, sf_dir):
     return fusion.fuse(*_two_models(spark, sf_dir)).select("window_id", "label")
 
 
+def _by_window(df: DataFrame, name: str) -> DataFrame:
+    """Rows written in buckets of their window, as one of a family of tables that are joined without a shuffle."""
+    path = scratch_path(df.sparkSession, name)
+    return bucketed.write(df, path.rsplit("/", 1)[1].replace("-", "_"), "window_id", WINDOW_BUCKETS, path)
+
+
+@query
+def fuse_bucketed(spark, sf_dir):
+    """Probabilities of both models, each stored by window, fused where they lie."""
+    stock, posts = _two_models(spark, sf_dir)
+    return fusion.fuse(_by_window(stock, "prob-stock"), _by_window(posts, "prob-posts")).select("window_id", "label")
+
+
+@query
+def split_join_bucketed(spark, sf_dir):
+    """Windows and both sides of the split stored by window; each side picks its rows without a shuffle of either."""
+    rows = labelled(spark, sf_dir).select("window_id", "label", "present_mean")
+    split = sampling.split_by_hash(rows.select("window_id"))
+    stored = _by_window(rows, "windows-stored")
+    sides = []
+    for is_train, side in ((True, F.col("is_train")), (False, ~F.col("is_train"))):
+        index = _by_window(split.where(side).select("window_id"), f"split-{int(is_train)}")
+        sides.append(sampling.keep_split(stored, index).select("window_id", F.lit(is_train).alias("is_train"), "label", r6("present_mean").alias("present_mean")))
+    return sides[0].unionByName(sides[1])
+
+
 @query
 def label_with_audit(spark, sf_dir):
     fused = fusion.fuse(*_two_models(spark, sf_dir))

@@ -235,6 +235,8 @@ ORACLE: dict[str, str] = {
         round(pp[1], 6) AS posts_0, round(pp[2], 6) AS posts_1, round(pp[3], 6) AS posts_2 FROM paired"""),
     "fuse_probabilities": _with("fused", "SELECT window_id, round(c0, 6) AS sum_0, round(c1, 6) AS sum_1, round(c2, 6) AS sum_2 FROM fused"),
     "fuse_argmax": _with("fused_label", "SELECT window_id, label FROM fused_label"),
+    "fuse_bucketed": _with("fused_label", "SELECT window_id, label FROM fused_label"),
+    "split_join_bucketed": _with("split", "SELECT window_id, is_train, label, round(present_mean, 6) AS present_mean FROM split"),
     "label_with_audit": _with("fused_label", """SELECT window_id, CAST(label AS VARCHAR) AS label,
         printf('[%.6f,%.6f,%.6f]', ps[1], ps[2], ps[3]) AS stock, printf('[%.6f,%.6f,%.6f]', pp[1], pp[2], pp[3]) AS posts FROM fused_label"""),
     "label_map": _with("labelled", "SELECT window_id, label - 1 AS label FROM labelled"),
@@ -294,6 +296,8 @@ ORACLE: dict[str, str] = {
         HAVING CAST(d AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(t) - INTERVAL 1 HOUR FROM ticks)"""),
     "stream_interval_join": _with("labelled posts", """SELECT l.window_id, count(p.id) AS n FROM labelled l
         LEFT JOIN posts p ON p.created_at >= l.start_t AND p.created_at <= l.stop_t GROUP BY l.window_id"""),
+    "stream_fused_labels": _with("window_features", f"""SELECT window_id, {_st('start_t')} AS start, {_st('stop_t')} AS stop, nr_neg, nr_pos, nr_neutral,
+        filled_neg AS mean_neg, filled_pos AS mean_pos, filled_neutral AS mean_neutral, 1 AS as_batch FROM window_features"""),
     "latest_label_view": _with("labelled", "SELECT 'key' AS key, window_id, label FROM labelled WHERE label IS NOT NULL ORDER BY window_id DESC LIMIT 1"),
     "stream_score_windows": _with("labelled", "SELECT window_id, 1 AS known_label, 2.0::DOUBLE AS prob_sum, 1 AS labels_largest, 100 AS n_prices, 6 AS n_features FROM labelled"),
     "stream_pipeline_scores": _with("labelled", "SELECT window_id, 1 AS known_label FROM labelled"),

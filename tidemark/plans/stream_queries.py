@@ -10,8 +10,9 @@ from pyspark.sql.types import StructType
 
 from tidemark import schemas
 from tidemark.functions.sentiment import FEATURES
-from tidemark.operators import ml
+from tidemark.operators import ml, windows
 from tidemark.operators.transformers import WindowPivot
+from tidemark.operators.windows import full_windows, window_table
 from tidemark.plans import catalogue as cat
 from tidemark.plans.catalogue import points, query, r6, scored_posts, stamp
 from tidemark.session import configure, materialise, scratch_path
@@ -203,6 +204,44 @@ def stream_interval_join(spark, sf_dir):
     return jobs.posts_of_windows(back.where("window_id IS NOT NULL"))
 
 
+@query
+def stream_fused_labels(spark, sf_dir):
+    """Windows and scored posts as two streams, both models and their fusion on the streams themselves: the features that the
+    posts model saw, and whether label and probabilities are those of the batch fusion."""
+    stock, posts = cat.stock_training(spark, sf_dir), cat.post_training(spark, sf_dir)
+    stock_model, posts_model = ml.train(stock.where("is_train"), "rf"), ml.train(posts.where("is_train"), "rf")
+    spans = full_windows(window_table(points(spark, sf_dir))).select("window_id", "start", "stop", "prices")
+    scored = scored_posts(spark, sf_dir).select(F.col("doc_id").cast("string").alias("id"), "created_at", "hits", "sum10")
+    window_path, window_schema = _landed(spans, "fused-windows")
+    post_path, post_schema = _landed(scored, "fused-posts")
+    batch = jobs.label_windows_of_batch(
+        spark.read.schema(window_schema).parquet(window_path), spark.read.schema(post_schema).parquet(post_path), stock_model, posts_model
+    )
+    batch = materialise(batch.select("window_id", F.col("label").alias("batch_label"), F.col("prob").alias("batch_prob")), "fused-batch")
+    fused = jobs.fused_labels(
+        feeds.file_stream(spark, window_path, window_schema, max_files=4),
+        feeds.file_stream(spark, post_path, post_schema, max_files=4),
+        stock_model,
+        posts_model,
+        lateness=WHOLE_SAMPLE,
+        longest_window=WHOLE_SAMPLE,
+    )
+    out, checkpoint = scratch_path(spark, "fused-out"), scratch_path(spark, "fused-checkpoint")
+    feeds.drain(fused, out, checkpoint)
+    # A window that prices can score and a post, both far in the future, move the watermarks past all others.
+    after = F.lit("2999-01-01").cast("timestamp")
+    flat = F.array_repeat(F.lit(1.0), windows.SIZE)
+    spark.range(1).select(F.lit(-1).cast("long").alias("window_id"), after.alias("start"), after.alias("stop"), flat.alias("prices")).write.mode("append").parquet(window_path)
+    spark.range(1).select(F.lit("after").alias("id"), after.alias("created_at"), F.lit(0).cast("long").alias("hits"), F.lit(0).cast("long").alias("sum10")).write.mode("append").parquet(post_path)
+    feeds.drain(fused, out, checkpoint)
+    landed = spark.read.schema(fused.schema).parquet(out).where("window_id >= 0")
+    same = F.coalesce((F.col("label") == F.col("batch_label")) & (F.col("prob") == F.col("batch_prob")), F.lit(False))
+    both = landed.join(batch, "window_id", "full_outer").withColumns({c: stamp(c) for c in ("start", "stop")})
+    return cat.rounded(both, "mean_neg", "mean_pos", "mean_neutral").select(
+        "window_id", "start", "stop", *FEATURES, same.cast("int").alias("as_batch")
+    )
+
+
 @query
 def latest_label_view(spark, sf_dir):
     """Labels arrive in batches under one key; the view shows the newest."""

@@ -13,8 +13,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from tidemark import schemas
-from tidemark.functions.sentiment import fill_empty_means
-from tidemark.functions.vectors import rendered
+from tidemark.functions.sentiment import EMPTY_MEANS, FEATURES, feature_columns, fill_empty_means, polarity_value, sentiment_bucket
+from tidemark.functions.vectors import add_elementwise, argmax_label, rendered
 from tidemark.operators.fusion import fuse
 from tidemark.operators.ml import assemble, price_features, score
 from tidemark.operators.transformers import SentimentFeatures
@@ -255,6 +255,8 @@ def pair_windows_with_posts(
     salts: int = 8,
     bucket_seconds: int = 3600,
     keep_empty: bool = False,
+    carried: tuple[str, ...] = (),
+    with_span: bool = False,
 ) -> DataFrame:
     """Join two streams: windows ``window_id, start, stop`` and raw posts ``id, created_at``.
 
@@ -267,12 +269,13 @@ def pair_windows_with_posts(
 
     With ``keep_empty`` windows without posts come out too: what a window laid out has not met, in a bucket and salt, is
     a row with null ``id``, once both watermarks have passed it. Count ``id`` by window (:func:`posts_of_windows`).
+    ``carried`` names columns of the posts that come along, ``with_span`` keeps ``start`` and ``stop`` of the window.
     """
     bucket = lambda t: F.floor(F.unix_seconds(t) / bucket_seconds)
     spread = windows.select("window_id", "start", "stop", F.explode(F.sequence(bucket("start"), bucket("stop"))).alias("bucket"))
     left = spread.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")).withWatermark("stop", lateness)
     right = posts.select(
-        "id", "created_at", bucket("created_at").alias("post_bucket"), F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int").alias("post_salt")
+        "id", "created_at", bucket("created_at").alias("post_bucket"), F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int").alias("post_salt"), *carried
     ).withWatermark("created_at", lateness)
     inside = (
         (F.col("bucket") == F.col("post_bucket"))
@@ -281,7 +284,9 @@ def pair_windows_with_posts(
         & (F.col("created_at") <= F.col("stop"))
         & (F.col("created_at") >= F.col("stop") - F.expr(f"INTERVAL {longest_window}"))
     )
-    return left.join(right, inside, "left_outer" if keep_empty else "inner").select("window_id", "id", "created_at")
+    return left.join(right, inside, "left_outer" if keep_empty else "inner").select(
+        "window_id", "id", "created_at", *(("start", "stop") if with_span else ()), *carried
+    )
 
 
 def posts_of_windows(pairs: DataFrame) -> DataFrame:
@@ -289,6 +294,45 @@ def posts_of_windows(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("window_id").agg(F.count("id").alias("n"))
 
 
+def window_features(windows: DataFrame, posts: DataFrame, lateness: str, longest_window: str, **layout: int) -> DataFrame:
+    """window_id, start, stop and the six features of each window, in append mode, while both streams run.
+
+    ``windows`` holds ``window_id, start, stop``, ``posts`` the scored ``id, created_at, hits, sum10``, one row per post
+    (:func:`distinct_posts` before, where copies come). A window comes out once, when both watermarks have passed it; one
+    without posts has zero counts and the default means. What is kept are the posts and windows of the join and one row of
+    sums per open window. ``layout`` is that of :func:`pair_windows_with_posts`.
+    """
+    pairs = pair_windows_with_posts(
+        windows, posts, lateness, longest_window, keep_empty=True, carried=("hits", "sum10"), with_span=True, **layout
+    )
+    # A window's copy that met no post is a row without id, and belongs to no bucket.
+    scored = pairs.withColumns(
+        {"sentiment": polarity_value(), "sentiment_bucket": F.when(F.col("id").isNotNull(), sentiment_bucket())}
+    )
+    return scored.groupBy("window_id", "start", "stop").agg(*feature_columns(defaults=EMPTY_MEANS))
+
+
+def fused_labels(
+    windows: DataFrame, posts: DataFrame, stock_model: Model, posts_model: Model, lateness: str, longest_window: str, **layout: int
+) -> DataFrame:
+    """Labels of both models together, all on the streams: nothing is landed between.
+
+    ``windows`` holds ``window_id, start, stop, prices`` and is read by both branches; ``posts`` is that of
+    :func:`window_features`. The stock model scores prices as they come, the posts model features as they close, and the
+    two probabilities meet under the window and its ``stop``, whose watermark bounds what the join remembers. A window with
+    a missing price has no label.
+    """
+    features = window_features(windows.select("window_id", "start", "stop"), posts, lateness, longest_window, **layout)
+    by_posts = score(posts_model, assemble(features)).withColumnRenamed("prob", "prob_posts")
+    prices = price_features(windows.withWatermark("stop", lateness)).select("window_id", "stop", "features")
+    by_prices = score(stock_model, prices).withColumnRenamed("prob", "prob_stock")
+    both = by_posts.drop("prediction").join(by_prices.drop("prediction"), ["window_id", "stop"])
+    summed = both.withColumn("prob", add_elementwise(F.col("prob_stock"), F.col("prob_posts")))
+    return summed.withColumn("label", argmax_label(F.col("prob"))).select(
+        "window_id", "start", "stop", *FEATURES, "prob_stock", "prob_posts", "prob", "label"
+    )
+
+
 def label_windows_of_batch(windows: DataFrame, scored_posts: DataFrame, stock_model: Model, posts_model: Model) -> DataFrame:
     """Both models on parsed windows and the posts inside them → fused label with the features it rests on."""
     stock_rows = price_features(windows)
