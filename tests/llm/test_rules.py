@@ -259,3 +259,14 @@ def test_a_page_of_open_quotes_takes_linear_time(part):
 
     seconds(1_000)
     assert seconds(40_000) < 40 * seconds(4_000) + 1  # ten times the page; its square would be a hundred times
+
+
+def test_language_predicts_each_text_once(spark):
+    """Also where the prediction is filtered and kept; texts and other columns come back unchanged."""
+    rows = [(i, None if i % 7 == 0 else "" if i % 7 == 1 else f"the house of number {i} and the sea " * (1 + i % 3), "en", f"x{i}") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, found string")
+    found = language.identify(df, language.train(df), *df.columns)
+    kept = found.where("lang_pred <> 'und' AND score >= 0.25")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 1
+    assert sorted(tuple(r)[:4] for r in kept.collect()) == [r for r in rows if r[1]]

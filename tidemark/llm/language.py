@@ -155,17 +155,19 @@ def train(docs: DataFrame, rows: int = SAMPLE) -> Model:
 
 
 def identify(docs: DataFrame, model: Model, *keep: Column | str) -> DataFrame:
-    """The columns ``keep`` of ``docs`` with lang_pred and score, from the column ``text`` alone."""
+    """The columns ``keep`` of ``docs`` with lang_pred and score, from the column ``text`` alone.
+
+    Only texts go to the workers and only predictions come back; the other columns wait in the JVM.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.struct(*keep).alias("kept"), "text")
 
-    def predict(batches: Iterator) -> Iterator:
+    def predict(texts):
         import pyarrow as pa
 
-        for batch in batches:
-            found = [shared.value.predict(t) for t in texts_of(batch)]
-            arrays = [batch.column("kept"), pa.array([x for x, _ in found], pa.string()), pa.array([float(s) for _, s in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays(arrays, ["kept", "lang_pred", "score"])
+        found = [shared.value.predict(t.as_py()) for t in texts]
+        return pa.StructArray.from_arrays([pa.array([x for x, _ in found], pa.string()), pa.array([float(s) for _, s in found], pa.float64())], ["lang_pred", "score"])
 
-    schema = f"kept {rows.schema['kept'].dataType.simpleString()}, lang_pred string, score double"
-    return rows.mapInArrow(predict, schema).select("kept.*", "lang_pred", "score")
+    # Declared non-deterministic so that a filter on the prediction isn't pushed below it, which would predict twice.
+    predicted = F.arrow_udf(predict, "lang_pred string, score double").asNondeterministic()
+    rows = docs.select(F.struct(*keep).alias("kept"), predicted(F.col("text")).alias("found"))
+    return rows.select("kept.*", "found.lang_pred", "found.score")
