@@ -31,17 +31,23 @@ def _drained(stream: DataFrame, name: str, schema: StructType | str) -> DataFram
     return spark.read.schema(schema).parquet(out)
 
 
+def _as_files(df: DataFrame) -> DataFrame:
+    """Rows spread over as many files as the cluster has cores, however large the input: a stream capped at some files a
+    trigger then runs a bounded number of triggers, each with more rows, instead of a number that grows with the input."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def _numbered_files(spark, sf_dir) -> str:
     path = scratch_path(spark, "numbered-ticks")
     rows = points(spark, sf_dir).select("t", "p", (F.col("pos") + 1).alias("num"), "window_id")
-    tables.write_csv(rows, path)
+    tables.write_csv(_as_files(rows), path)
     return path
 
 
 def _landed(df: DataFrame, name: str) -> tuple[str, StructType]:
     """Write rows as the files that a stream will read."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    _as_files(df).write.parquet(path)
     return path, df.schema
 
 
