@@ -89,3 +89,21 @@ def test_no_message_folder_is_empty_and_caps_hold(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert sum(sizes) == 12 and max(sizes) == 3
+
+
+def test_a_trigger_lists_the_folder_once(tmp_path, monkeypatch):
+    path = str(tmp_path / "in")
+    for i in range(40):
+        messages.land(path, f"f{i:03d}", [f"{i}-{j}" for j in range(5)])
+    reader, listings, seen = messages.MessageReader(path, 10), [], []
+    real = messages.pafs.FileSelector
+    monkeypatch.setattr(messages.pafs, "FileSelector", lambda *a, **k: listings.append(1) or real(*a, **k))
+    start = reader.initialOffset()
+    listings.clear()
+    for _ in range(20):
+        end = reader.latestOffset()
+        seen += [v for p in reader.partitions(start, end) for b in reader.read(p) for v in b.column("value").to_pylist()]
+        reader.commit(end)
+        start = end
+    assert seen == [f"{i}-{j}" for i in range(40) for j in range(5)]
+    assert sum(listings) <= 20 + 3  # a listing and an acknowledgement a trigger, a few more at the start and the end

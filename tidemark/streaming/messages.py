@@ -14,6 +14,7 @@ escaped in the file.
 
 from __future__ import annotations
 
+import bisect
 import json
 import os
 import re
@@ -121,11 +122,14 @@ class MessageReader(DataSourceStreamReader):
         self.path, self.cap = path, max_messages
         self.sizes: dict[str, int] = {}
         self.at: dict | None = None
+        self.listed: list[str] | None = None  # names of the last listing, sorted; a trigger lists the folder once
 
-    def _names(self) -> list[str]:
-        files, folder = _folder(self.path)
-        found = files.get_file_info(pafs.FileSelector(folder))
-        return sorted(f.base_name for f in found if f.type == pafs.FileType.File and f.base_name[:1] not in "_.")
+    def _names(self, fresh: bool = True) -> list[str]:
+        if fresh or self.listed is None:
+            files, folder = _folder(self.path)
+            found = files.get_file_info(pafs.FileSelector(folder))
+            self.listed = sorted(f.base_name for f in found if f.type == pafs.FileType.File and f.base_name[:1] not in "_.")
+        return self.listed
 
     def _size(self, name: str) -> int:
         if name not in self.sizes:
@@ -139,12 +143,12 @@ class MessageReader(DataSourceStreamReader):
     def initialOffset(self) -> dict:
         return acknowledged(self.path) or {"file": "", "lines": 0}
 
-    def _advance(self, start: dict, cap: int | None) -> list[tuple[str, int, int]]:
-        """Runs (file, first line, line after the last) behind ``start``, of at most ``cap`` messages."""
+    def _advance(self, start: dict, cap: int | None, names: list[str]) -> list[tuple[str, int, int]]:
+        """Runs (file, first line, line after the last) behind ``start`` among ``names``, of at most ``cap`` messages."""
         runs, left = [], cap
-        for name in self._names():
-            if name < start["file"] or left == 0:
-                continue
+        for name in names[bisect.bisect_left(names, start["file"]) :]:
+            if left == 0:
+                break
             first, size = start["lines"] if name == start["file"] else 0, self._size(name)
             last = size if left is None else min(size, first + left)
             if last > first:
@@ -155,7 +159,11 @@ class MessageReader(DataSourceStreamReader):
     def latestOffset(self) -> dict:
         if self.at is None:
             self.at = self.initialOffset()
-        if runs := self._advance(self.at, self.cap):
+        # The last listing serves while it fills the cap; otherwise the folder is listed again for what came since.
+        runs = self._advance(self.at, self.cap, self._names(fresh=False)) if self.cap is not None else []
+        if sum(last - first for _, first, last in runs) < (self.cap or 1):
+            runs = self._advance(self.at, self.cap, self._names())
+        if runs:
             self.at = {"file": runs[-1][0], "lines": runs[-1][2]}
         return dict(self.at)
 
@@ -163,10 +171,10 @@ class MessageReader(DataSourceStreamReader):
         # A restarted query may first repeat a batch of its own log; the next batch then follows its end.
         if self.at is None or (end["file"], end["lines"]) > (self.at["file"], self.at["lines"]):
             self.at = dict(end)
-        parts = []
-        for name in self._names():
-            if not start["file"] <= name <= end["file"]:
-                continue
+        parts, names = [], self._names(fresh=False)
+        if end["file"] and (not names or names[-1] < end["file"]):
+            names = self._names()
+        for name in names[bisect.bisect_left(names, start["file"]) : bisect.bisect_right(names, end["file"])]:
             first = start["lines"] if name == start["file"] else 0
             last = end["lines"] if name == end["file"] else self._size(name)
             parts += [LineRange(name, i, min(i + _LINES_A_TASK, last)) for i in range(first, last, _LINES_A_TASK)]
