@@ -69,6 +69,98 @@ def test_every_point_is_accounted_for(spark, tmp_path):
     assert full.times == [at(n) for n in range(1, 6)] and full.prices == [1.0] * 5
 
 
+class _Calls:
+    """Stand-in state handle that counts the calls which would cross to the JVM."""
+
+    def __init__(self):
+        self.n, self.values, self.lists, self.maps = 0, {}, {}, {}
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.n += 1
+            if name == "getValueState":
+                return self.values.setdefault(args[0], _Calls.Value(self))
+            if name == "getListState":
+                return self.lists.setdefault(args[0], _Calls.List(self))
+            if name == "getMapState":
+                return self.maps.setdefault(args[0], _Calls.Map(self))
+            return None
+
+        return call
+
+    class Value:
+        def __init__(self, calls):
+            self.calls, self.value = calls, None
+
+        def exists(self):
+            self.calls.n += 1
+            return self.value is not None
+
+        def get(self):
+            self.calls.n += 1
+            return self.value
+
+        def update(self, value):
+            self.calls.n += 1
+            self.value = value
+
+    class List(Value):
+        def get(self):
+            self.calls.n += 1
+            return iter(self.value or [])
+
+        def appendList(self, rows):
+            self.calls.n += 1
+            self.value = [*(self.value or []), *rows]
+
+        def clear(self):
+            self.calls.n += 1
+            self.value = None
+
+    class Map(Value):
+        def containsKey(self, key):
+            self.calls.n += 1
+            return key in (self.value or {})
+
+        def updateValue(self, key, value):
+            self.calls.n += 1
+            self.value = {**(self.value or {}), key: value}
+
+        def iterator(self):
+            self.calls.n += 1
+            return iter((self.value or {}).items())
+
+        def clear(self):
+            self.calls.n += 1
+            self.value = None
+
+
+def test_window_state_is_touched_by_key_not_by_point():
+    """A batch of many points of one window makes a few state calls, and the account stays whole."""
+    import pandas as pd
+
+    class Watermark:
+        def getCurrentWatermarkInMs(self):
+            return 0
+
+    calls = _Calls()
+    windows = jobs.CountWindows(100)
+    windows.init(calls)
+    first = pd.DataFrame({"num": list(range(1, 61)) + [5], "p": [1.0] * 61, "us": [n * 1_000_000 for n in range(1, 61)] + [5_000_000]})
+    second = pd.DataFrame({"num": list(range(40, 101)), "p": [2.0] * 61, "us": [n * 1_000_000 for n in range(40, 101)]})
+    start = calls.n
+    got = list(windows.handleInputRows((7,), iter([first]), Watermark()))
+    assert calls.n - start <= 8
+    assert [(r.kind, r.n, r.nums) for r in (g.iloc[0] for g in got)] == [("repeated", 1, [5])]
+    start = calls.n
+    got = list(windows.handleInputRows((7,), iter([second]), Watermark()))
+    assert calls.n - start <= 10
+    full, repeated = (g.iloc[0] for g in got)
+    assert (full.kind, full.n, full.nums) == ("full", 100, list(range(1, 101)))
+    assert full.prices == [1.0] * 60 + [2.0] * 40
+    assert (repeated.kind, repeated.n, repeated.nums) == ("repeated", 21, list(range(40, 61)))
+
+
 def test_every_delivered_post_is_accounted_for(spark, tmp_path):
     """Kept, repeated and late add up to what was sent, over restarts; an id that was forgotten counts as new."""
     path, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))

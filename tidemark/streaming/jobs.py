@@ -112,14 +112,18 @@ _ACCOUNTED = "kind string, window_id long, n int, nums array<int>, prices array<
 
 
 class CountWindows(StatefulProcessor):
-    """Points of a window in a map by their number, a timer on the newest of them, and what became of each point."""
+    """Points of a window in a list, a timer on the newest of them, and what became of each point.
+
+    A batch reads a key's held points (at most ``size``) once and appends its new ones in one call: each state call
+    crosses to the JVM, so calls by point would make the work grow with the points, not the keys.
+    """
 
     def __init__(self, size: int):
         self.size = size
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.points = handle.getMapState("points", "num int", "p double, us long")
+        self.points = handle.getListState("held_points", "num int, p double, us long")
         self.window = handle.getValueState("window", "done boolean, held int, timer long")
 
     def _rows(self, kind: str, key: tuple, points: list[tuple]) -> pd.DataFrame:
@@ -127,25 +131,35 @@ class CountWindows(StatefulProcessor):
         return pd.DataFrame({"kind": [kind], "window_id": [key[0]], "n": [len(points)], "nums": nums, "prices": prices, "us": us})
 
     def _held(self) -> list[tuple]:
-        return [(num, p, us) for (num,), (p, us) in self.points.iterator()]
+        return [tuple(point) for point in self.points.get()]
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
         done, held, timer = self.window.get() if self.window.exists() else (False, 0, -1)
         apart: dict[str, list[tuple]] = {"late": [], "unpriced": [], "repeated": []}
         newest = -1
+        # Held points by number, read once when first needed; those of this batch are appended at its end.
+        known: dict[int, tuple] | None = None if held else {}
+        added: list[tuple] = []
         for part in rows:
             for num, p, us in zip(part["num"].tolist(), part["p"].tolist(), part["us"].tolist(), strict=True):
-                kind = "late" if us // 1000 < watermark else "unpriced" if p is None or p != p else "repeated" if done or self.points.containsKey((num,)) else None
+                if known is None and not done and us // 1000 >= watermark and not (p is None or p != p):
+                    known = {point[0]: point for point in self._held()}
+                kind = "late" if us // 1000 < watermark else "unpriced" if p is None or p != p else "repeated" if done or num in known else None
                 if kind is not None:
                     apart[kind].append((num, p, us))
                     continue
-                self.points.updateValue((num,), (p, us))
+                known[num] = (num, p, us)
+                added.append((num, p, us))
                 held, newest = held + 1, max(newest, us // 1000)
                 if held == self.size:
-                    yield self._rows("full", key, self._held())
-                    self.points.clear()
+                    yield self._rows("full", key, list(known.values()))
+                    if held > len(added):
+                        self.points.clear()
+                    known, added = {}, []
                     done = True
+        if added:
+            self.points.appendList(added)
         for kind, points in apart.items():
             if points:
                 yield self._rows(kind, key, points)
