@@ -1,3 +1,4 @@
+import random
 from datetime import timedelta
 
 import pytest
@@ -184,6 +185,110 @@ def test_every_delivered_post_is_accounted_for(spark, tmp_path):
     assert got[3] == [("kept", "a"), ("kept", "a"), ("kept", "b"), ("kept", "c"), ("late", "b"), ("late", "d"), ("repeated", "a"), ("repeated", "a"), ("repeated", "c")]
 
 
+class _Timers(_Calls):
+    """A stand-in handle that also holds the key's timers, and fires those the watermark has reached."""
+
+    class Chunks(_Calls.List):
+        def put(self, rows):
+            self.calls.n += 1
+            self.value = list(rows)
+
+    def __init__(self):
+        super().__init__()
+        self.timers, self.lists["seen_posts"] = set(), _Timers.Chunks(self)
+
+    def registerTimer(self, ms):
+        self.n += 1
+        self.timers.add(ms)
+
+    def deleteTimer(self, ms):
+        self.n += 1
+        self.timers.remove(ms)
+
+    def fire(self, processor, key, watermark):
+        for ms in sorted(t for t in self.timers if t <= watermark.getCurrentWatermarkInMs()):
+            assert list(processor.handleExpiredTimer(key, watermark, None)) == []
+            self.timers.remove(ms)
+
+
+class _Watermark:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def _delivered(rows):
+    import pandas as pd
+
+    return pd.DataFrame({"bucket": 0, "id": [i for i, _ in rows], "us": [ms * 1000 + 7 for _, ms in rows], "source": None})
+
+
+def test_post_state_is_touched_by_bucket_not_by_post():
+    """A thousand ids of one bucket make a few state calls a batch, whether new, repeated or newer."""
+    calls, posts = _Timers(), jobs.FirstPosts()
+    posts.init(calls)
+    for shift, kind, most in ((0, "kept", 4), (0, "repeated", 2), (5, "repeated", 6)):
+        start = calls.n
+        (got,) = posts.handleInputRows((0,), iter([_delivered([(f"p{i}", 10 + i + shift) for i in range(1000)])]), _Watermark(0))
+        assert got["kind"].tolist() == [kind] * 1000 and got["id"].tolist() == [f"p{i}" for i in range(1000)]
+        assert calls.n - start <= most
+    assert calls.timers == {10 + 5 + 1}
+
+
+def test_posts_of_a_bucket_are_remembered_one_by_one():
+    """Random deliveries of few ids in one bucket, beside an account kept id by id; timers move on and ids are forgotten."""
+    rng = random.Random(4)
+    calls, posts, until, watermark, seen = _Timers(), jobs.FirstPosts(), {}, 0, set()
+    posts.init(calls)
+    for _ in range(400):
+        rows = [(f"p{rng.randrange(12)}", watermark + rng.randrange(-20, 60)) for _ in range(rng.randrange(1, 7))]
+        want = []
+        for post, ms in rows:
+            want.append("late" if ms < watermark else "repeated" if post in until else "kept")
+            if ms >= watermark:
+                until[post] = max(until.get(post, 0), ms + 1)
+        parts = [_delivered(rows[i : i + 2]) for i in range(0, len(rows), 2)]
+        got = [kind for part in posts.handleInputRows((0,), iter(parts), _Watermark(watermark)) for kind in part["kind"]]
+        assert got == want
+        calls.fire(posts, (0,), _Watermark(watermark))
+        until = {post: ms for post, ms in until.items() if ms > watermark}
+        assert posts._remembered()[0] == until and calls.timers == ({min(until.values())} if until else set())
+        assert posts._remembered()[1] <= 2 * max(1, len(until)) + 12
+        seen |= set(want) | ({"forgotten"} if not until else set())
+        watermark += rng.choice([0, 0, 3, 15, 90])
+    assert seen == {"late", "kept", "repeated", "forgotten"}
+
+
+def test_posts_share_the_state_of_their_bucket(spark, tmp_path):
+    """One bucket for all ids gives the account of a bucket an id, over restarts, and holds a row of state and a timer."""
+    path, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    schema = "id string, created_at timestamp, source string"
+    at = lambda hours: START + timedelta(hours=hours)
+    parts = [
+        [("a", at(0), "x"), ("a", at(0), None), ("b", at(1), None)],
+        [("a", at(1), "x"), ("c", at(30), "x")],
+        [("d", at(2), "x"), ("b", at(2), "x"), ("c", at(31), "x")],
+        [("a", at(40), "x"), ("c", at(41), None)],
+    ]
+    got = []
+    with jobs.rocksdb_state(spark):
+        for rows in parts:
+            spark.createDataFrame([*rows, (None, at(0), "x"), ("z", None, "x")], schema).coalesce(1).write.mode("append").parquet(path)
+            stream = jobs.accounted_posts(feeds.file_stream(spark, path, schema), "5 hours", buckets=1)
+            query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+            query.awaitTermination()
+            assert max(sum(op.numRowsTotal for op in p.stateOperators) for p in query.recentProgress) <= 2
+            back = spark.read.schema(jobs.ACCOUNTED_POSTS).parquet(out).collect()
+            got.append(sorted((r.kind, r.id, r.created_at) for r in back))
+    assert [len(g) for g in got] == [3, 5, 8, 10]
+    assert got[3] == [
+        ("kept", "a", at(0)), ("kept", "a", at(40)), ("kept", "b", at(1)), ("kept", "c", at(30)), ("late", "b", at(2)), ("late", "d", at(2)),
+        ("repeated", "a", at(0)), ("repeated", "a", at(1)), ("repeated", "c", at(31)), ("repeated", "c", at(41)),
+    ]
+
+
 def test_windows_without_posts_come_out_with_zero(spark, tmp_path):
     at = lambda s: START + timedelta(seconds=s)
     windows, posts, out, checkpoint = (str(tmp_path / n) for n in ("w", "p", "out", "cp"))

@@ -201,49 +201,78 @@ ACCOUNTED_POSTS = "kind string, id string, created_at timestamp, source string"
 
 
 class FirstPosts(StatefulProcessor):
-    """Whether a post was seen, until the watermark passes its time."""
+    """Which posts of a bucket of ids were seen, each until the watermark passes its time; a timer on the first to go.
+
+    A batch reads a bucket's ids once and appends those it changes in one call: each state call crosses to the JVM, so a key an
+    id would make that work grow with the ids, not the buckets.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("seen", "timer long")
+        # What each batch appended, ids beside their timers. Timers only grow, so of an id the last one counts.
+        self.seen = handle.getListState("seen_posts", "ids array<string>, timers array<long>")
+
+    def _remembered(self) -> tuple[dict[str, int], int]:
+        """The timer of every id, and how many entries it took to say so."""
+        timers, entries = {}, 0
+        for ids, until in self.seen.get():
+            timers.update(zip(ids, until, strict=True))
+            entries += len(ids)
+        return timers, entries
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        timer = self.seen.get()[0] if self.seen.exists() else None
-        before = timer
+        timers, entries = self._remembered()
+        before = min(timers.values(), default=None)
+        changed: dict[str, int] = {}
         for part in rows:
             kinds = []
-            for us in part["us"].tolist():
-                late = us // 1000 < watermark
+            for post, us in zip(part["id"].tolist(), part["us"].tolist(), strict=True):
+                ms, timer = us // 1000, timers.get(post)
+                late = ms < watermark
                 kinds.append("late" if late else "repeated" if timer is not None else "kept")
-                if not late:
-                    timer = max(timer or 0, us // 1000 + 1)
+                if not late and (timer is None or timer <= ms):
+                    timers[post] = changed[post] = ms + 1
             yield part.assign(kind=kinds)[["kind", "id", "us", "source"]]
-        if timer != before:
+        if not changed:
+            return
+        if entries + len(changed) > 2 * len(timers):
+            self.seen.put([(list(timers), list(timers.values()))])
+        else:
+            self.seen.appendList([(list(changed), list(changed.values()))])
+        first = min(timers.values())
+        if first != before:
             if before is not None:
                 self.handle.deleteTimer(before)
-            self.handle.registerTimer(timer)
-            self.seen.update((timer,))
+            self.handle.registerTimer(first)
 
     def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.seen.clear()
+        watermark = timerValues.getCurrentWatermarkInMs()
+        timers = {post: timer for post, timer in self._remembered()[0].items() if timer > watermark}
+        if timers:
+            self.seen.put([(list(timers), list(timers.values()))])
+            self.handle.registerTimer(min(timers.values()))
+        else:
+            self.seen.clear()
         return iter(())
 
     def close(self) -> None:
         pass
 
 
-def accounted_posts(posts: DataFrame, lateness: str) -> DataFrame:
+def accounted_posts(posts: DataFrame, lateness: str, buckets: int = 8192) -> DataFrame:
     """Posts ``id, created_at, source`` with what became of each delivery, by ``kind``: ``kept``, the first of its id; ``repeated``, another
     one while the id is remembered; ``late``, older than the watermark, which :func:`distinct_posts` would drop without a trace.
 
     An id is remembered until the watermark passes its newest time. Rows are as many as were sent, but for posts without id or time,
-    which are left out. Needs the RocksDB store (:func:`rocksdb_state`).
+    which are left out. Ids share the state of one of ``buckets``, by a digest, and a batch reads those that its ids fall in: choose
+    them so that a bucket holds some hundreds, and keep the number with the checkpoint. Needs the RocksDB store (:func:`rocksdb_state`).
     """
     known = posts.where("id IS NOT NULL AND created_at IS NOT NULL").withWatermark("created_at", lateness)
+    bucket = F.pmod(F.xxhash64("id"), F.lit(buckets)).alias("bucket")
     # The time itself doesn't reach the state, as rows behind the watermark would be dropped there without a trace.
-    placed = known.select("id", F.unix_micros("created_at").alias("us"), "source")
-    found = placed.groupBy("id").transformWithStateInPandas(FirstPosts(), "kind string, id string, us long, source string", "append", "eventTime")
+    placed = known.select(bucket, "id", F.unix_micros("created_at").alias("us"), "source")
+    found = placed.groupBy("bucket").transformWithStateInPandas(FirstPosts(), "kind string, id string, us long, source string", "append", "eventTime")
     return found.select("kind", "id", F.timestamp_micros("us").alias("created_at"), "source")
 
 
